@@ -81,10 +81,11 @@ def spread_join(
     key: str,
     scatter_on: Sequence[str],
     counts: DataFrame | None = None,
+    how: str = "inner",
     floor: int = HOT_ROWS,
     buckets: int = SCATTER,
 ) -> DataFrame:
-    """Inner equi-join on `key` that splits the dominating keys of `left`.
+    """Inner or left equi-join on `key` that splits the dominating keys of `left`.
 
     `counts` is `(key, rows)` for `left` where the caller has it already. Left
     rows of hot keys are scattered over `buckets` by a hash of `scatter_on`;
@@ -95,10 +96,10 @@ def spread_join(
         counts = left.groupBy(key).agg(F.count("*").alias("rows"))
     hot = hot_keys(counts, key, "rows", floor)
     if not hot:
-        return left.join(right, key)
-    is_hot = F.col(key).isin(hot)
+        return left.join(right, key, how)
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
     bucket = F.pmod(F.xxhash64(*scatter_on), F.lit(buckets)).cast("int")
     scattered = left.withColumn("_bucket", F.when(is_hot, bucket).otherwise(F.lit(0)))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
     repeated = right.withColumn("_bucket", F.explode(copies))
-    return scattered.join(repeated, [key, "_bucket"]).drop("_bucket")
+    return scattered.join(repeated, [key, "_bucket"], how).drop("_bucket")
