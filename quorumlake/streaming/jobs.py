@@ -41,17 +41,15 @@ def admitted(records: DataFrame, stamp: str, now: Column, days: int, backfill: b
 def insert_new(
     records: DataFrame,
     keys: Sequence[str],
-    stamp: str,
     order: Sequence[str],
     table: str,
     checkpoint: str,
-    redelivery: str = "8 days",
     minutes: int | None = None,
 ):
     """Append records whose key the table does not hold yet.
 
-    Redeliveries within `redelivery` are dropped from bounded stream state; the
-    check against the stored table covers everything older.
+    The stored table is the only memory, so a record delivered again is
+    recognised however late it comes, and no late record is lost to a watermark.
     """
     spark = records.sparkSession
     spark.createDataFrame([], records.schema).write.mode("append").parquet(table)
@@ -61,8 +59,7 @@ def insert_new(
         fresh = insert_if_absent(stored, batch, keys, *[F.col(c) for c in order])
         fresh.write.mode("append").parquet(table)
 
-    distinct = records.withWatermark(stamp, redelivery).dropDuplicatesWithinWatermark(list(keys))
-    writer = distinct.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
+    writer = records.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
     return scheduled(writer, minutes).start()
 
 
