@@ -6,7 +6,7 @@ import importlib
 
 from . import registry
 
-AREAS = ("selection",)
+AREAS = ("selection", "texts")
 
 
 def _load_areas() -> None:
