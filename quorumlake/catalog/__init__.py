@@ -6,7 +6,7 @@ import importlib
 
 from . import registry
 
-AREAS = ("selection", "texts")
+AREAS = ("selection", "texts", "indexes", "transcripts")
 
 
 def _load_areas() -> None:
