@@ -6,7 +6,7 @@ import importlib
 
 from . import registry
 
-AREAS = ("selection", "texts", "indexes", "transcripts")
+AREAS = ("selection", "texts", "indexes", "transcripts", "records")
 
 
 def _load_areas() -> None:
