@@ -6,7 +6,7 @@ import importlib
 
 from . import registry
 
-AREAS = ("selection", "texts", "indexes", "transcripts", "records")
+AREAS = ("selection", "texts", "indexes", "transcripts", "records", "meetings", "streams")
 
 
 def _load_areas() -> None:

@@ -211,10 +211,11 @@ def extract_uri_required(spark, root):
     return load(spark, root, "pages").select("page_id", video.alias("video_uri"), status.alias("status"))
 
 
-def listing_pages(spark, root):
+def listing_pages(spark, root, day=None):
     """Each page as a listing page with one entry made of its own data."""
     pages = load(spark, root, "pages")
-    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 28).cast("int"))
+    if day is None:
+        day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 28).cast("int"))
     words = F.slice(F.regexp_extract_all("html", F.lit('<li><a href="/([^"]*)"'), 1), 1, 4)
     entry = F.concat(
         F.lit('<html><body><div class="row borderBottomNone paginationItem"><div class="col-xs-12 col-sm-4 col-md-3">'),

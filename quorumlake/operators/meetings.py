@@ -66,8 +66,8 @@ def normalize_meetings(meetings: DataFrame, ignored: Sequence[str | None] = ())
     All of it stays inside the document's row.
     """
     items = F.transform(F.coalesce("EventItems", F.array()), _item)
-    kept = F.filter(items, lambda i: not_ignored(i.name, list(ignored))) if ignored else items
-    shortened = F.transform(F.array_sort(kept), lambda i: i.withField("name", tx.truncate(i.name)))
+    kept = F.filter(items, lambda i: not_ignored(i["name"], list(ignored))) if ignored else items
+    shortened = F.transform(F.array_sort(kept), lambda i: i.withField("name", tx.truncate(i["name"])))
     return meetings.select(
         F.col("EventAgendaFile").alias("agenda_file_uri"),
         F.col("EventBodyName").alias("body"),
