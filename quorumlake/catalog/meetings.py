@@ -15,15 +15,16 @@ from ..operators import meetings as mt
 from ..operators.select import not_status
 from ..plans.gather import gather
 from ..sources.pages import ListingLayout, page_records
+from ..session import widen
 from .registry import load, query
-from .texts import _HOST, _SQL_TITLE, _TITLE, listing_pages
+from .texts import _HOST, _SQL_HOST, _SQL_TITLE, _TITLE, listing_pages
 
 IGNORED = ["Amen.", None]
 
 
 def meeting_documents(spark, root):
     """Documents as nested meetings, built row by row."""
-    docs = load(spark, root, "documents")
+    docs = widen(load(spark, root, "documents"))
     doc, lines = F.col("doc_id"), F.split("text", "\n")
 
     def person(word, k):
@@ -132,12 +133,15 @@ def explode_votes(spark, root):
 
 
 def star(spark, root):
-    documents = meeting_documents(spark, root)
-    sources = documents.select(
-        F.col("EventId").alias("legistar_event_id"), "video_uri", F.col("EventInSiteURL").alias("source_uri"),
-        F.concat(F.lit("t/"), F.col("EventId").cast("string")).alias("transcript_uri"), F.lit(0.97).alias("confidence"),
+    keep = ["video_uri", "source_uri", "transcript_uri", "confidence"]
+    documents = meeting_documents(spark, root).withColumns(
+        {
+            "source_uri": F.col("EventInSiteURL"),
+            "transcript_uri": F.concat(F.lit("t/"), F.col("EventId").cast("string")),
+            "confidence": F.lit(0.97),
+        }
     )
-    return mt.star_tables(normalized(spark, root).join(sources, "legistar_event_id"))
+    return mt.star_tables(mt.normalize_meetings(documents, IGNORED, keep))
 
 
 def _key(table, *columns):
@@ -296,10 +300,12 @@ def gathered(spark, root):
             F.lit(None).cast("array<struct<VoteId: long, VotePersonId: long, VoteValueName: string, PersonInfo: struct<PersonId: long, PersonFullName: string, PersonEmail: string, PersonPhone: string, PersonWWW: string>>>").alias("EventItemVoteInfo"),
         ),
     )
-    meetings = load(spark, root, "pages").select(
-        F.col("page_id").alias("EventId"), body.alias("EventBodyName"),
+    # Every meeting also has a cancelled double of the same name.
+    held = F.explode(F.array(F.lit("Final"), F.lit("Cancelled"))).alias("status")
+    meetings = load(spark, root, "pages").select("*", held).select(
+        (F.col("page_id") * 2 + F.when(F.col("status") == "Final", 1).otherwise(0)).alias("EventId"), body.alias("EventBodyName"),
         F.concat(day.cast("string"), F.lit("T00:00:00")).alias("EventDate"), F.lit("2:00 PM").alias("EventTime"),
-        F.when(F.col("page_id") % 11 == 0, "Cancelled").otherwise("Final").alias("EventAgendaStatusName"),
+        F.col("status").alias("EventAgendaStatusName"),
         null.alias("EventAgendaFile"), null.alias("EventMinutesFile"), F.col("url").alias("EventInSiteURL"),
         items.alias("EventItems"),
     )
@@ -313,11 +319,28 @@ def gathered(spark, root):
     return gather(records, meetings, stored, captioned, recognised)
 
 
-@query("gather_events")
+_GATHERED = f"""
+    SELECT page_id, 'https://video.example.gov:8080/media/' || {_SQL_HOST} || page_id || '.mp4' AS video_uri,
+      regexp_replace(regexp_replace(url, '/$', ''), '/?[^/]*$', '') || '/watch?id=' || page_id AS source_uri, body, words,
+      min(page_id) OVER (PARTITION BY page_id // 8, body, words) * 2 + 1 AS legistar_event_id
+    FROM (SELECT page_id, url, regexp_extract_all(html, '<li><a href="/([^"]*)"', 1)[1:4] AS words,
+            regexp_replace(regexp_replace(regexp_replace(replace({_SQL_TITLE}, '&amp;', '&'), '^ ', ''), ' $', ''), '\\.$', '') AS body
+          FROM pages)"""
+
+
+@query("gather_events", f"""
+    SELECT {_key('event', 'video_uri')} AS event_id, {_key('body', 'body')} AS body_id, video_uri, source_uri, legistar_event_id
+    FROM ({_GATHERED}) WHERE page_id % 5 <> 0""")
 def gather_events(spark, root):
     return gathered(spark, root)["event"].select("event_id", "body_id", "video_uri", "source_uri", "legistar_event_id")
 
 
-@query("gather_event_items")
+@query("gather_event_items", f"""
+    SELECT {_key('event_minutes_item', 'event_id', 'item_id')} AS event_minutes_item_id, event_id, item_id AS minutes_item_id,
+      CAST(min(i) AS INTEGER) AS "index", 'Pass' AS decision
+    FROM (SELECT event_id, i, {_key('minutes_item', 'word')} AS item_id FROM (
+      SELECT {_key('event', 'video_uri')} AS event_id, unnest(range(1, len(words) + 1)) AS i,
+        unnest(list_transform(words, lambda w: replace(w, '_', ''))) AS word FROM ({_GATHERED}) WHERE page_id % 5 <> 0))
+    GROUP BY event_id, item_id""")
 def gather_event_items(spark, root):
     return gathered(spark, root)["event_minutes_item"].select("event_minutes_item_id", "event_id", "minutes_item_id", "index", "decision")

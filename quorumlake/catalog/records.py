@@ -103,32 +103,27 @@ def expand_all_transcripts(spark, root):
     return expanded.select("transcript_id", "confidence", "uri", "video_uri", "body_name")
 
 
-def _line_id():
-    return F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"))
-
-
 @query(
     "voting_record",
-    """SELECT s_suppkey AS person_id, l_returnflag AS vote, l_linestatus AS decision, p_name AS item_name,
+    """WITH decided AS (SELECT l_orderkey, l_partkey, min(l_linestatus) AS decision FROM lineitem GROUP BY ALL)
+       SELECT s_suppkey AS person_id, l_returnflag AS vote, d.decision, p_name AS item_name,
          o_orderkey AS event_id, o_orderdate AS event_datetime
-       FROM supplier JOIN lineitem ON l_suppkey = s_suppkey JOIN part ON p_partkey = l_partkey
-         JOIN orders ON o_orderkey = l_orderkey WHERE s_name = 'Supplier#000000007'""",
+       FROM supplier JOIN lineitem AS l ON l_suppkey = s_suppkey JOIN decided AS d USING (l_orderkey, l_partkey)
+         JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey
+       WHERE s_name = 'Supplier#000000007'""",
 )
 def voting_record(spark, root):
-    lines = load(spark, root, "lineitem").withColumn("line", _line_id())
-    # Line items are unique in these columns, so one row is one vote on one decided item.
-    numbered = lines.select(
-        "line", "l_suppkey", "l_partkey", "l_orderkey", "l_returnflag", "l_linestatus",
-        F.concat_ws("-", "line", F.col("l_shipdate").cast("string"), F.col("l_extendedprice").cast("string"), F.col("l_quantity").cast("string"), F.col("l_tax").cast("string"), F.col("l_discount").cast("string")).alias("emi"),
-    )
+    """A part on an order is an item at an event, each line item a vote on it."""
+    lines = load(spark, root, "lineitem").withColumn("emi", F.struct("l_orderkey", "l_partkey"))
     persons = load(spark, root, "supplier").select(F.col("s_suppkey").alias("person_id"), F.col("s_name").alias("full_name"))
-    votes = numbered.select(
-        F.col("line").alias("vote_id"), F.col("l_suppkey").alias("person_id"),
+    votes = lines.select(
+        F.struct("l_orderkey", "l_linenumber", "l_suppkey").alias("vote_id"), F.col("l_suppkey").alias("person_id"),
         F.col("emi").alias("event_minutes_item_id"), F.col("l_returnflag").alias("decision"),
     )
-    event_items = numbered.select(
-        F.col("emi").alias("event_minutes_item_id"), F.col("l_orderkey").alias("event_id"),
-        F.col("l_partkey").alias("minutes_item_id"), F.col("l_linestatus").alias("decision"),
+    decided = lines.groupBy("l_orderkey", "l_partkey").agg(F.min("l_linestatus").alias("decision"))
+    event_items = decided.select(
+        F.struct("l_orderkey", "l_partkey").alias("event_minutes_item_id"), F.col("l_orderkey").alias("event_id"),
+        F.col("l_partkey").alias("minutes_item_id"), "decision",
     )
     items = load(spark, root, "part").select(F.col("p_partkey").alias("minutes_item_id"), F.col("p_name").alias("name"))
     held = load(spark, root, "orders").select(F.col("o_orderkey").alias("event_id"), F.col("o_orderdate").alias("event_datetime"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import segments as sg
 from ..sources.captions import cues as parse_cues
 from ..sources.transcripts import known_format, raw_text
+from ..session import widen
 from .registry import load, query
 
 CUES = """SELECT conv_id, turn AS cue, CASE WHEN role = 'user' THEN 1 ELSE 0 END AS starts, text,
@@ -159,7 +160,7 @@ WORD_SENTENCES = f"""
 
 def words(spark, root):
     tokens = F.filter(F.split(F.translate("text", "\n", " "), " "), lambda word: word != "")
-    exploded = load(spark, root, "documents").select("doc_id", F.posexplode(tokens).alias("word", "text"))
+    exploded = widen(load(spark, root, "documents")).select("doc_id", F.posexplode(tokens).alias("word", "text"))
     return exploded.select(
         "doc_id", F.col("word").cast("long").alias("word"), "text",
         (F.col("word") * 0.5).alias("start_time"), (F.col("word") * 0.5 + 0.25).alias("end_time"),

@@ -1,12 +1,12 @@
 """Porter stemming, with the widely used extensions to the 1980 algorithm.
 
 Spark has no stemmer, so this is one small Arrow UDF. It sees a column of
-already counted terms and stems each distinct term of a batch once.
+already counted terms and stems each distinct term once per task.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -34,12 +34,27 @@ STEP_4 = (
 ).split()
 
 
+# How many stems a task remembers.
+KNOWN_STEMS = 1 << 18
+
+
+class _Letters(dict):
+    """Vowel, consonant or `y`, per character code; unseen ones are consonants."""
+
+    def __missing__(self, code: int) -> str:
+        self[code] = "c"
+        return "c"
+
+
+_LETTERS = _Letters({ord(ch): "v" for ch in "aeiou"} | {ord("y"): "y"})
+
+
 def _shape(word: str) -> str:
     """One letter per character: `c` for a consonant, `v` for a vowel."""
-    shape = ""
-    for ch in word:
-        vowel = ch in "aeiou" or (ch == "y" and shape.endswith("c"))
-        shape += "v" if vowel else "c"
+    shape = word.translate(_LETTERS)
+    while "y" in shape:
+        at = shape.index("y")
+        shape = shape[:at] + ("v" if shape[:at].endswith("c") else "c") + shape[at + 1 :]
     return shape
 
 
@@ -110,7 +125,6 @@ def _final_letters(word: str) -> str:
     return word
 
 
-@lru_cache(maxsize=1 << 18)
 def porter_stem(word: str) -> str:
     word = word.lower()
     if word in IRREGULAR:
@@ -124,6 +138,12 @@ def porter_stem(word: str) -> str:
 
 
 @F.pandas_udf(T.StringType())
-def stem(terms: pd.Series) -> pd.Series:
-    distinct = terms.dropna().unique()
-    return terms.map({term: porter_stem(term) for term in distinct})
+def stem(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    known: dict[str, str] = {}
+    for terms in batches:
+        if len(known) > KNOWN_STEMS:
+            known.clear()
+        for term in terms.dropna().unique():
+            if term not in known:
+                known[term] = porter_stem(term)
+        yield terms.map(known)

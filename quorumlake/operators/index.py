@@ -59,7 +59,7 @@ def tfidf(counts: DataFrame, id_column: str) -> DataFrame:
     counts = written(counts, "term-counts")
     frequency = document_frequency(counts)
     rows = frequency.withColumnRenamed("df", "rows")
-    weighted = spread_join(counts, frequency, "term", [id_column], counts=rows)
+    weighted = spread_join(counts, frequency, "term", [id_column], counts=rows, size=counts.count())
     total = corpus_size(counts, id_column).scalar()
     return weighted.select("term", id_column, (F.col("n") * F.log(total / F.col("df"))).alias("value"))
 

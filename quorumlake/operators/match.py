@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.similarity import name_score, token_set_score
+from ..session import written
 from .spread import HOT_ROWS, spread_join
 
 # The least name score taken for a match, and a sole candidate's score.
@@ -107,16 +108,15 @@ def match_names(
     `minimum` give no match. Records keep all their columns.
     """
     names = candidates.select(bucket, name).distinct()
-    exact = records.join(names, [bucket, name], "left_semi").withColumns(
-        {"matched_name": F.col(name), "score": F.lit(100.0)}
-    )
-    rest = records.join(names, [bucket, name], "left_anti")
+    asked = records.select(bucket, name).distinct()
+    known = written(asked.join(names.withColumn("_equal", F.lit(True)), [bucket, name], "left"), "names")
+    exact = known.where("_equal").select(bucket, name, F.col(name).alias("matched_name"), F.lit(100.0).alias("score"))
     options = names.withColumnRenamed(name, "_option")
-    found = closest(rest, options, bucket, name, "_option", "_option", name_score, floor)
+    found = closest(known.where("_equal is null"), options, bucket, name, "_option", "_option", name_score, floor)
     accepted = found.where(F.col("score") >= minimum).select(
         bucket, name, F.col("match_id").alias("matched_name"), "score"
     )
-    return exact.unionByName(rest.join(accepted, [bucket, name]).select(exact.columns))
+    return records.join(exact.unionByName(accepted), [bucket, name])
 
 
 def match_agendas(

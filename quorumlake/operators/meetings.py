@@ -59,11 +59,13 @@ def _item(item: Column, position: Column) -> Column:
     )
 
 
-def normalize_meetings(meetings: DataFrame, ignored: Sequence[str | None] = ()) -> DataFrame:
+def normalize_meetings(
+    meetings: DataFrame, ignored: Sequence[str | None] = (), keep: Sequence[str] = ()
+) -> DataFrame:
     """Header fields and cleaned items, ordered by sequence number.
 
     Items named in `ignored` are left out; a missing sequence sorts first.
-    All of it stays inside the document's row.
+    Columns named in `keep` are carried along. All of it stays inside the document's row.
     """
     items = F.transform(F.coalesce("EventItems", F.array()), _item)
     kept = F.filter(items, lambda i: not_ignored(i["name"], list(ignored))) if ignored else items
@@ -76,6 +78,7 @@ def normalize_meetings(meetings: DataFrame, ignored: Sequence[str | None] = ())
         F.col("EventId").alias("legistar_event_id"),
         F.col("EventInSiteURL").alias("legistar_event_link"),
         F.col("EventMinutesFile").alias("minutes_file_uri"),
+        *keep,
     )
 
 

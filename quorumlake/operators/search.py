@@ -30,9 +30,13 @@ def search(
     text: str = "text",
     stemmed: bool = True,
 ) -> DataFrame:
-    """Every query against the index: `(query, id, relevance, terms)`."""
+    """Every query against the index: `(query, id, relevance, terms)`.
+
+    The index is a stored table, whose number of rows is in its file footers.
+    """
     wanted = query_terms(queries, query_id, text, stemmed)
-    return _matches(spread_join(index, wanted, "term", [id_column]), query_id, id_column)
+    hits = spread_join(index, wanted, "term", [id_column], size=index.count())
+    return _matches(hits, query_id, id_column)
 
 
 def search_text(index: DataFrame, text: str, id_column: str, stemmed: bool = True) -> DataFrame:

@@ -42,7 +42,7 @@ def closes_sentence(text: Column) -> Column:
 
 
 def number_segments(cues: DataFrame, key: str, order: str, text: str = "text") -> DataFrame:
-    """Adds `turn` and `closed`, the sentences closed before the cue in its file.
+    """Adds `block`, `turn` and `closed`, the sentences closed before the cue in its file.
 
     Cues ahead of the first marker are turn 0. `(turn, closed)` names a sentence.
     """
@@ -58,19 +58,37 @@ def _joined(order: str, text: str) -> Column:
     return F.array_join(F.transform(pieces, lambda p: p.t), " ")
 
 
+def _assembled(numbered: DataFrame, keys: list[str], order: str, text: str, start: Column, whole: Column) -> DataFrame:
+    """Rows of a sentence put together: inside each block, which moves no row,
+    then across blocks, which moves one row per sentence and block."""
+    pieces = numbered.groupBy(*keys, "block").agg(
+        F.min(order).alias("first"),
+        F.min(start).alias("_start"),
+        F.max_by("end_time", order).alias("end_time"),
+        _joined(order, text).alias("text"),
+        F.max(whole).alias("_whole"),
+    )
+    return pieces.groupBy(*keys).agg(
+        F.min("first").alias("first"),
+        F.min("_start").start_time.alias("start_time"),
+        F.max_by("end_time", "first").alias("end_time"),
+        _joined("first", "text").alias("text"),
+        F.max("_whole").alias("_whole"),
+    )
+
+
 def sentences(numbered: DataFrame, key: str, order: str, text: str = "text") -> DataFrame:
     """One row per sentence of a turn.
 
     The start is the first start in the sentence that is not zero. A sentence
     is named by its turn and the order value of its first cue.
     """
-    started = F.when(F.col("start_time") != 0, F.struct(order, "start_time"))
-    return numbered.groupBy(key, "turn", "closed").agg(
-        F.min(order).alias("first_cue"),
-        F.coalesce(F.min(started).start_time, F.lit(0.0)).alias("start_time"),
-        F.max_by("end_time", order).alias("end_time"),
-        _joined(order, text).alias("text"),
-    ).drop("closed")
+    start = F.when(F.col("start_time") != 0, F.struct(order, "start_time"))
+    rows = _assembled(numbered, [key, "turn", "closed"], order, text, start, F.lit(1))
+    return rows.select(
+        key, "turn", F.col("first").alias("first_cue"),
+        F.coalesce("start_time", F.lit(0.0)).alias("start_time"), "end_time", "text",
+    )
 
 
 def _portions(position: str) -> Column:
@@ -143,14 +161,11 @@ def word_sentences(words: DataFrame, key: str, order: str, keep_tail: bool = Fal
     closes = F.endswith("text", F.lit(".")).cast("int")
     flagged = words.withColumn("_closes", closes)
     numbered = running_totals(flagged, [key], order, {"_closed": F.col("_closes")})
-    grouped = numbered.groupBy(key, (F.col("_closed") - F.col("_closes")).alias("sentence")).agg(
-        F.min(order).alias("first_word"),
-        F.min_by("start_time", order).alias("start_time"),
-        F.max_by("end_time", order).alias("end_time"),
-        _joined(order, "text").alias("text"),
-        F.max("_closes").alias("_whole"),
-    )
-    return (grouped if keep_tail else grouped.where("_whole = 1")).drop("_whole")
+    placed = numbered.withColumn("sentence", F.col("_closed") - F.col("_closes"))
+    start = F.struct(order, "start_time")
+    rows = _assembled(placed, [key, "sentence"], order, "text", start, F.col("_closes"))
+    kept = rows if keep_tail else rows.where("_whole = 1")
+    return kept.select(key, "sentence", F.col("first").alias("first_word"), "start_time", "end_time", "text")
 
 
 def raw_from_words(words: DataFrame, sentence_rows: DataFrame, key: str, order: str) -> DataFrame:

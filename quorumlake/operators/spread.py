@@ -47,13 +47,14 @@ def running_totals(
     Each entry of `totals` names a column and what it sums, up to and including
     the row itself. Rows are summed inside blocks of `block_rows` order values;
     block totals, a table smaller by that factor, carry the sums across blocks.
+    The result keeps `block`, by which it stays partitioned.
     """
-    parts = [*keys, "_block"]
+    parts = [*keys, "block"]
     blocked = df.withColumns(
-        {"_block": F.floor(F.col(order) / block_rows)}
+        {"block": F.floor(F.col(order) / block_rows)}
         | {f"_add_{name}": value.cast("long") for name, value in totals.items()}
     )
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     carried = blocked.groupBy(*parts).agg(*[F.sum(f"_add_{n}").alias(f"_sum_{n}") for n in totals])
     carried = carried.select(
         *parts, *[F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0)).alias(f"_carry_{n}") for n in totals]
@@ -61,7 +62,7 @@ def running_totals(
     upto = Window.partitionBy(*parts).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     summed = blocked.withColumns({f"_in_{n}": F.sum(f"_add_{n}").over(upto) for n in totals})
     return summed.join(carried, parts).select(
-        *df.columns, *[(F.col(f"_in_{n}") + F.col(f"_carry_{n}")).alias(n) for n in totals]
+        *df.columns, "block", *[(F.col(f"_in_{n}") + F.col(f"_carry_{n}")).alias(n) for n in totals]
     )
 
 
@@ -81,17 +82,21 @@ def spread_join(
     key: str,
     scatter_on: Sequence[str],
     counts: DataFrame | None = None,
+    size: int | None = None,
     how: str = "inner",
     floor: int = HOT_ROWS,
     buckets: int = SCATTER,
 ) -> DataFrame:
     """Inner or left equi-join on `key` that splits the dominating keys of `left`.
 
-    `counts` is `(key, rows)` for `left` where the caller has it already. Left
+    `counts` is `(key, rows)` and `size` the number of rows of `left`, where the
+    caller has them already; a side below `floor` rows has no hot keys. Left
     rows of hot keys are scattered over `buckets` by a hash of `scatter_on`;
     their right rows are repeated once per bucket. Without hot keys it is a
     plain join.
     """
+    if size is not None and size < floor:
+        return left.join(right, key, how)
     if counts is None:
         counts = left.groupBy(key).agg(F.count("*").alias("rows"))
     hot = hot_keys(counts, key, "rows", floor)

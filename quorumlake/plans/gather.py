@@ -12,6 +12,7 @@ from ..operators.match import match_agendas, match_names
 from ..operators.meetings import normalize_meetings, star_tables
 from ..operators.select import not_status
 from ..operators.store import new_records
+from ..session import written
 
 
 def _next_midnight(stamp: Column) -> Column:
@@ -90,8 +91,12 @@ def gather(
     recognised: DataFrame,
     ignored: Sequence[str | None] = (),
 ) -> dict[str, DataFrame]:
-    """Rows for the eight tables from records not stored yet."""
+    """Rows for the eight tables from records not stored yet.
+
+    Pages are parsed once and meetings matched once: both results are written,
+    since every table is made from them.
+    """
     parsed = records.where("status = 'parsed'")
-    fresh = new_records(stored_events, parsed, ["video_uri"])
+    fresh = written(new_records(stored_events, parsed, ["video_uri"]), "records")
     attached = attach_meetings(fresh, meetings, ignored)
-    return star_tables(with_transcripts(attached, captioned, recognised))
+    return star_tables(written(with_transcripts(attached, captioned, recognised), "gathered"))
