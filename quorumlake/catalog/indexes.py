@@ -87,8 +87,13 @@ def tfidf_pruned(spark, root):
 
 
 def _found(spark, root, stemmed):
-    built = written(ix.prune(index(spark, root, stemmed)), "index")
-    found = se.search(built, load(spark, root, "benchmark"), "item_id", "doc_id", stemmed=stemmed)
+    counted = written(counts(spark, root, stemmed), "term-counts")
+    built = ix.prune(ix.tfidf(counted, "doc_id", stored=True))
+    queries = load(spark, root, "benchmark")
+    found = se.search(
+        built, queries, "item_id", "doc_id", stemmed=stemmed,
+        size=counted.count(), frequency=ix.document_frequency(counted),
+    )
     return found.select(
         "item_id", "doc_id", F.round("relevance", 6).alias("relevance"), F.array_join("terms.term", " ").alias("terms")
     )

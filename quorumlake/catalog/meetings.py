@@ -17,7 +17,7 @@ from ..plans.gather import gather
 from ..sources.pages import ListingLayout, page_records
 from ..session import widen
 from .registry import load, query
-from .texts import _HOST, _SQL_HOST, _SQL_TITLE, _TITLE, listing_pages
+from .texts import _HOST, _SQL_HOST, _SQL_TITLE, listing_pages, page_title
 
 IGNORED = ["Amen.", None]
 
@@ -287,7 +287,7 @@ def gathered(spark, root):
     pages = listing_pages(spark, root, day)
     now = F.lit("2024-01-20 12:00:00").cast("timestamp")
     records = page_records(pages, now, ListingLayout(), _HOST, "https://cc.example.gov/", backfill=True)
-    body = tx.clean_web_string(F.replace(_TITLE, F.lit("&amp;"), F.lit("&")))
+    body = tx.clean_web_string(F.replace(page_title(), F.lit("&amp;"), F.lit("&")))
     words = F.slice(F.regexp_extract_all("html", F.lit('<li><a href="/([^"]*)"'), 1), 1, 4)
     null = F.lit(None).cast("string")
     items = F.transform(

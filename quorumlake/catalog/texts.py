@@ -76,7 +76,10 @@ def text_stem(spark, root):
 
 # The page tables carry no meeting markup, so each page's own title, address
 # and links are laid out as one entry of a listing page.
-_TITLE = F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1)
+def page_title():
+    return F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1)
+
+
 _SQL_TITLE = "regexp_extract(html, '<title>([^<]*)</title>', 1)"
 _SUFFIXES = {0: "", 1: " - Special Meeting", 2: " Special Meeting - Public Hearing", 3: " 12/4/2019"}
 
@@ -90,7 +93,7 @@ def _suffixed(title, suffix_of):
 
 @query("normalize_name", f"SELECT page_id, replace({_SQL_TITLE}, chr(10), '') AS body FROM pages")
 def normalize_name(spark, root):
-    title = _suffixed(_TITLE, F.col("page_id"))
+    title = _suffixed(page_title(), F.col("page_id"))
     return load(spark, root, "pages").select("page_id", tx.normalize_name(title).alias("body"))
 
 
@@ -178,12 +181,15 @@ def resolve_route(spark, root):
     return pages.select("page_id", "href", tx.resolve_route(F.col("url"), F.col("href")).alias("uri"))
 
 
-_SCRIPT = F.concat(
-    F.lit("play('http://video.example.gov:8080/media/"), F.regexp_extract("url", "//([a-z]+)", 1), F.lit(" "),
-    F.col("page_id").cast("string"), F.when(F.col("page_id") % 5 == 0, ".avi").otherwise(".mp4"),
-    F.lit("', '/captions/"), F.col("page_id").cast("string"),
-    F.when(F.col("page_id") % 3 == 0, ".srt').").otherwise(".vtt')."),
-)
+def player_script():
+    return F.concat(
+        F.lit("play('http://video.example.gov:8080/media/"), F.regexp_extract("url", "//([a-z]+)", 1), F.lit(" "),
+        F.col("page_id").cast("string"), F.when(F.col("page_id") % 5 == 0, ".avi").otherwise(".mp4"),
+        F.lit("', '/captions/"), F.col("page_id").cast("string"),
+        F.when(F.col("page_id") % 3 == 0, ".srt').").otherwise(".vtt')."),
+    )
+
+
 _HOST = r"video\.example\.gov[:0-9]*"
 _SQL_HOST = "regexp_extract(url, '//([a-z]+)', 1)"
 
@@ -195,7 +201,7 @@ _SQL_HOST = "regexp_extract(url, '//([a-z]+)', 1)"
 )
 def extract_uri(spark, root):
     return load(spark, root, "pages").select(
-        "page_id", tx.caption_uri(_SCRIPT, "https://cc.example.gov/").alias("caption_uri")
+        "page_id", tx.caption_uri(player_script(), "https://cc.example.gov/").alias("caption_uri")
     )
 
 
@@ -206,7 +212,7 @@ def extract_uri(spark, root):
         CASE WHEN page_id % 5 = 0 THEN 'unparseable' ELSE 'parsed' END AS status FROM pages""",
 )
 def extract_uri_required(spark, root):
-    video = tx.video_uri(_SCRIPT, _HOST)
+    video = tx.video_uri(player_script(), _HOST)
     status = F.when(video.isNull(), "unparseable").otherwise("parsed")
     return load(spark, root, "pages").select("page_id", video.alias("video_uri"), status.alias("status"))
 
@@ -219,9 +225,9 @@ def listing_pages(spark, root, day=None):
     words = F.slice(F.regexp_extract_all("html", F.lit('<li><a href="/([^"]*)"'), 1), 1, 4)
     entry = F.concat(
         F.lit('<html><body><div class="row borderBottomNone paginationItem"><div class="col-xs-12 col-sm-4 col-md-3">'),
-        F.lit('<a href="/watch?id='), F.col("page_id").cast("string"), F.lit('" onclick="'), _SCRIPT,
+        F.lit('<a href="/watch?id='), F.col("page_id").cast("string"), F.lit('" onclick="'), player_script(),
         F.lit('"><img src="x.jpg"></a></div><div class="col-xs-12 col-sm-8 col-md-9"><h2><a>'),
-        _suffixed(_TITLE, F.col("page_id")), F.lit('</a></h2><div class="videoDate">'),
+        _suffixed(page_title(), F.col("page_id")), F.lit('</a></h2><div class="videoDate">'),
         F.date_format(day, "M/d/yyyy"), F.lit('</div><div class="titleExcerptText"><p>Agenda: '),
         F.array_join(words, "; "), F.lit("</p></div></div></div></body></html>"),
     )

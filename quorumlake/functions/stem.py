@@ -34,6 +34,10 @@ STEP_4 = (
 ).split()
 
 
+_SUFFIXES_2 = tuple(suffix for suffix, _ in STEP_2)
+_SUFFIXES_3 = tuple(suffix for suffix, _ in STEP_3)
+_SUFFIXES_4 = tuple(STEP_4)
+
 # How many stems a task remembers.
 KNOWN_STEMS = 1 << 18
 
@@ -67,7 +71,9 @@ def _short_end(word: str) -> bool:
     return shape == "vc" or (shape.endswith("cvc") and word[-1] not in "wxy")
 
 
-def _replace(word: str, rules) -> str:
+def _replace(word: str, rules, suffixes: tuple[str, ...]) -> str:
+    if not word.endswith(suffixes):
+        return word
     for suffix, replacement in rules:
         if word.endswith(suffix):
             rest = word[: -len(suffix)]
@@ -103,10 +109,12 @@ def _past_and_gerund(word: str) -> str:
 def _derived(word: str) -> str:
     if word.endswith("alli") and _measure(word[:-4]) > 0:
         return _derived(word[:-2])
-    return _replace(word, STEP_2)
+    return _replace(word, STEP_2, _SUFFIXES_2)
 
 
 def _long_suffix(word: str) -> str:
+    if not word.endswith(_SUFFIXES_4):
+        return word
     for suffix in STEP_4:
         if word.endswith(suffix):
             rest = word[: -len(suffix)]
@@ -134,7 +142,7 @@ def porter_stem(word: str) -> str:
     word = _past_and_gerund(_plural(word))
     if word.endswith("y") and len(word) > 2 and _shape(word[:-1])[-1] == "c":
         word = word[:-1] + "i"
-    return _final_letters(_long_suffix(_replace(_derived(word), STEP_3)))
+    return _final_letters(_long_suffix(_replace(_derived(word), STEP_3, _SUFFIXES_3)))
 
 
 @F.pandas_udf(T.StringType())
@@ -143,7 +151,9 @@ def stem(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for terms in batches:
         if len(known) > KNOWN_STEMS:
             known.clear()
-        for term in terms.dropna().unique():
+        stems = []
+        for term in terms:
             if term not in known:
-                known[term] = porter_stem(term)
-        yield terms.map(known)
+                known[term] = porter_stem(term) if term is not None else None
+            stems.append(known[term])
+        yield pd.Series(stems, dtype=object)

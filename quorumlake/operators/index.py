@@ -50,13 +50,15 @@ def corpus_size(counts: DataFrame, id_column: str) -> DataFrame:
     return counts.agg(F.count_distinct(id_column).alias("n_ids"))
 
 
-def tfidf(counts: DataFrame, id_column: str) -> DataFrame:
+def tfidf(counts: DataFrame, id_column: str, stored: bool = False) -> DataFrame:
     """`n * ln(ids / df)`, neither smoothed nor normalised.
 
     The counts are needed three times and are much smaller than the text, so
-    they are written once and read back, each time only the columns needed.
+    unless they are `stored` already they are written once and read back, each
+    time only the columns needed.
     """
-    counts = written(counts, "term-counts")
+    if not stored:
+        counts = written(counts, "term-counts")
     frequency = document_frequency(counts)
     rows = frequency.withColumnRenamed("df", "rows")
     weighted = spread_join(counts, frequency, "term", [id_column], counts=rows, size=counts.count())

@@ -79,9 +79,9 @@ def closest(
     Equal scores go to the lowest id. Gives `(bucket, record_text, score,
     match_id, n_candidates)`.
     """
-    texts = records.select(bucket, record_text).distinct()
+    texts = written(records.select(bucket, record_text).distinct(), "texts")
     blocks = _blocks(candidates, bucket, candidate_id, candidate_text)
-    paired = spread_join(texts, blocks, bucket, [record_text], floor=floor)
+    paired = spread_join(texts, blocks, bucket, [record_text], size=texts.count(), floor=floor)
     best = _best_of_block(score, candidates.schema[candidate_id].dataType)
     scored = paired.select(
         bucket, record_text, "n_candidates", best(F.col(record_text), F.col("_entries")).alias("_best")

@@ -82,11 +82,19 @@ def normalize_meetings(
     )
 
 
+def _item_rows(normalized: DataFrame, *columns: str) -> DataFrame:
+    """Columns of each meeting with the fields of each of its items.
+
+    An inner explode would have the optimizer test the item array for rows
+    below the projection that builds it, and so build it twice.
+    """
+    exploded = normalized.select(*columns, F.explode_outer("minutes_items").alias("item"))
+    return exploded.where("item is not null").select(*columns, "item.*")
+
+
 def meeting_items(normalized: DataFrame) -> DataFrame:
     """One row per item of each meeting."""
-    return normalized.select("legistar_event_id", F.explode("minutes_items").alias("item")).select(
-        "legistar_event_id", "item.*"
-    )
+    return _item_rows(normalized, "legistar_event_id")
 
 
 def item_attachments(items: DataFrame) -> DataFrame:
@@ -139,9 +147,7 @@ def star_tables(gathered: DataFrame) -> dict[str, DataFrame]:
         ["event_id", "file_id"], "legistar_event_id",
     ).select(surrogate_key("transcript", "event_id", "file_id").alias("transcript_id"), "event_id", "file_id", "confidence")
 
-    items = events.select("event_id", "legistar_event_id", F.explode("minutes_items").alias("i")).select(
-        "event_id", "legistar_event_id", "i.*"
-    )
+    items = _item_rows(events, "event_id", "legistar_event_id")
     items = items.withColumn("minutes_item_id", surrogate_key("minutes_item", "name"))
     items = items.withColumn(
         "event_minutes_item_id", surrogate_key("event_minutes_item", "event_id", "minutes_item_id")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 32_768
-HOT_ROWS = 1_000_000
+HOT_ROWS = 5_000_000
 HOT_KEYS = 1_000
 SCATTER = 64
 
