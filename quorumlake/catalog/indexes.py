@@ -12,7 +12,7 @@ from ..operators.spans import all_spans
 from ..operators.store import surrogate_key
 from ..operators.truecase import apply_casing, fit_casing, placed_tokens
 from ..session import work_path, written
-from .registry import load, query
+from .registry import load, load_wide, query
 from .texts import TERMS
 
 COUNTS = f"SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest({TERMS}) AS term FROM documents) GROUP BY ALL"
@@ -29,7 +29,7 @@ MATCHES = f"""{INDEX},
 
 
 def counts(spark, root, stemmed=False):
-    return ix.term_counts(load(spark, root, "documents"), "doc_id", stemmed=stemmed)
+    return ix.term_counts(load_wide(spark, root, "documents"), "doc_id", stemmed=stemmed)
 
 
 def index(spark, root, stemmed=False):
@@ -112,7 +112,7 @@ def search_documents_stemmed(spark, root):
 @query("search_with_rows", f"""
     SELECT m.item_id, m.doc_id, m.relevance, d.source, d.lang FROM ({MATCHES}) AS m LEFT JOIN documents AS d USING (doc_id)""")
 def search_with_rows(spark, root):
-    rows = load(spark, root, "documents").select("doc_id", "source", "lang")
+    rows = load_wide(spark, root, "documents").select("doc_id", "source", "lang")
     attached = se.attach_rows(_found(spark, root, stemmed=False), rows, "doc_id")
     return attached.select("item_id", "doc_id", "relevance", "data.source", "data.lang")
 
@@ -163,7 +163,7 @@ def index_lookup(spark, root):
     SELECT source AS minutes_item_id, CASE WHEN quality = 1 THEN 0 ELSE 1 END AS kind, CAST(doc_id AS VARCHAR) AS uri, text
     FROM documents JOIN labels USING (doc_id) WHERE length(text) > 0""")
 def item_corpus(spark, root):
-    labelled = load(spark, root, "documents").join(load(spark, root, "labels"), "doc_id").select(
+    labelled = load_wide(spark, root, "documents").join(load(spark, root, "labels"), "doc_id").select(
         F.col("source").alias("minutes_item_id"), F.col("doc_id").cast("string").alias("uri"), "text", "quality"
     )
     return item_portions(labelled.where("quality = 1"), labelled.where("quality <> 1"))
@@ -186,7 +186,7 @@ def item_corpus(spark, root):
       || CASE WHEN a < r THEN ' ...' ELSE '' END AS span
     FROM y""")
 def context_spans(spark, root):
-    return all_spans(load(spark, root, "documents"), "doc_id")
+    return all_spans(load_wide(spark, root, "documents"), "doc_id")
 
 
 TOKENS_SQL = """
@@ -201,7 +201,7 @@ MODEL_SQL = f"""
 
 @query("truecase_model", MODEL_SQL)
 def truecase_model(spark, root):
-    return fit_casing(placed_tokens(load(spark, root, "documents"), "doc_id"))
+    return fit_casing(placed_tokens(load_wide(spark, root, "documents"), "doc_id"))
 
 
 @query("truecase_apply", f"""
@@ -209,5 +209,5 @@ def truecase_model(spark, root):
     FROM (SELECT doc_id, pos, opens, coalesce(form, lower(term)) AS cased
           FROM ({TOKENS_SQL}) AS t LEFT JOIN ({MODEL_SQL}) AS m ON lower(t.term) = m.lowered) GROUP BY doc_id""")
 def truecase_apply(spark, root):
-    tokens = placed_tokens(load(spark, root, "documents"), "doc_id")
+    tokens = placed_tokens(load_wide(spark, root, "documents"), "doc_id")
     return apply_casing(tokens, fit_casing(tokens), "doc_id")

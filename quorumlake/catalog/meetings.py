@@ -15,8 +15,7 @@ from ..operators import meetings as mt
 from ..operators.select import not_status
 from ..plans.gather import gather
 from ..sources.pages import ListingLayout, page_records
-from ..session import widen
-from .registry import load, query
+from .registry import load, load_wide, query
 from .texts import _HOST, _SQL_HOST, _SQL_TITLE, listing_pages, page_title
 
 IGNORED = ["Amen.", None]
@@ -24,7 +23,7 @@ IGNORED = ["Amen.", None]
 
 def meeting_documents(spark, root):
     """Documents as nested meetings, built row by row."""
-    docs = widen(load(spark, root, "documents"))
+    docs = load_wide(spark, root, "documents")
     doc, lines = F.col("doc_id"), F.split("text", "\n")
 
     def person(word, k):
@@ -302,7 +301,7 @@ def gathered(spark, root):
     )
     # Every meeting also has a cancelled double of the same name.
     held = F.explode(F.array(F.lit("Final"), F.lit("Cancelled"))).alias("status")
-    meetings = load(spark, root, "pages").select("*", held).select(
+    meetings = load_wide(spark, root, "pages").select("*", held).select(
         (F.col("page_id") * 2 + F.when(F.col("status") == "Final", 1).otherwise(0)).alias("EventId"), body.alias("EventBodyName"),
         F.concat(day.cast("string"), F.lit("T00:00:00")).alias("EventDate"), F.lit("2:00 PM").alias("EventTime"),
         F.col("status").alias("EventAgendaStatusName"),

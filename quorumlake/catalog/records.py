@@ -14,7 +14,7 @@ from ..operators.index import TfidfIndexer
 from ..session import work_path
 from ..sources.files import digests, inventory, missing_files
 from ..sources.tables import clone_tables, read_table, write_table
-from .registry import load, query
+from .registry import load, load_wide, query
 from .texts import TERMS
 
 
@@ -241,7 +241,7 @@ def clone_table(spark, root):
          SELECT regexp_extract(url, '[^/]*$') FROM pages WHERE starts_with(url, 'https'))""",
 )
 def inventory_diff(spark, root):
-    pages = load(spark, root, "pages").select("page_id", "url", F.substring_index("url", "/", -1).alias("name"))
+    pages = load_wide(spark, root, "pages").select("page_id", "url", F.substring_index("url", "/", -1).alias("name"))
     target = pages.where(F.startswith("url", F.lit("https"))).select("name")
     return missing_files(pages, target).select("page_id", "name")
 
@@ -274,7 +274,7 @@ def content_digest(spark, root):
 # Documents are the transcript texts: each labelled document is a file, its
 # label row the transcript, its source the body of the event it stands for.
 def corpus_tables(spark, root):
-    docs = load(spark, root, "documents")
+    docs = load_wide(spark, root, "documents")
     labels = load(spark, root, "labels")
     held = docs.select(F.col("doc_id").alias("event_id"), F.col("source").alias("body_id"))
     bodies_ = docs.select(F.col("source").alias("body_id")).distinct()
@@ -312,12 +312,12 @@ def item_index_query(spark, root):
     """Sources are agenda items; good documents are transcripts of meetings
     that decided on them, the other labelled ones are attachments."""
     held, spoken, stored, _, texts = corpus_tables(spark, root)
-    labelled = load(spark, root, "documents").join(load(spark, root, "labels"), "doc_id")
+    labelled = load_wide(spark, root, "documents").join(load(spark, root, "labels"), "doc_id")
     decided = labelled.select(
         F.col("source").alias("minutes_item_id"), F.col("doc_id").alias("event_id"),
         F.when(F.col("quality") == 1, "Pass").alias("decision"),
     )
-    items = load(spark, root, "documents").select(F.col("source").alias("minutes_item_id"), F.col("source").alias("name")).distinct()
+    items = load_wide(spark, root, "documents").select(F.col("source").alias("minutes_item_id"), F.col("source").alias("name")).distinct()
     attachments = labelled.where("quality = 0").select(
         F.col("source").alias("minutes_item_id"), F.col("doc_id").cast("string").alias("uri"), "text"
     )

@@ -12,7 +12,7 @@ from ..operators import select as sel
 from ..operators.spread import best_per_key
 from ..operators.store import new_records
 from ..sources.typed_docs import decode
-from .registry import load, query
+from .registry import load, load_wide, query
 
 NOW = dt.datetime(2024, 1, 20, 12)
 IGNORED = ["small ring", "red widget", None]
@@ -97,7 +97,7 @@ _filter("filter_nonempty", "part", ["p_partkey", "p_name"], [("p_name", ">", "")
 
 @query("filter_array_contains", "SELECT doc_id FROM documents WHERE list_contains(string_split(text, ' '), 'the')")
 def filter_array_contains(spark, root):
-    docs = load(spark, root, "documents").select("doc_id", F.split("text", " ").alias("terms"))
+    docs = load_wide(spark, root, "documents").select("doc_id", F.split("text", " ").alias("terms"))
     return sel.select_rows(docs, [("terms", "in", "the")]).select("doc_id")
 
 
@@ -190,7 +190,7 @@ def rows_as_frame(spark, root):
        WHERE NOT regexp_matches(uri, '^(https?|gc|s3)://')""",
 )
 def filter_local_uri(spark, root):
-    pages = load(spark, root, "pages")
+    pages = load_wide(spark, root, "pages")
     bare = pages.select("page_id", F.regexp_replace("url", "^https?://", "").alias("uri"))
     both = pages.select("page_id", F.col("url").alias("uri")).unionByName(bare)
     return both.where(tx.is_local_uri(F.col("uri")))
@@ -263,5 +263,5 @@ def union_distinct(spark, root):
 
 @query("drop_unmatched", "SELECT doc_id, quality FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL")
 def drop_unmatched(spark, root):
-    docs = load(spark, root, "documents").select("doc_id")
+    docs = load_wide(spark, root, "documents").select("doc_id")
     return docs.join(load(spark, root, "labels"), "doc_id", "left").where("quality is not null").select("doc_id", "quality")

@@ -10,7 +10,7 @@ from ..functions.stem import stem
 from ..operators.match import agenda_scores
 from ..operators.select import not_status
 from ..sources.pages import ListingLayout, list_item_links, outcome_counts, page_records
-from .registry import load, query
+from .registry import load, load_wide, query
 
 STOP_LIST = ", ".join(f"'{word}'" for word in tx.STOP_WORDS)
 STRIPPED = (
@@ -24,7 +24,7 @@ TERMS = f"list_filter(string_split({STRIPPED}, ' '), lambda x: x <> '' AND x NOT
 def _documents(name, column, make, sql):
     @query(name, f"SELECT doc_id, {sql} AS {column} FROM documents")
     def run(spark, root):
-        return load(spark, root, "documents").select("doc_id", make(F.col("text")).alias(column))
+        return load_wide(spark, root, "documents").select("doc_id", make(F.col("text")).alias(column))
 
     return run
 
@@ -62,7 +62,7 @@ _documents(
     "FROM (SELECT unnest(string_split(text, ' ')) AS term FROM documents)",
 )
 def term_is_eos(spark, root):
-    terms = load(spark, root, "documents").select(F.explode(F.split("text", " ")).alias("term")).distinct()
+    terms = load_wide(spark, root, "documents").select(F.explode(F.split("text", " ")).alias("term")).distinct()
     return terms.select("term", tx.ends_sentence(F.col("term")).alias("is_eos"))
 
 
@@ -70,7 +70,7 @@ def term_is_eos(spark, root):
 def text_stem(spark, root):
     from ..operators.index import term_rows
 
-    terms = term_rows(load(spark, root, "documents"), "doc_id").select("term").distinct()
+    terms = term_rows(load_wide(spark, root, "documents"), "doc_id").select("term").distinct()
     return terms.select("term", stem("term").alias("stem"))
 
 
@@ -94,7 +94,7 @@ def _suffixed(title, suffix_of):
 @query("normalize_name", f"SELECT page_id, replace({_SQL_TITLE}, chr(10), '') AS body FROM pages")
 def normalize_name(spark, root):
     title = _suffixed(page_title(), F.col("page_id"))
-    return load(spark, root, "pages").select("page_id", tx.normalize_name(title).alias("body"))
+    return load_wide(spark, root, "pages").select("page_id", tx.normalize_name(title).alias("body"))
 
 
 @query(
@@ -154,7 +154,7 @@ def default_index(spark, root):
          FROM (SELECT doc_id, replace(replace(text, 'Agenda:', ''), 'Agenda Items:', '') AS text FROM documents)))""",
 )
 def split_agenda(spark, root):
-    docs = load(spark, root, "documents")
+    docs = load_wide(spark, root, "documents")
     agenda = F.concat(F.lit("Agenda:"), F.col("text"))
     exploded = docs.select("doc_id", F.posexplode(tx.split_agenda(agenda)).alias("position", "item"))
     return exploded.withColumn("position", F.col("position").cast("long"))
@@ -165,7 +165,7 @@ def split_agenda(spark, root):
     "SELECT page_id, unnest(regexp_extract_all(html, '<li><a href=\"([^\"]*)\"', 1)) AS href FROM pages",
 )
 def page_links(spark, root):
-    return list_item_links(load(spark, root, "pages"), "page_id").drop("position")
+    return list_item_links(load_wide(spark, root, "pages"), "page_id").drop("position")
 
 
 @query(
@@ -177,7 +177,7 @@ def page_links(spark, root):
 )
 def resolve_route(spark, root):
     links = F.concat(F.array("url"), F.regexp_extract_all("html", F.lit('<li><a href="([^"]*)"'), 1))
-    pages = load(spark, root, "pages").select("page_id", "url", F.explode(links).alias("href"))
+    pages = load_wide(spark, root, "pages").select("page_id", "url", F.explode(links).alias("href"))
     return pages.select("page_id", "href", tx.resolve_route(F.col("url"), F.col("href")).alias("uri"))
 
 
@@ -200,7 +200,7 @@ _SQL_HOST = "regexp_extract(url, '//([a-z]+)', 1)"
     "'https://cc.example.gov//captions/' || page_id || '.vtt' END AS caption_uri FROM pages",
 )
 def extract_uri(spark, root):
-    return load(spark, root, "pages").select(
+    return load_wide(spark, root, "pages").select(
         "page_id", tx.caption_uri(player_script(), "https://cc.example.gov/").alias("caption_uri")
     )
 
@@ -214,12 +214,12 @@ def extract_uri(spark, root):
 def extract_uri_required(spark, root):
     video = tx.video_uri(player_script(), _HOST)
     status = F.when(video.isNull(), "unparseable").otherwise("parsed")
-    return load(spark, root, "pages").select("page_id", video.alias("video_uri"), status.alias("status"))
+    return load_wide(spark, root, "pages").select("page_id", video.alias("video_uri"), status.alias("status"))
 
 
 def listing_pages(spark, root, day=None):
     """Each page as a listing page with one entry made of its own data."""
-    pages = load(spark, root, "pages")
+    pages = load_wide(spark, root, "pages")
     if day is None:
         day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 28).cast("int"))
     words = F.slice(F.regexp_extract_all("html", F.lit('<li><a href="/([^"]*)"'), 1), 1, 4)
@@ -278,7 +278,7 @@ def outcome_counts_query(spark, root):
 
 @query("sha256_key", "SELECT page_id, sha256(url) AS key FROM pages")
 def sha256_key(spark, root):
-    return load(spark, root, "pages").select("page_id", tx.sha256_key(F.col("url")).alias("key"))
+    return load_wide(spark, root, "pages").select("page_id", tx.sha256_key(F.col("url")).alias("key"))
 
 
 @query(
@@ -287,7 +287,7 @@ def sha256_key(spark, root):
 )
 def content_path(spark, root):
     name = F.concat(F.col("page_id").cast("string"), F.lit(".html"))
-    return load(spark, root, "pages").select("page_id", tx.content_path(tx.sha256_key(F.col("url")), name).alias("path"))
+    return load_wide(spark, root, "pages").select("page_id", tx.content_path(tx.sha256_key(F.col("url")), name).alias("path"))
 
 
 @query(
@@ -297,7 +297,7 @@ def content_path(spark, root):
 )
 def uri_parts(spark, root):
     url = F.col("url")
-    return load(spark, root, "pages").select(
+    return load_wide(spark, root, "pages").select(
         "page_id", tx.uri_filename(url).alias("filename"), tx.uri_suffix(url).alias("suffix")
     )
 

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import segments as sg
 from ..sources.captions import cues as parse_cues
 from ..sources.transcripts import known_format, raw_text
-from ..session import widen
-from .registry import load, query
+from .registry import load, load_wide, query
 
 CUES = """SELECT conv_id, turn AS cue, CASE WHEN role = 'user' THEN 1 ELSE 0 END AS starts, text,
             turn * 5.0 AS start_time, turn * 5.0 + 4.5 AS end_time,
@@ -160,7 +159,7 @@ WORD_SENTENCES = f"""
 
 def words(spark, root):
     tokens = F.filter(F.split(F.translate("text", "\n", " "), " "), lambda word: word != "")
-    exploded = widen(load(spark, root, "documents")).select("doc_id", F.posexplode(tokens).alias("word", "text"))
+    exploded = load_wide(spark, root, "documents").select("doc_id", F.posexplode(tokens).alias("word", "text"))
     return exploded.select(
         "doc_id", F.col("word").cast("long").alias("word"), "text",
         (F.col("word") * 0.5).alias("start_time"), (F.col("word") * 0.5 + 0.25).alias("end_time"),
@@ -200,7 +199,7 @@ def flatten_words(spark, root):
     )
     other = F.slice(spoken, 1, 1)
     alternatives = F.array(F.struct(spoken.alias("words")), F.struct(other.alias("words")))
-    results = load(spark, root, "documents").select("doc_id", F.lit(0).alias("result"), alternatives.alias("alternatives"))
+    results = load_wide(spark, root, "documents").select("doc_id", F.lit(0).alias("result"), alternatives.alias("alternatives"))
     return sg.flatten_words(results, "doc_id").drop("result")
 
 
@@ -222,7 +221,7 @@ def mean_confidence(spark, root):
             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used FROM c)
     SELECT source, doc_id, phrase FROM u WHERE used <= 9900""")
 def budgeted_prefix(spark, root):
-    phrases = load(spark, root, "documents").select("source", "doc_id", F.col("text").alias("phrase"))
+    phrases = load_wide(spark, root, "documents").select("source", "doc_id", F.col("text").alias("phrase"))
     return sg.phrase_prefix(phrases, "source", "doc_id")
 
 
@@ -233,7 +232,7 @@ def budgeted_prefix(spark, root):
 def source_fallback(spark, root):
     from ..plans.gather import with_transcripts
 
-    docs = load(spark, root, "documents").select(
+    docs = load_wide(spark, root, "documents").select(
         "doc_id", F.col("doc_id").alias("caption_uri"), F.col("doc_id").alias("video_uri")
     )
     captioned = load(spark, root, "labels").where("quality = 1").select(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.stem import stem
 from ..functions.text import index_term, index_tokens
-from ..session import widen, written
+from ..session import written
 from .spread import spread_join
 
 
@@ -25,9 +25,7 @@ class Indexer(Protocol):
 
 def term_rows(corpus: DataFrame, id_column: str, text: str = "text") -> DataFrame:
     """One row per term occurrence, cleaned but not stemmed."""
-    tokens = widen(corpus.select(id_column, text)).select(
-        id_column, F.explode(index_tokens(F.col(text))).alias("token")
-    )
+    tokens = corpus.select(id_column, F.explode(index_tokens(F.col(text))).alias("token"))
     return tokens.select(id_column, index_term(F.col("token")).alias("term")).where("term != ''")
 
 

@@ -36,7 +36,8 @@ def interval_join(records: DataFrame, record_time: str, meetings: DataFrame, mee
 
 
 def _blocks(candidates: DataFrame, bucket: str, id_column: str, text: str) -> DataFrame:
-    """Candidates of each bucket in arrays of about `BLOCK`."""
+    """Distinct candidates of each bucket in arrays of about `BLOCK`."""
+    candidates = candidates.select(bucket, id_column, *{text} - {id_column}).distinct()
     sizes = candidates.groupBy(bucket).agg(F.count("*").alias("n_candidates"))
     n_blocks = F.ceil(F.col("n_candidates") / BLOCK)
     spread = candidates.join(sizes, bucket).withColumn("_block", F.pmod(F.xxhash64(id_column), n_blocks))

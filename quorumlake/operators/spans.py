@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import ends_sentence
-from ..session import widen
 
 MAX_SPAN = 10
 
@@ -51,8 +50,8 @@ def all_spans(docs: DataFrame, id_column: str, text: str = "text", max_span: int
 
     A term is named by its sentence and its position there, both from 0.
     """
-    marked = F.regexp_replace(F.col(text), "([^ ]*[.!?][^ ]*) ", f"$1{_BREAK}")
-    sentences = widen(docs.select(id_column, text)).select(id_column, F.posexplode(F.split(marked, _BREAK)).alias("sentence", "_text"))
+    marked = F.regexp_replace(F.col(text), r"(?<![^ ])([^ .!?]*[.!?][^ ]*) ", f"$1{_BREAK}")
+    sentences = docs.select(id_column, F.posexplode(F.split(marked, _BREAK)).alias("sentence", "_text"))
     terms = sentences.select(id_column, "sentence", F.split("_text", " ").alias("_terms"))
     spans = F.transform(F.col("_terms"), lambda term, i: F.struct(term.alias("term"), _span(F.col("_terms"), i, max_span).alias("span")))
     hit = F.posexplode(spans).alias("position", "_hit")

@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import widen
 from .spread import best_per_key, spread_join
 
 
 def placed_tokens(docs: DataFrame, id_column: str, text: str = "text") -> DataFrame:
     """Tokens with position, and whether each opens a sentence."""
     tokens = F.split(F.translate(F.col(text), "\n\t", "  "), " ")
-    split = widen(docs.select(id_column, text)).select(id_column, tokens.alias("_tokens"))
+    split = docs.select(id_column, tokens.alias("_tokens"))
     opens = F.transform(
         F.col("_tokens"),
         lambda token, i: F.struct(

@@ -61,9 +61,11 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 def widen(df: DataFrame) -> DataFrame:
-    """Spread an input of fewer splits than cores before heavy row-local work.
+    """Spread a scan of fewer splits than cores before heavy row-local work.
 
     Such an input is small, so the shuffle is; anything larger is left alone.
+    Only for frames read from files: asking a frame with shuffles for its
+    partitions would run them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions.values import parse_month_day_year
 from ..operators.select import within_window
-from ..session import widen
 
 
 @dataclass(frozen=True)
@@ -136,7 +135,7 @@ def _pieces(pages: DataFrame, layout: ListingLayout | SingleLayout) -> DataFrame
             yield pd.DataFrame(rows, columns=["url", "position", "title", "date", "agenda", "script", "href"])
 
     schema = "url string, position int, title string, date string, agenda string, script string, href string"
-    return widen(pages.select("url", "html")).mapInPandas(parse, schema)
+    return pages.select("url", "html").mapInPandas(parse, schema)
 
 
 def page_records(
