@@ -4,13 +4,15 @@ and line items for persons, agenda items and votes."""
 
 from __future__ import annotations
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ..operators import manifest as mf
 from ..operators import store as st
+from ..operators.index import TfidfIndexer
 from ..operators.spread import best_per_key
 from ..plans.indexing import event_index, item_index
-from ..operators.index import TfidfIndexer
+from ..plans.runs import RunLog
 from ..session import work_path
 from ..sources.files import digests, inventory, missing_files
 from ..sources.tables import clone_tables, read_table, write_table
@@ -324,3 +326,23 @@ def item_index_query(spark, root):
     indexer = TfidfIndexer("minutes_item_id", stemmed=False)
     built = item_index(decided, items, spoken, stored, texts, attachments, indexer=indexer)
     return built.withColumn("value", F.round("value", 6))
+
+
+@query("run_log", """
+    SELECT 'order-count' AS name, '1.0' AS version, 'run_input' AS side, 'str' AS dtype, 'orders' AS value UNION ALL
+    SELECT 'order-count', '1.0', 'run_output', 'int', CAST(count(*) AS VARCHAR) FROM orders""")
+def run_log(spark, root):
+    """A run that counts the orders while they pass to a sink, and its lineage."""
+    log = work_path(spark, "runs")
+    with RunLog(spark, log, "order-count", "1.0", inputs=("orders", None)) as run:
+        seen = Observation()
+        counted = load(spark, root, "orders").select("o_orderkey").observe(seen, F.count("*").alias("n"))
+        counted.write.format("noop").mode("overwrite").save()
+        run.add_output(seen.get["n"])
+
+    def values(side):
+        return read_table(spark, log, side).select("run_id", F.lit(side).alias("side"), "dtype", "value")
+
+    both = values("run_input").unionByName(values("run_output"))
+    runs = read_table(spark, log, "run").join(read_table(spark, log, "algorithm"), "algorithm_id")
+    return both.join(runs.select("run_id", "name", "version"), "run_id").drop("run_id")

@@ -35,7 +35,7 @@ class OrderBy:
 
 
 def _equals(column: Column, value: Any) -> Column:
-    return column.eqNullSafe(F.lit(value))
+    return column.isNull() if value is None else column == value
 
 
 _COMPARISONS: dict[str, Callable[[Column, Any], Column]] = {
