@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .select import filled
@@ -98,7 +98,7 @@ def decision_item_sources(
     )
 
 
-def grouped_lists(rows: DataFrame, key: str, value: str, block: F.Column) -> DataFrame:
+def grouped_lists(rows: DataFrame, key: str, value: str, block: Column) -> DataFrame:
     """Distinct values per key as sorted lists, one per block of values.
 
     `block` must put a bounded number of distinct values together.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -151,13 +151,3 @@ def agenda_scores(
         return pd.Series([score(x, y) for x, y in zip(a, b)], dtype="float64")
 
     return pairs.withColumn("score", scored(F.col(left), F.col(right)))
-
-
-def bucket_of(*columns: str) -> F.Column:
-    """Several columns as one bucket."""
-    return F.struct(*columns)
-
-
-__all__: Sequence[str] = (
-    "agenda_scores", "bucket_of", "closest", "interval_join", "match_agendas", "match_names",
-)

@@ -16,6 +16,9 @@ DEFAULTS = {
 }
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def session(app_name: str = "quorumlake", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the defaults above; keyword names use `__` for dots."""
     builder = SparkSession.builder.appName(app_name)
@@ -39,9 +42,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    created = tempfile.mkdtemp(prefix="quorumlake-")
-    spark.conf.set("spark.checkpoint.dir", created)
-    return created
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_DIRS:
+        _LOCAL_DIRS[application] = tempfile.mkdtemp(prefix="quorumlake-")
+    return _LOCAL_DIRS[application]
 
 
 def work_path(spark: SparkSession, label: str) -> str:

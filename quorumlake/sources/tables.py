@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable, Mapping
 
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators.index import upsert
+from ..operators.store import insert_if_absent, require_unique, surrogate_key
 from ..schemas import TABLES
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A full scan with the table's fixed schema, its id column first."""
-    table = TABLES[name]
-    return spark.read.schema(table.ddl).parquet(f"{root}/{name}")
+    return spark.read.schema(TABLES[name].ddl).parquet(f"{root}/{name}")
 
 
 def write_table(df: DataFrame, root: str, name: str, mode: str = "append") -> None:
     """Rows in the table's column order and types."""
-    from pyspark.sql import functions as F
-    from pyspark.sql import types as T
-
     fields = T.StructType.fromDDL(TABLES[name].ddl).fields
     columns = [
         (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
@@ -31,7 +33,45 @@ def wipe_table(spark: SparkSession, root: str, name: str) -> None:
     write_table(spark.createDataFrame([], TABLES[name].ddl), root, name, mode="overwrite")
 
 
-def clone_tables(spark: SparkSession, source: str, target: str, names: list[str]) -> None:
+def create_tables(spark: SparkSession, root: str, names: Iterable[str] = TABLES) -> None:
+    """Make each table that is not there yet; rows already stored stay."""
+    for name in names:
+        write_table(spark.createDataFrame([], TABLES[name].ddl), root, name)
+
+
+def clone_tables(spark: SparkSession, source: str, target: str, names: Iterable[str]) -> None:
     """Copy tables to another root, replacing them; ids and links are kept."""
     for name in names:
         write_table(read_table(spark, source, name), target, name, mode="overwrite")
+
+
+def insert_rows(spark: SparkSession, root: str, name: str, batch: DataFrame, *order: Column) -> None:
+    """Append the batch rows whose natural key the table does not hold.
+
+    Of batch rows sharing a key the first in `order` is taken. A key stored
+    more than once is an error. Rows get their id and time of creation.
+    """
+    table = TABLES[name]
+    stored = require_unique(read_table(spark, root, name), name, table.key)
+    rows = insert_if_absent(stored, batch, table.key, *(order or [F.col(k) for k in table.key]))
+    stamp = "updated" if "updated" in stored.columns else "created"
+    if stamp in stored.columns and stamp not in rows.columns:
+        rows = rows.withColumn(stamp, F.current_timestamp())
+    write_table(rows.withColumn(table.id_column, surrogate_key(name, *table.key)), root, name)
+
+
+def insert_star(spark: SparkSession, root: str, frames: Mapping[str, DataFrame]) -> None:
+    """Insert the frames of a star load, each into its table."""
+    for name, frame in frames.items():
+        insert_rows(spark, root, name, frame)
+
+
+def upsert_rows(spark: SparkSession, root: str, name: str, batch: DataFrame, target: str) -> None:
+    """Write a snapshot of an index table below `target`, with the batch's
+    values in place of stored ones of the same key. The source is not changed."""
+    table = TABLES[name]
+    new = batch.withColumns(
+        {table.id_column: surrogate_key(name, *table.key), "updated": F.current_timestamp()}
+    )
+    merged = upsert(read_table(spark, root, name), new, list(table.key), table.id_column)
+    write_table(merged, target, name, mode="overwrite")

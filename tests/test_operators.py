@@ -269,6 +269,31 @@ def test_match_names(spark):
     assert set(got) == {1, 2}
 
 
+@pytest.mark.parametrize("floor", [2, 10_000_000])
+def test_match_names_agrees_with_brute_force(spark, monkeypatch, floor):
+    """Half of all names fall on one day, in blocks of three candidates."""
+    monkeypatch.setattr(ma, "BLOCK", 3)
+    random.seed(8)
+    parts = ["Parks", "Finance", "Budget", "Select", "Committee", "on", "Levy", "Council"]
+    name = lambda k: " ".join(random.sample(parts, k))
+    records = [(i, "hot" if i % 2 else f"d{i % 3}", name(3)) for i in range(30)]
+    options = [("hot" if i % 2 else f"d{i % 3}", name(random.randint(2, 4))) for i in range(30)]
+    got = ma.match_names(
+        spark.createDataFrame(records, "id int, day string, body string"),
+        spark.createDataFrame(options, "day string, body string"), "day", "body", floor=floor,
+    )
+    expected = set()
+    for key, day, body in records:
+        names = {b for d, b in options if d == day}
+        if body in names:
+            expected.add((key, body, 100.0))
+        elif names:
+            score, best = min((-name_score(body, b), b) for b in names)
+            if -score >= 50:
+                expected.add((key, best, round(-score, 9)))
+    assert {(r.id, r.matched_name, round(r.score, 9)) for r in got.collect()} == expected
+
+
 def test_interval_join_is_half_open(spark):
     records = spark.sql("select 1 as id, timestamp'2024-01-01 00:00:00' as t union all select 2, timestamp'2024-01-01 10:00:00'")
     held = spark.sql("select explode(array(timestamp'2024-01-01 00:00:00', timestamp'2024-01-02 00:00:00')) as m")

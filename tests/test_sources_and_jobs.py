@@ -265,3 +265,39 @@ def test_stream_index_equals_batch(spark, small, tmp_path):
     streamed = ix.tfidf(counts, "doc_id", stored=True)
     batch = ix.tfidf(ix.term_counts(docs, "doc_id"), "doc_id")
     assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()
+
+
+def test_stored_rows(spark, tmp_path):
+    root = str(tmp_path / "db")
+    tables.create_tables(spark, root)
+    batch = spark.createDataFrame([("A B", None, "1"), ("A B", None, "2"), ("C", "c@x", None)], "full_name string, email string, phone string")
+    for _ in range(2):
+        tables.insert_rows(spark, root, "person", batch, F.col("phone"))
+        tables.create_tables(spark, root)
+    stored = tables.read_table(spark, root, "person")
+    assert {(r.full_name, r.email, r.phone) for r in stored.collect()} == {("A B", None, "1"), ("C", "c@x", None)}
+    assert stored.where("person_id is null or created is null").isEmpty()
+    tables.write_table(stored, root, "person")
+    with pytest.raises(Exception, match="person has 2 rows"):
+        tables.insert_rows(spark, root, "person", batch)
+
+    first = spark.createDataFrame([("levy", "e1", 1.0), ("park", "e1", 2.0)], "term string, event_id string, value double")
+    tables.upsert_rows(spark, root, "indexed_event_term", first, str(tmp_path / "v1"))
+    second = spark.createDataFrame([("levy", "e1", 5.0), ("bike", "e2", 3.0)], first.schema)
+    tables.upsert_rows(spark, str(tmp_path / "v1"), "indexed_event_term", second, str(tmp_path / "v2"))
+    got = tables.read_table(spark, str(tmp_path / "v2"), "indexed_event_term").collect()
+    assert {(r.term, r.event_id): r.value for r in got} == {("levy", "e1"): 5.0, ("park", "e1"): 2.0, ("bike", "e2"): 3.0}
+    assert len({r.indexed_event_term_id for r in got}) == 3
+
+
+def test_star_load_twice_adds_nothing(spark, meetings, tmp_path):
+    gathered = normalize_meetings(meetings).withColumns(
+        {"source_uri": F.lit("s"), "video_uri": F.lit("v"), "transcript_uri": F.lit("t"), "confidence": F.lit(0.97)}
+    )
+    root = str(tmp_path / "db")
+    tables.create_tables(spark, root)
+    counts = []
+    for _ in range(2):
+        tables.insert_star(spark, root, star_tables(gathered))
+        counts.append({n: tables.read_table(spark, root, n).count() for n in star_tables(gathered)})
+    assert counts[0] == counts[1] and counts[0]["minutes_item"] == 4
