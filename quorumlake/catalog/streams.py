@@ -64,4 +64,4 @@ def stream_index(spark, root):
     documents = _stream(spark, root, "documents").select("doc_id", "text")
     jobs.count_terms(documents, "doc_id", table, checkpoint, stemmed=False).awaitTermination()
     counts = spark.read.schema("doc_id long, term string, n long").parquet(table)
-    return ix.prune(ix.tfidf(counts, "doc_id", stored=True)).withColumn("value", F.round("value", 6))
+    return ix.prune(ix.tfidf(ix.merge_counts(counts, "doc_id"), "doc_id")).withColumn("value", F.round("value", 6))

@@ -38,6 +38,11 @@ def term_counts(corpus: DataFrame, id_column: str, text: str = "text", stemmed:
     return stems.groupBy(id_column, "term").agg(F.sum("n").alias("n"))
 
 
+def merge_counts(counts: DataFrame, id_column: str) -> DataFrame:
+    """Counts gathered piece by piece as one row per id and term."""
+    return counts.groupBy(id_column, "term").agg(F.sum("n").alias("n"))
+
+
 def document_frequency(counts: DataFrame) -> DataFrame:
     """In how many ids each term occurs: `(term, df)`."""
     return counts.groupBy("term").agg(F.count("*").alias("df"))

@@ -84,8 +84,9 @@ def count_terms(
 ):
     """Term counts of arriving documents, from which the index is refreshed.
 
-    `index.tfidf` over the stored counts equals a full rebuild: frequencies and
-    corpus size are taken from the counts, and no text is read again.
+    `index.tfidf` over the merged counts equals a full rebuild: frequencies and
+    corpus size are taken from the counts, and no text is read again. The parts
+    of one document may arrive in different batches.
     """
 
     def count(batch: DataFrame, batch_id: int) -> None:

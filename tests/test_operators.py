@@ -336,7 +336,7 @@ def test_manifest_order_field_is_checked(spark):
 
 
 def test_truecase(spark):
-    corpus = spark.createDataFrame([(1, "we met Seattle folks. the Seattle mayor spoke to us")], "id int, text string")
+    corpus = spark.createDataFrame([(1, "we met Denver folks. the Denver mayor spoke to us")], "id int, text string")
     model = fit_casing(placed_tokens(corpus, "id"))
-    shouted = placed_tokens(spark.createDataFrame([(7, "THE MAYOR OF SEATTLE SPOKE. WE LEFT")], "id int, text string"), "id")
-    assert apply_casing(shouted, model, "id").first().text == "The mayor of Seattle spoke. We left"
+    shouted = placed_tokens(spark.createDataFrame([(7, "THE MAYOR OF DENVER SPOKE. WE LEFT")], "id int, text string"), "id")
+    assert apply_casing(shouted, model, "id").first().text == "The mayor of Denver spoke. We left"

@@ -257,12 +257,13 @@ def test_stream_inserts_once_over_batches(spark, small, tmp_path):
 def test_stream_index_equals_batch(spark, small, tmp_path):
     from quorumlake.operators import index as ix
 
-    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
+    """Documents sharing a source are parts of one, spread over the batches."""
+    docs = spark.read.parquet(f"{small}/documents.parquet").select(F.col("source").alias("doc_id"), "text")
     docs.repartition(4).write.parquet(str(tmp_path / "in"))
     stream = jobs.file_stream(spark, str(tmp_path / "in"), docs.schema, files_per_batch=1)
     jobs.count_terms(stream, "doc_id", str(tmp_path / "counts"), str(tmp_path / "cp")).awaitTermination()
     counts = spark.read.parquet(str(tmp_path / "counts")).drop("batch")
-    streamed = ix.tfidf(counts, "doc_id", stored=True)
+    streamed = ix.tfidf(ix.merge_counts(counts, "doc_id"), "doc_id")
     batch = ix.tfidf(ix.term_counts(docs, "doc_id"), "doc_id")
     assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()
 
