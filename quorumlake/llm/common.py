@@ -99,7 +99,7 @@ def sieve(df: DataFrame, column: str) -> np.ndarray:
     words = (
         df.select(bit.alias("b"))
         .groupBy(F.shiftright("b", 5).alias("w"))
-        .agg(F.bit_or(F.shiftleft(F.lit(1).cast("long"), F.pmod("b", F.lit(32)).cast("int"))).alias("v"))
+        .agg(F.expr("bit_or(shiftleft(1L, CAST(b & 31 AS INT)))").alias("v"))
         .toArrow()
     )
     held = np.zeros(1 << (SIEVE_BITS - 5), np.uint32)

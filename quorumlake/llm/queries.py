@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, langid, mixing, neighbours, packing, pii, secrets
+from . import exact, fingerprint, langid, mixing, neighbours, packing, pii, secrets
 from .common import documents
 
 
@@ -41,6 +41,10 @@ def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op9_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.strip(documents(spark, sf_dir))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(documents(spark, sf_dir))
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_packing": op6_packing,
     "op7_pii": op7_pii,
     "op8_neighbours": op8_neighbours,
+    "op9_exact": op9_exact,
     "op10_fingerprints": op10_fingerprints,
 }
 SQL: dict[str, str] = {"op3_mix": mixing.SQL}
