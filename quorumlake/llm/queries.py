@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, fingerprint, langid, mixing, neighbours, packing, pii, secrets
+from . import exact, fingerprint, jaccard, langid, lines, mixing, neighbours, packing, pii, secrets
 from .common import documents
 
 
@@ -16,6 +16,10 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("spans", secrets.span_string(F.col("spans")))
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes_of(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links")
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
@@ -24,6 +28,11 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
 
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.deduplicated(documents(spark, sf_dir))
+    return found.select("doc_id", "n_lines", "n_removed", "n_near", F.concat_ws(",", F.col("removed").cast("array<string>")).alias("removed"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
@@ -51,8 +60,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op2_jaccard": op2_jaccard,
     "op3_mix": op3_mix,
     "op4_langid": op4_langid,
+    "op5_lines": op5_lines,
     "op6_packing": op6_packing,
     "op7_pii": op7_pii,
     "op8_neighbours": op8_neighbours,
