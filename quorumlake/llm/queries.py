@@ -7,13 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, fingerprint, jaccard, langid, lines, mixing, neighbours, packing, pii, secrets
+from . import exact, fingerprint, jaccard, langid, lines, mixing, neighbours, packing, pii, secret_scan
 from .common import documents
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan(documents(spark, sf_dir))
-    return found.withColumn("spans", secrets.span_string(F.col("spans")))
+    found = secret_scan.scan(documents(spark, sf_dir))
+    return found.withColumn("spans", secret_scan.span_string(F.col("spans")))
 
 
 def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
