@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD = "[^\\x20\\x09-\\x0D]+"
-PIECE_CHARS = 4_000_000
+PIECE_BYTES = 2_000_000
 SIEVE_BITS = 23
 
 
@@ -73,7 +73,7 @@ def record_batch(columns: list, target: pa.Schema) -> pa.RecordBatch:
 def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Slices of a batch of a few megabytes each, so that long texts don't pile up."""
     count = batch.num_rows
-    step = max(1, min(count, int(count * PIECE_CHARS * 4 / max(1, batch.nbytes))))
+    step = max(1, min(count, int(count * PIECE_BYTES / max(1, batch.nbytes))))
     for at in range(0, count, step):
         yield batch.slice(at, step)
 

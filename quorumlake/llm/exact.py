@@ -33,13 +33,13 @@ from pyspark.sql import functions as F
 from ..session import written
 from .common import pieces, record_batch, schema_of, sieve, sifted
 from .hashing import grams, prefix, spans
-from .suffix import common_prefixes, suffix_array
+from .suffix import common_prefixes, suffix_array, words
 
 DEPTH = 200
 GRAM = 16
 #: windows of one pass; longer texts go in passes that overlap
 PASS = 1 << 23
-BUCKET_BYTES = 3_000_000
+BUCKET_BYTES = 1_500_000
 #: distinct regions of one k-gram that one bucket may hold
 CROWD = 32_768
 _POSITION = np.uint64((1 << 24) - 1)
@@ -137,8 +137,9 @@ def repeated(bodies: list[bytes], windows: np.ndarray, times: np.ndarray, depth:
     edge[starts] += 1
     edge[starts + windows] -= 1
     wanted = np.cumsum(edge[:-1]) > 0
-    order = suffix_array(text, wanted, depth)
-    equal = common_prefixes(text, order, depth) >= depth
+    word = words(text)
+    order = suffix_array(text, word, wanted, depth)
+    equal = common_prefixes(word, order, depth) >= depth
     twice = equal.copy()
     twice[:-1] |= equal[1:]
     marked = np.zeros(len(text), bool)

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from .hashing import prefix, spans
+from .hashing import mix
 
 WORD_BYTES = 8
 
@@ -23,9 +23,9 @@ def words(text: np.ndarray) -> np.ndarray:
     """At each position the next eight bytes as one big-endian number; the text must end in eight spare bytes."""
     out = text.astype(np.uint64)
     for step in (1, 2, 4):
-        joined = out << np.uint64(8 * step)
-        joined[:-step] |= out[step:]
-        out = joined
+        following = out[step:].copy()
+        out <<= np.uint64(8 * step)
+        out[:-step] |= following
     return out
 
 
@@ -36,7 +36,7 @@ def smaller(text: np.ndarray) -> np.ndarray:
     differs[:-1] = text[:-1] != text[1:]
     differs[-1] = True
     # equal neighbours take the verdict of the next position that differs
-    at = np.where(differs, np.arange(n), n)
+    at = np.where(differs, np.arange(n, dtype=np.int32), np.int32(n))
     at = np.minimum.accumulate(at[::-1])[::-1]
     less = np.zeros(n, bool)
     less[:-1] = text[:-1] < text[1:]
@@ -73,32 +73,33 @@ def sort_small(text: np.ndarray, word: np.ndarray, at: np.ndarray, depth: int) -
     """As sort_direct, but equal strings are sorted once."""
     if not len(at):
         return at
-    hashed = spans(prefix(text), at, at + depth)
+    hashed = np.zeros(len(at), np.uint64)
+    for offset in range(0, depth, WORD_BYTES):
+        hashed = mix(hashed + word[at + offset])
     _, first, member = np.unique(hashed, return_index=True, return_inverse=True)
     order = sort_direct(word, at[first], depth)
-    rank = np.empty(len(text), np.int64)
+    rank = np.empty(len(text), np.int32)
     rank[order] = np.arange(len(order))
     return at[np.argsort(rank[at[first]][member], kind="stable")]
 
 
-def suffix_array(text: np.ndarray, wanted: np.ndarray, depth: int) -> np.ndarray:
+def suffix_array(text: np.ndarray, word: np.ndarray, wanted: np.ndarray, depth: int) -> np.ndarray:
     """The wanted positions in suffix order, exact to at least `depth` bytes.
 
     `text` holds zero only as separator, ends in one, and is followed by at
-    least depth + 8 zero bytes. `wanted` is a mask over the text.
+    least depth + 8 zero bytes; `word` is words(text). `wanted` is a mask over the text.
     """
     n = len(text) - depth - WORD_BYTES
     small = smaller(text[:n])
     small[text[:n] == 0] = True
     # a larger suffix is induced from its successor: follow each chain to the next smaller one
-    following = np.minimum.accumulate(np.where(small, np.arange(n), n)[::-1])[::-1]
+    following = np.minimum.accumulate(np.where(small, np.arange(n, dtype=np.int32), np.int32(n))[::-1])[::-1]
     starts = np.flatnonzero(wanted[:n])
     ends = following[starts]
     edge = np.zeros(n + 1, np.int32)
     np.add.at(edge, starts, 1)
     np.add.at(edge, ends + 1, -1)
     active = np.cumsum(edge[:n]) > 0
-    word = words(text)
     direct = np.flatnonzero(active & small & (text[:n] != 0))
     direct = sort_small(text, word, direct, depth)
     bounds = np.searchsorted(text[direct], np.arange(257))
@@ -131,9 +132,8 @@ def suffix_array(text: np.ndarray, wanted: np.ndarray, depth: int) -> np.ndarray
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
-def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
+def common_prefixes(word: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
     """Common prefix of each position with the one before it in order, up to `depth`; 0 for the first."""
-    word = words(text)
     length = np.zeros(len(order), np.int64)
     rows = np.arange(1, len(order))
     for offset in range(0, depth, WORD_BYTES):
