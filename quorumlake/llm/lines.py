@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
@@ -68,8 +68,8 @@ class Lines:
 
 
 def identity(hashed: np.ndarray) -> np.ndarray:
-    """63 bits that name a line where lines meet; the lowest bit is free."""
-    return (hashed & ~np.uint64(1)).view(np.int64)
+    """63 bits that name a line where lines meet; the sign is free."""
+    return (hashed >> np.uint64(1)).view(np.int64)
 
 
 def segment(length: np.ndarray, k: int, tau: int = TAU) -> tuple[np.ndarray, np.ndarray]:
@@ -80,7 +80,7 @@ def segment(length: np.ndarray, k: int, tau: int = TAU) -> tuple[np.ndarray, np.
 
 
 def keys(lines: Lines, rows: np.ndarray, tau: int = TAU) -> tuple[np.ndarray, np.ndarray]:
-    """(key, id) rows; the id's lowest bit is set where the row is also in the index."""
+    """(key, id) rows; the id is negative (~id) where the row is also in the index."""
     out_keys, out_ids = [], []
     start, length = lines.start[rows], lines.length[rows]
     ids = identity(lines.hash[rows])
@@ -97,7 +97,7 @@ def keys(lines: Lines, rows: np.ndarray, tau: int = TAU) -> tuple[np.ndarray, np
                 hashed = spans(lines.sums, begin, begin + size[fits])
                 tag = mix(other[fits].astype(np.uint64) * np.uint64(tau + 1) + np.uint64(k))
                 out_keys.append(mix(hashed ^ tag).view(np.int64))
-                out_ids.append(ids[fits] | (1 if shorter == 0 and shift == 0 else 0))
+                out_ids.append(~ids[fits] if shorter == 0 and shift == 0 else ids[fits])
     return np.concatenate(out_keys), np.concatenate(out_ids)
 
 
@@ -118,38 +118,72 @@ def _per_piece(docs: DataFrame, schema: str, columns) -> DataFrame:
     return texts.mapInArrow(apply, schema)
 
 
-def _firsts(lines: Lines) -> list:
-    rows = lines.firsts()
-    h = lines.hash[rows]
-    return [h.view(np.int64), lines.second(rows).view(np.int64), lines.rid[rows], lines.number[rows].astype(np.int32)]
-
-
-def _texts(held: np.ndarray):
-    """The lines whose id may be in the sieve; the sieve's hash is Spark's, so ids are tested there."""
+def _firsts(held: np.ndarray):
+    """Each piece's distinct lines with the place of the earliest; the text only of those that may have met another."""
 
     def columns(lines: Lines) -> list:
         rows = lines.firsts()
-        ids = identity(lines.hash[rows])
-        bit = (mix(ids.view(np.uint64)) & np.uint64(len(held) * 32 - 1)).astype(np.int64)
-        rows = rows[((held[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1).astype(bool)]
-        body = [lines.points[a:b].tobytes() for a, b in zip(lines.start[rows], lines.end[rows], strict=True)]
-        return [identity(lines.hash[rows]), lines.rid[rows], lines.number[rows].astype(np.int32), body]
+        h = lines.hash[rows]
+        bit = (mix(identity(h).view(np.uint64)) & np.uint64(len(held) * 32 - 1)).astype(np.int64)
+        met = ((held[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1).astype(bool)
+        spans_ = zip(met, lines.start[rows], lines.end[rows], strict=True)
+        body = [lines.points[a:b].tobytes() if m else None for m, a, b in spans_]
+        return [h.view(np.int64), lines.second(rows).view(np.int64), lines.rid[rows], lines.number[rows].astype(np.int32), body]
 
     return columns
 
 
-def _line_sieve(ids: DataFrame, bits: int = 23) -> np.ndarray:
+def met_rows(batches: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(key, id, indexed) of keys that an index row and another line share.
+
+    The batches come sorted by key and tagged id, index rows first, so the first
+    row of a key tells whether the key is indexed at all; it is given out once a
+    second line shows up, and no key is ever held whole.
+    """
+    last_key, first_id, open_, given = None, 0, False, False
+    for key, tagged in batches:
+        if not len(key):
+            continue
+        fresh = np.ones(len(key), bool)
+        fresh[1:] = key[1:] != key[:-1]
+        fresh[0] = last_key is None or key[0] != last_key
+        # a row in front stands for the key left open by the batch before
+        starts = np.flatnonzero(fresh)
+        run = np.cumsum(fresh)
+        ids = np.where(tagged < 0, ~tagged, tagged)
+        run_key = np.concatenate([[0 if last_key is None else last_key], key[starts]])
+        run_id = np.concatenate([[first_id], ids[starts]])
+        run_open = np.concatenate([[open_], tagged[starts] < 0])
+        other = run_open[run] & (ids != run_id[run])
+        # repeated rows stand side by side
+        again = np.zeros(len(key), bool)
+        again[1:] = (key[1:] == key[:-1]) & (tagged[1:] == tagged[:-1])
+        other &= ~again
+        shown = np.zeros(len(run_id), bool)
+        shown[run[other]] = True
+        lead = shown.copy()
+        lead[0] &= not given
+        yield (
+            np.concatenate([run_key[lead], key[other]]),
+            np.concatenate([run_id[lead], ids[other]]),
+            np.concatenate([np.ones(lead.sum(), bool), tagged[other] < 0]),
+        )
+        given = bool(shown[-1] or (len(run_id) == 1 and given))
+        last_key, first_id, open_ = key[-1], run_id[-1], run_open[-1]
+
+
+def _line_sieve(met: DataFrame, bits: int = 23) -> np.ndarray:
     """A bit set of fixed size (1 MB) over mixed line ids."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = np.zeros(1 << (bits - 5), np.uint32)
         for batch in batches:
-            bit = (mix(batch.column("id").to_numpy().view(np.uint64)) & np.uint64((1 << bits) - 1)).astype(np.int64)
+            bit = (mix(batch.column("key").to_numpy().view(np.uint64)) & np.uint64((1 << bits) - 1)).astype(np.int64)
             np.bitwise_or.at(words, bit >> 5, np.uint32(1) << (bit & 31).astype(np.uint32))
         used = np.flatnonzero(words)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(words[used].astype(np.int64))], ["w", "v"])
 
-    got = ids.select("id").mapInArrow(apply, "w long, v long").groupBy("w").agg(F.expr("bit_or(v)").alias("v")).toArrow()
+    got = met.select("key").mapInArrow(apply, "w long, v long").groupBy("w").agg(F.expr("bit_or(v)").alias("v")).toArrow()
     held = np.zeros(1 << (bits - 5), np.uint32)
     held[got["w"].to_numpy()] = got["v"].to_numpy().astype(np.uint32)
     return held
@@ -251,28 +285,32 @@ def _verify(tau: int):
     return apply
 
 
-def near_lines(docs: DataFrame, tau: int = TAU) -> DataFrame:
-    """Ids of the distinct lines that have a different line within tau edits earlier."""
+MET = "meet long, key long, indexed boolean"
+
+
+def met_lines(docs: DataFrame, tau: int = TAU) -> DataFrame:
+    """(meet, key, indexed): lines under each key at which an indexed line meets another."""
 
     def columns(lines: Lines) -> list:
         return list(keys(lines, lines.firsts(), tau))
 
-    rows = _per_piece(docs, "meet long, tagged long", columns).repartition("meet").dropDuplicates(["meet", "tagged"])
-    line = F.col("tagged").bitwiseAND(F.lit(-2))
-    together = Window.partitionBy("meet")
-    met = rows.select(
-        "meet", line.alias("key"), (F.col("tagged").bitwiseAND(F.lit(1)) == 1).alias("indexed"),
-        F.count("*").over(together).alias("n"), F.min(line).over(together).alias("least"), F.max(line).over(together).alias("most"),
-        F.max(F.col("tagged").bitwiseAND(F.lit(1))).over(together).alias("any"),
-    )
-    met = written(met.where("least <> most AND any = 1").select("meet", "key", "indexed", "n"), "met-lines")
-    ids = met.select(F.col("key").alias("id"))
-    texts = _per_piece(docs, "id long, rid long, number int, body binary", _texts(_line_sieve(ids)))
-    earliest = F.min(F.struct("rid", "number"))
-    texts = texts.join(ids.distinct(), "id", "left_semi").groupBy("id").agg(earliest.alias("first"), F.first("body").alias("body"))
-    texts = texts.select(F.col("id").alias("key"), "first.*", "body")
+    rows = _per_piece(docs, "meet long, tagged long", columns).repartition("meet").sortWithinPartitions("meet", "tagged")
+    target = schema_of(docs.sparkSession, MET)
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrays = ((b.column("meet").to_numpy(), b.column("tagged").to_numpy()) for b in batches)
+        for found in met_rows(arrays):
+            if len(found[0]):
+                yield record_batch([pa.array(x) for x in found], target)
+
+    return written(rows.mapInArrow(apply, MET), "met-lines")
+
+
+def near_ids(met: DataFrame, texts: DataFrame, tau: int = TAU) -> DataFrame:
+    """Ids of the distinct lines that have a different line within tau edits earlier."""
+    sizes = met.groupBy("meet").agg(F.count("*").alias("n"))
     count = max(1, met.count() // 5000)
-    cells = in_cells(met, "meet", BLOCK).join(texts, "key")
+    cells = in_cells(met.join(sizes, "meet"), "meet", BLOCK).join(texts, "key")
     cells = cells.select(bucket_of("meet", "low", "high", count=count), "meet", "low", "high", "own", "key", "indexed", "rid", "number", "body")
     return cells.groupBy("bucket").applyInPandas(_verify(tau), "id long").distinct()
 
@@ -283,10 +321,13 @@ def _lines_of(text: Column) -> Column:
 
 def removed(docs: DataFrame, tau: int = TAU) -> DataFrame:
     """(rid, kept, n_near): kept long lines of each document that keeps any, and how many it loses as near ones."""
-    near = written(near_lines(docs, tau), "near-lines").withColumn("near", F.lit(True))
+    met = met_lines(docs, tau)
     earliest = F.min(F.struct("rid", "number"))
-    firsts = _per_piece(docs, "h long, h2 long, rid long, number int", _firsts).groupBy("h", "h2").agg(earliest.alias("first"))
-    firsts = firsts.select(F.col("h").bitwiseAND(F.lit(-2)).alias("id"), "first.*").join(near, "id", "left")
+    found = _per_piece(docs, "h long, h2 long, rid long, number int, body binary", _firsts(_line_sieve(met)))
+    firsts = found.groupBy("h", "h2").agg(earliest.alias("first"), F.first("body", ignorenulls=True).alias("body"))
+    firsts = written(firsts.select(F.shiftrightunsigned("h", 1).alias("key"), "first.*", "body"), "lines")
+    near = near_ids(met, firsts.where("body IS NOT NULL"), tau)
+    firsts = firsts.drop("body").join(near.select(F.col("id").alias("key"), F.lit(True).alias("near")), "key", "left")
     return firsts.groupBy("rid").agg(
         F.collect_list(F.when(F.col("near").isNull(), F.col("number"))).alias("kept"), F.count("near").alias("n_near")
     )
