@@ -118,13 +118,21 @@ def bucket_of(*columns: str, count: int) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(count)).cast("int").alias("bucket")
 
 
-def _joined(near: np.ndarray, roots: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Edges that join the rows near to each other, at most one per row."""
-    for i in range(len(near)):
-        for root in np.unique(roots[near[i]]):
-            if root != roots[i]:
-                yield int(root), int(roots[i])
-                roots[roots == root] = roots[i]
+def _joined(near: np.ndarray, keys: list[bytes]) -> Iterator[tuple[int, int]]:
+    """An edge from each row to the least key of its component under `near`; blocks that agree give equal edges."""
+    order = sorted(range(len(keys)), key=keys.__getitem__)
+    near = (near | near.T)[np.ix_(order, order)]
+    root = np.arange(len(keys))
+    for i in range(len(keys)):
+        if root[i] == i:
+            reached = np.zeros(len(keys), bool)
+            fresh = np.array([i])
+            while len(fresh):
+                reached[fresh] = True
+                fresh = np.flatnonzero(near[fresh].any(axis=0) & ~reached)
+            root[reached] = i
+    for i in np.flatnonzero(root != np.arange(len(keys))):
+        yield order[i], order[root[i]]
 
 
 def _compare_sketches(frame: pd.DataFrame) -> pd.DataFrame:
@@ -143,7 +151,7 @@ def _compare_sketches(frame: pd.DataFrame) -> pd.DataFrame:
         near = np.zeros((len(cell), len(cell)), bool)
         for i in range(len(cell) - 1):
             near[i, i + 1 :] = (sketches[i] == sketches[i + 1 :]).sum(axis=1) >= AGREE
-        for i, j in _joined(near, np.arange(len(cell))):
+        for i, j in _joined(near, keys):
             a.append(keys[i])
             b.append(keys[j])
     return pd.DataFrame({"a": pd.Series(a, dtype=object), "b": pd.Series(b, dtype=object)})
@@ -214,7 +222,7 @@ def _compare_sets(threshold: float):
                 square = np.zeros((len(names), len(names)), bool)
                 square[: len(left), len(left) :] = near
             others += [None] * len(names)
-            for i, j in _joined(square, np.arange(len(names))):
+            for i, j in _joined(square, names):
                 keys.append(names[i])
                 others.append(names[j])
                 links.append(0)
