@@ -10,7 +10,7 @@ sketches falls with edit distance and not just with set overlap.
 Defined cases: a null text counts as empty; a text shorter than k is one
 k-mer; the empty text has a fingerprint of its own that is like nothing but
 itself; ties are broken by text position. Rows are chained in order of
-doc_id, nulls last, equal ids by text.
+doc_id, nulls last, equal ids by a hash of the text.
 """
 
 from __future__ import annotations
@@ -160,8 +160,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     neighbour is one document, which is joined to it afterwards.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange(F.col("doc_id").asc_nulls_last(), F.col("text"))
-    ordered = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_last(), F.col("text"))
+    # no text in the range key: a sample of the keys goes to the driver
+    order = (F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order, "text")
     chained = written(map_rows(ordered, _chain, CHAINED), "fingerprints")
     heads = chained.where("edge = 'head'").select("part", F.col("text").alias("following"))
     # one row per partition that has rows, without its text
