@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import written
+
 WORD = "[^\\x20\\x09-\\x0D]+"
-PIECE_BYTES = 2_000_000
+PIECE_BYTES = 1_000_000
 SIEVE_BITS = 23
 
 
@@ -90,55 +91,45 @@ def flushed(rows: Iterator[tuple], width: int, size: int = 5000) -> Iterator[lis
         yield [list(c) for c in zip(*kept, strict=True)]
 
 
-def sieve(df: DataFrame, column: str) -> np.ndarray:
-    """A bit set of fixed size (1 MB) that holds at least the values of a long column.
+def sieve(df: DataFrame, column: str) -> DataFrame:
+    """A bit set of fixed size that holds at least the values of a long column, as (w, v) words.
 
-    It only thins what a join would drop anyway; a join must follow.
+    It has 2**18 rows at most, whatever the input, so it may be broadcast. It
+    only thins what a join would drop anyway; a join must follow.
     """
-    bit = F.pmod(F.xxhash64(column), F.lit(1 << SIEVE_BITS))
-    words = (
-        df.select(bit.alias("b"))
-        .groupBy(F.shiftright("b", 5).alias("w"))
-        .agg(F.expr("bit_or(shiftleft(1L, CAST(b & 31 AS INT)))").alias("v"))
-        .toArrow()
-    )
-    held = np.zeros(1 << (SIEVE_BITS - 5), np.uint32)
-    held[words["w"].to_numpy().astype(np.int64)] = words["v"].to_numpy().astype(np.uint32)
-    return held
+    words = df.select(_sieve_bit(column).alias("b")).groupBy(F.shiftright("b", 5).alias("w"))
+    return written(words.agg(F.expr("bit_or(shiftleft(1L, CAST(b & 31 AS INT)))").alias("v")), "sieve")
 
 
-def sifted(df: DataFrame, column: str, held: np.ndarray) -> DataFrame:
-    """The rows whose value may be in the sieve."""
-    name = "sieve_bit"
-    schema = df.schema
-    keyed = df.withColumn(name, F.pmod(F.xxhash64(column), F.lit(1 << SIEVE_BITS)))
+def sifted(df: DataFrame, column: str, words: DataFrame, inside: bool = True) -> DataFrame:
+    """The rows whose value may be in the sieve, or the others."""
+    keyed = df.withColumn("sieve_bit", _sieve_bit(column))
+    joined = keyed.join(F.broadcast(words), F.shiftright(keyed["sieve_bit"], 5) == words["w"], "left")
+    hit = F.coalesce(F.expr("shiftright(v, CAST(sieve_bit & 31 AS INT)) & 1"), F.lit(0)) == 1
+    return joined.where(hit if inside else ~hit).select(*df.columns)
 
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bit = batch.column(name).to_numpy(zero_copy_only=False)
-            keep = (held[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1
-            yield batch.drop_columns([name]).filter(pa.array(keep.astype(bool)))
 
-    return keyed.mapInArrow(apply, schema)
+def _sieve_bit(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(1 << SIEVE_BITS))
 
 
-def components(edges: DataFrame, save: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of (a, b) edges; root is the least node of its component.
 
     Labels spread over the edges and are then followed once more (pointer
     jumping), each round cut into a written table, until none changes.
     """
-    both = save(
+    both = written(
         edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct().toDF("node", "other"),
         "edges",
     )
-    labels = save(both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("root")), "labels")
+    labels = written(both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("root")), "labels")
     while True:
         seen = both.join(labels.withColumnsRenamed({"node": "other"}), "other").groupBy("node").agg(F.min("root").alias("near"))
         hooked = labels.join(seen, "node").select("node", F.col("root").alias("was"), F.least("root", "near").alias("root"))
         roots = labels.select(F.col("node").alias("root"), F.col("root").alias("far"))
         jumped = hooked.join(roots, "root", "left").select("node", "was", F.least("root", F.coalesce("far", "root")).alias("root"))
-        labels_next = save(jumped, "labels")
+        labels_next = written(jumped, "labels")
         if labels_next.where("was <> root").isEmpty():
             return labels_next.select("node", "root")
         labels = labels_next.select("node", "root")

@@ -235,6 +235,6 @@ def strip(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
                 if out:
                     yield record_batch([list(c) for c in zip(*out, strict=True)], target)
 
-    clean = sifted(rows, "rid", ~held).select("doc_id", "data").mapInArrow(apply, RESULT)
+    clean = sifted(rows, "rid", held, inside=False).select("doc_id", "data").mapInArrow(apply, RESULT)
     touched = sifted(rows, "rid", held).join(ranges, ["rid", "th"], "left").select("doc_id", "data", "marks")
     return clean.unionByName(touched.mapInArrow(apply, RESULT))

@@ -260,7 +260,7 @@ def classes_of(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """
     sets = written(_sets(docs, 0), "sets")
     classes = written(_classes(sets), "classes")
-    found = components(candidates(docs, sets, classes), written)
+    found = components(candidates(docs, sets, classes))
     sizes = found.groupBy("root").agg(F.count("*").alias("n"))
     wanted = written(
         found.withColumnRenamed("node", "key").join(sizes, "root").join(classes.select("key", "rid", "copies"), "key"), "candidate-sets"
@@ -271,7 +271,7 @@ def classes_of(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     cells = cells.select(bucket_of("root", "low", "high", count=count), "root", "low", "high", "own", "key", "copies", "shingles")
     compared = written(cells.groupBy("bucket").applyInPandas(_compare_sets(threshold), "key binary, other binary, links long"), "compared")
     links = compared.groupBy("key").agg(F.sum("links").alias("links"))
-    roots = components(compared.where("other IS NOT NULL").select(F.col("key").alias("a"), F.col("other").alias("b")), written)
+    roots = components(compared.where("other IS NOT NULL").select(F.col("key").alias("a"), F.col("other").alias("b")))
     named = classes.select("key", "rid", "copies").join(roots.withColumnRenamed("node", "key"), "key", "left")
     least = named.where("root IS NOT NULL").groupBy("root").agg(F.min("rid").alias("least"))
     named = named.join(least, "root", "left").join(links, "key", "left")
@@ -290,7 +290,7 @@ def thinned(docs: DataFrame) -> DataFrame:
     gone = named.where("rid <> class_id").select("rid").distinct()
     packed = docs.select(F.struct("*").alias("doc"), rid().alias("rid"))
     held = sieve(gone, "rid")
-    kept = sifted(packed, "rid", ~held).unionByName(sifted(packed, "rid", held).join(gone, "rid", "left_anti"))
+    kept = sifted(packed, "rid", held, inside=False).unionByName(sifted(packed, "rid", held).join(gone, "rid", "left_anti"))
     if not named.where("rid = class_id").groupBy("rid").count().where("count > 1").isEmpty():
         kept = kept.dropDuplicates(["rid"])
     return kept.select("doc.*")

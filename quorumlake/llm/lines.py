@@ -355,7 +355,7 @@ def rewritten(docs: DataFrame, tau: int = TAU) -> DataFrame:
     marks = written(deduplicated(docs, tau).where("n_removed > 0").select("rid", "removed").dropDuplicates(["rid"]), "removed-lines")
     held = sieve(marks, "rid")
     packed = docs.select(F.struct("*").alias("doc"), rid().alias("rid"))
-    clean = sifted(packed, "rid", ~held).select("doc")
+    clean = sifted(packed, "rid", held, inside=False).select("doc")
     touched = sifted(packed, "rid", held).join(marks, "rid", "left")
     split = _lines_of(F.col("doc.text"))
     left = F.filter(split, lambda x, k: ~F.coalesce(F.array_contains("removed", k), F.lit(False)))
