@@ -37,8 +37,8 @@ STEP = 0.5
 BATCH = 32
 #: share of right predictions on the rows kept aside that the rejection may cost
 COST = 0.001
-#: no calibrated score above this is ever rejected
-SURE = 0.5
+#: no calibrated score above this multiple of blind chance is ever rejected
+SURE = 1.5
 UNKNOWN = "und"
 _A, _B, _C = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D)
 
@@ -164,7 +164,7 @@ def train(languages: list[str], counts: np.ndarray, labels: np.ndarray, seed: in
     p = probabilities(model, counts[check])
     right = p.argmax(axis=1) == labels[check]
     sure = np.sort(p.max(axis=1)[right])
-    model.least = float(min(SURE, sure[int(COST * len(sure))])) if len(sure) else 0.0
+    model.least = float(min(SURE / k, sure[int(COST * len(sure))])) if len(sure) else 0.0
     return model
 
 
@@ -190,7 +190,8 @@ def fitted(docs: DataFrame) -> Model:
 
 def predict(docs: DataFrame, model: Model, keep: str = "*") -> DataFrame:
     """Columns lang_pred, score and rejected beside the kept columns, packed as `doc`."""
-    packed = docs.select(F.struct(keep).alias("doc"), F.col("text").alias("text"))
+    inside = keep == "*"
+    packed = docs.select(F.struct(keep).alias("doc"), *([] if inside else ["text"]))
     schema = packed.select("doc").schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -202,7 +203,8 @@ def predict(docs: DataFrame, model: Model, keep: str = "*") -> DataFrame:
                 count = piece.num_rows
                 names, sure = [UNKNOWN] * count, np.zeros(count)
                 at, rows = [], []
-                for k, text in enumerate(piece.column("text").to_pylist()):
+                texts = piece.column("doc").field("text") if inside else piece.column("text")
+                for k, text in enumerate(texts.to_pylist()):
                     if model.languages and text and has_letter(text):
                         at.append(k)
                         rows.append(features(text))
