@@ -92,7 +92,7 @@ def _found(spark, root, stemmed):
     queries = load(spark, root, "benchmark")
     found = se.search(
         built, queries, "item_id", "doc_id", stemmed=stemmed,
-        size=counted.count(), frequency=ix.document_frequency(counted),
+        frequency=ix.document_frequency(counted),
     )
     return found.select(
         "item_id", "doc_id", F.round("relevance", 6).alias("relevance"), F.array_join("terms.term", " ").alias("terms")

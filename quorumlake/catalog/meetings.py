@@ -36,9 +36,9 @@ def meeting_documents(spark, root):
     def item(line, i):
         item_id = doc * 100_000 + i
         votes = F.transform(
-            F.slice(F.split(line, " "), 1, 2),
+            F.split(line, " "),
             lambda word, k: F.struct(
-                (item_id * 10 + k).alias("VoteId"), F.length(word).cast("long").alias("VotePersonId"),
+                (item_id * 100_000 + k).alias("VoteId"), F.length(word).cast("long").alias("VotePersonId"),
                 F.when(k == 0, "In Favor").otherwise("Opposed").alias("VoteValueName"), person(word, k).alias("PersonInfo"),
             ),
         )
@@ -119,9 +119,9 @@ def explode_attachments(spark, root):
 
 VOTES = f"""
     SELECT doc_id, video_uri, item_id, name, k, word AS full_name, CASE WHEN k = 0 THEN lower(word) || '@x.gov' END AS email,
-      CASE WHEN k = 0 THEN 'In Favor' ELSE 'Opposed' END AS decision, item_id * 10 + k AS vote_id, length(word) AS person_no
+      CASE WHEN k = 0 THEN 'In Favor' ELSE 'Opposed' END AS decision, item_id * 100000 + k AS vote_id, length(word) AS person_no
     FROM (SELECT *, unnest(range(len(ws))) AS k, unnest(ws) AS word FROM (
-      SELECT *, string_split(line, ' ')[1:2] AS ws FROM ({KEPT}) WHERE decision = 'Pass'))"""
+      SELECT *, string_split(line, ' ') AS ws FROM ({KEPT}) WHERE decision = 'Pass'))"""
 
 
 @query("explode_votes", f"""
@@ -287,12 +287,12 @@ def gathered(spark, root):
     now = F.lit("2024-01-20 12:00:00").cast("timestamp")
     records = page_records(pages, now, ListingLayout(), _HOST, "https://cc.example.gov/", backfill=True)
     body = tx.clean_web_string(F.replace(page_title(), F.lit("&amp;"), F.lit("&")))
-    words = F.slice(F.regexp_extract_all("html", F.lit('<li><a href="/([^"]*)"'), 1), 1, 4)
+    words = F.regexp_extract_all("html", F.lit('<li><a href="/([^"]*)"'), 1)
     null = F.lit(None).cast("string")
     items = F.transform(
         words,
         lambda word, i: F.struct(
-            (F.col("page_id") * 10 + i).alias("EventItemId"), (i + 1).alias("EventItemMinutesSequence"),
+            (F.col("page_id") * 100_000 + i).alias("EventItemId"), (i + 1).alias("EventItemMinutesSequence"),
             word.alias("EventItemTitle"), null.alias("EventItemMatterName"), null.alias("EventItemMatterFile"),
             F.lit("Pass").alias("EventItemPassedFlagName"),
             F.lit(None).cast("array<struct<MatterAttachmentId: long, MatterAttachmentName: string, MatterAttachmentHyperlink: string>>").alias("EventItemMatterAttachments"),
@@ -322,7 +322,7 @@ _GATHERED = f"""
     SELECT page_id, 'https://video.example.gov:8080/media/' || {_SQL_HOST} || page_id || '.mp4' AS video_uri,
       regexp_replace(regexp_replace(url, '/$', ''), '/?[^/]*$', '') || '/watch?id=' || page_id AS source_uri, body, words,
       min(page_id) OVER (PARTITION BY page_id // 8, body, words) * 2 + 1 AS legistar_event_id
-    FROM (SELECT page_id, url, regexp_extract_all(html, '<li><a href="/([^"]*)"', 1)[1:4] AS words,
+    FROM (SELECT page_id, url, regexp_extract_all(html, '<li><a href="/([^"]*)"', 1) AS words,
             regexp_replace(regexp_replace(regexp_replace(replace({_SQL_TITLE}, '&amp;', '&'), '^ ', ''), ' $', ''), '\\.$', '') AS body
           FROM pages)"""
 

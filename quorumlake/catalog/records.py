@@ -328,21 +328,29 @@ def item_index_query(spark, root):
     return built.withColumn("value", F.round("value", 6))
 
 
-@query("run_log", """
-    SELECT 'order-count' AS name, '1.0' AS version, 'run_input' AS side, 'str' AS dtype, 'orders' AS value UNION ALL
-    SELECT 'order-count', '1.0', 'run_output', 'int', CAST(count(*) AS VARCHAR) FROM orders""")
+_RUN_LOG = """
+    SELECT 'row-count' AS name, '1.0' AS version, 'run_input' AS side, 'str' AS dtype, '{0}' AS value UNION ALL
+    SELECT 'row-count', '1.0', 'run_input_file', 'file', 'tables/{0}' UNION ALL
+    SELECT 'row-count', '1.0', 'run_output', 'int', CAST(count(*) AS VARCHAR) FROM {0}"""
+
+
+@query("run_log", _RUN_LOG.format("orders") + " UNION ALL " + _RUN_LOG.format("lineitem"))
 def run_log(spark, root):
-    """A run that counts the orders while they pass to a sink, and its lineage."""
+    """Two runs of one algorithm that count rows on their way to a sink, and their lineage."""
     log = work_path(spark, "runs")
-    with RunLog(spark, log, "order-count", "1.0", inputs=("orders", None)) as run:
-        seen = Observation()
-        counted = load(spark, root, "orders").select("o_orderkey").observe(seen, F.count("*").alias("n"))
-        counted.write.format("noop").mode("overwrite").save()
-        run.add_output(seen.get["n"])
+    for table in ("orders", "lineitem"):
+        with RunLog(spark, log, "row-count", "1.0", inputs=(table, None)) as run:
+            run.input_files.append(f"tables/{table}")
+            seen = Observation()
+            counted = load(spark, root, table).select(F.lit(1)).observe(seen, F.count("*").alias("n"))
+            counted.write.format("noop").mode("overwrite").save()
+            run.add_output(seen.get["n"])
 
     def values(side):
         return read_table(spark, log, side).select("run_id", F.lit(side).alias("side"), "dtype", "value")
 
-    both = values("run_input").unionByName(values("run_output"))
+    files = read_table(spark, log, "run_input_file").join(read_table(spark, log, "file"), "file_id")
+    named = files.select("run_id", F.lit("run_input_file").alias("side"), F.lit("file").alias("dtype"), F.col("uri").alias("value"))
+    everything = values("run_input").unionByName(values("run_output")).unionByName(named)
     runs = read_table(spark, log, "run").join(read_table(spark, log, "algorithm"), "algorithm_id")
-    return both.join(runs.select("run_id", "name", "version"), "run_id").drop("run_id")
+    return everything.join(runs.select("run_id", "name", "version"), "run_id").drop("run_id")

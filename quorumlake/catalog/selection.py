@@ -198,12 +198,12 @@ def filter_local_uri(spark, root):
 
 @query("sort_desc", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC")
 def sort_desc(spark, root):
-    return sel.select_rows(load(spark, root, "orders"), order="o_totalprice").select("o_orderkey", "o_totalprice")
+    return sel.select_rows(load(spark, root, "orders"), order="o_totalprice", id_column="o_orderkey").select("o_orderkey", "o_totalprice")
 
 
 @query("sort_asc", "SELECT p_partkey, p_retailprice FROM part ORDER BY p_retailprice")
 def sort_asc(spark, root):
-    return sel.select_rows(load(spark, root, "part"), order=("p_retailprice", "ASCENDING")).select(
+    return sel.select_rows(load(spark, root, "part"), order=("p_retailprice", "ASCENDING"), id_column="p_partkey").select(
         "p_partkey", "p_retailprice"
     )
 

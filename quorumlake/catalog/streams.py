@@ -61,7 +61,7 @@ def stream_side_outputs(spark, root):
 @query("stream_index", f"{INDEX} SELECT term, doc_id, round(value, 6) AS value FROM idx WHERE value > 0")
 def stream_index(spark, root):
     table, checkpoint = work_path(spark, "stream-counts"), work_path(spark, "checkpoint")
-    documents = _stream(spark, root, "documents").select("doc_id", "text")
+    documents = _stream(spark, root, "documents").select("doc_id", F.lit(0).alias("part"), "text")
     jobs.count_terms(documents, "doc_id", table, checkpoint, stemmed=False).awaitTermination()
-    counts = spark.read.schema("doc_id long, term string, n long").parquet(table)
-    return ix.prune(ix.tfidf(ix.merge_counts(counts, "doc_id"), "doc_id")).withColumn("value", F.round("value", 6))
+    counts = spark.read.schema("doc_id long, part int, term string, n long, batch long").parquet(table)
+    return ix.prune(ix.tfidf(ix.latest_counts(counts, "doc_id", "part"), "doc_id")).withColumn("value", F.round("value", 6))

@@ -221,7 +221,7 @@ def listing_pages(spark, root, day=None):
     pages = load_wide(spark, root, "pages")
     if day is None:
         day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 28).cast("int"))
-    words = F.slice(F.regexp_extract_all("html", F.lit('<li><a href="/([^"]*)"'), 1), 1, 4)
+    words = F.regexp_extract_all("html", F.lit('<li><a href="/([^"]*)"'), 1)
     entry = F.concat(
         F.lit('<html><body><div class="row borderBottomNone paginationItem"><div class="col-xs-12 col-sm-4 col-md-3">'),
         F.lit('<a href="/watch?id='), F.col("page_id").cast("string"), F.lit('" onclick="'), player_script(),

@@ -99,14 +99,14 @@ def speaker_turns(spark, root):
 
 
 @query("marked_turns", """
-    SELECT conv_id, turn, starts_turn, CASE WHEN starts_turn THEN trim(split_part(text, chr(10), 1), ' ') ELSE text END AS text
-    FROM (SELECT conv_id, turn, role = 'user' AS starts_turn, text FROM conversations)""")
+    SELECT conv_id, turn, CAST(line AS INTEGER) AS line, starts_turn, CASE WHEN starts_turn THEN trim(text, ' ') ELSE text END AS text
+    FROM (SELECT conv_id, turn, role = 'user' AS starts_turn, unnest(range(len(ls))) AS line, unnest(ls) AS text
+          FROM (SELECT *, string_split(text, chr(10)) AS ls FROM conversations))""")
 def marked_turns(spark, root):
-    """Markers written in front of the first line of user turns and taken off again."""
-    first_line = F.trim(F.substring_index("text", "\n", 1))
-    marked = F.when(F.col("role") == "user", F.concat(F.lit("- &gt;&gt; "), first_line)).otherwise(F.col("text"))
-    turns = load(spark, root, "conversations").select("conv_id", "turn", marked.alias("text"))
-    return sg.mark_turns(turns, "&gt;").select("conv_id", "turn", "starts_turn", "text")
+    """Markers written in front of every line of user turns and taken off again."""
+    lines = load(spark, root, "conversations").select("conv_id", "turn", "role", F.posexplode(F.split("text", "\n")).alias("line", "text"))
+    marked = F.when(F.col("role") == "user", F.concat(F.lit("- &gt;&gt; "), F.trim("text"))).otherwise(F.col("text"))
+    return sg.mark_turns(lines.withColumn("text", marked), "&gt;").select("conv_id", "turn", "line", "starts_turn", "text")
 
 
 @query("caption_sentences", SENTENCES)

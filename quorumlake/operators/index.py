@@ -18,9 +18,11 @@ from .spread import spread_join
 
 
 class Indexer(Protocol):
-    """Anything that turns a corpus into an index."""
+    """Anything that counts the terms of a corpus and weighs the counts into an index."""
 
-    def build(self, corpus: DataFrame) -> DataFrame: ...
+    def counts(self, corpus: DataFrame, id_column: str) -> DataFrame: ...
+
+    def weigh(self, counts: DataFrame) -> DataFrame: ...
 
 
 def term_rows(corpus: DataFrame, id_column: str, text: str = "text") -> DataFrame:
@@ -34,8 +36,11 @@ def term_counts(corpus: DataFrame, id_column: str, text: str = "text", stemmed:
     counts = term_rows(corpus, id_column, text).groupBy(id_column, "term").agg(F.count("*").alias("n"))
     if not stemmed:
         return counts
-    stems = counts.select(id_column, stem("term").alias("term"), "n")
-    return stems.groupBy(id_column, "term").agg(F.sum("n").alias("n"))
+    # each distinct term is stemmed once; the counts are read twice, the text once
+    counts = written(counts, "plain-counts")
+    stems = counts.select("term").distinct().select("term", stem("term").alias("stem"))
+    stemmed_counts = counts.join(stems, "term").select(id_column, F.col("stem").alias("term"), "n")
+    return stemmed_counts.groupBy(id_column, "term").agg(F.sum("n").alias("n"))
 
 
 def merge_counts(counts: DataFrame, id_column: str) -> DataFrame:
@@ -43,6 +48,12 @@ def merge_counts(counts: DataFrame, id_column: str) -> DataFrame:
     return counts.groupBy(id_column, "term").agg(F.sum("n").alias("n"))
 
 
+def latest_counts(counts: DataFrame, id_column: str, part: str) -> DataFrame:
+    """Counts of `(batch, id, part, term, n)` rows, of each part only as its latest batch delivered it."""
+    last = counts.groupBy(id_column, part).agg(F.max("batch").alias("batch"))
+    return merge_counts(counts.join(last, [id_column, part, "batch"], "left_semi"), id_column)
+
+
 def document_frequency(counts: DataFrame) -> DataFrame:
     """In how many ids each term occurs: `(term, df)`."""
     return counts.groupBy("term").agg(F.count("*").alias("df"))
@@ -64,7 +75,7 @@ def tfidf(counts: DataFrame, id_column: str, stored: bool = False) -> DataFrame:
         counts = written(counts, "term-counts")
     frequency = document_frequency(counts)
     rows = frequency.withColumnRenamed("df", "rows")
-    weighted = spread_join(counts, frequency, "term", [id_column], counts=rows, size=counts.count())
+    weighted = spread_join(counts, frequency, "term", [id_column], counts=rows)
     total = corpus_size(counts, id_column).scalar()
     return weighted.select("term", id_column, (F.col("n") * F.log(total / F.col("df"))).alias("value"))
 
@@ -84,10 +95,15 @@ class TfidfIndexer:
         self.minimum = minimum
         self.stemmed = stemmed
 
-    def build(self, corpus: DataFrame) -> DataFrame:
-        counts = term_counts(corpus, self.id_column, stemmed=self.stemmed)
+    def counts(self, corpus: DataFrame, id_column: str) -> DataFrame:
+        return term_counts(corpus, id_column, stemmed=self.stemmed)
+
+    def weigh(self, counts: DataFrame) -> DataFrame:
         return prune(tfidf(counts, self.id_column), self.minimum)
 
+    def build(self, corpus: DataFrame) -> DataFrame:
+        return self.weigh(self.counts(corpus, self.id_column))
+
 
 def postings_blocks(index: DataFrame, id_column: str, block: Column, value: str = "value") -> DataFrame:
     """Postings as maps `{id: value}`, one per term and block of ids.

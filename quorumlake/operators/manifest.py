@@ -34,7 +34,7 @@ def transcript_manifest(
     return (
         _prefixed(events, "event", "created")
         .join(best, "event_id")
-        .join(_prefixed(files.dropDuplicates(["file_id"]), "file", "created", "description"), "file_id")
+        .join(_prefixed(best_per_key(files, ["file_id"], F.col("uri")), "file", "created", "description"), "file_id")
         .join(_prefixed(bodies, "body", "created", "description", "name"), "body_id")
     )
 
@@ -94,7 +94,7 @@ def decision_item_sources(
     return (
         decided.join(items.select("minutes_item_id", "name"), "minutes_item_id")
         .join(latest, "event_id")
-        .join(files.dropDuplicates(["file_id"]).select("file_id", "uri"), "file_id")
+        .join(best_per_key(files, ["file_id"], F.col("uri")).select("file_id", "uri"), "file_id")
     )
 
 

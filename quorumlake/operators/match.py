@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.similarity import name_score, token_set_score
 from ..session import written
-from .spread import HOT_ROWS, spread_join
+from .spread import BUCKET_ROWS, spread_join
 
 # The least name score taken for a match, and a sole candidate's score.
 MIN_NAME_SCORE = 50.0
@@ -71,7 +71,7 @@ def closest(
     candidate_id: str,
     candidate_text: str,
     score: Callable[[str, str], float],
-    floor: int = HOT_ROWS,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """For each distinct `(bucket, record text)` its best candidate in the bucket.
 
@@ -82,7 +82,7 @@ def closest(
     """
     texts = written(records.select(bucket, record_text).distinct(), "texts")
     blocks = _blocks(candidates, bucket, candidate_id, candidate_text)
-    paired = spread_join(texts, blocks, bucket, [record_text], size=texts.count(), floor=floor)
+    paired = spread_join(texts, blocks, bucket, [record_text], bucket_rows=bucket_rows)
     best = _best_of_block(score, candidates.schema[candidate_id].dataType)
     scored = paired.select(
         bucket, record_text, "n_candidates", best(F.col(record_text), F.col("_entries")).alias("_best")
@@ -101,7 +101,7 @@ def match_names(
     bucket: str,
     name: str,
     minimum: float = MIN_NAME_SCORE,
-    floor: int = HOT_ROWS,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Each record with the candidate name of its bucket that fits best.
 
@@ -113,7 +113,7 @@ def match_names(
     known = written(asked.join(names.withColumn("_equal", F.lit(True)), [bucket, name], "left"), "names")
     exact = known.where("_equal").select(bucket, name, F.col(name).alias("matched_name"), F.lit(100.0).alias("score"))
     options = names.withColumnRenamed(name, "_option")
-    found = closest(known.where("_equal is null"), options, bucket, name, "_option", "_option", name_score, floor)
+    found = closest(known.where("_equal is null"), options, bucket, name, "_option", "_option", name_score, bucket_rows)
     accepted = found.where(F.col("score") >= minimum).select(
         bucket, name, F.col("match_id").alias("matched_name"), "score"
     )
@@ -128,14 +128,14 @@ def match_agendas(
     candidate_id: str,
     candidate_agenda: str,
     score: Callable[[str, str], float] = token_set_score,
-    floor: int = HOT_ROWS,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Each record with the meeting of its bucket whose agenda fits best.
 
     A sole candidate is taken as it is; where nothing scores above zero there
     is no match. Adds `match_id`, `score` and `n_candidates`.
     """
-    found = closest(records, candidates, bucket, agenda, candidate_id, candidate_agenda, score, floor)
+    found = closest(records, candidates, bucket, agenda, candidate_id, candidate_agenda, score, bucket_rows)
     sole = F.col("n_candidates") == 1
     accepted = found.withColumn("score", F.when(sole, SOLE_SCORE).otherwise(F.col("score")))
     return records.join(accepted.where("score > 0"), [bucket, agenda])

@@ -29,19 +29,15 @@ def search(
     id_column: str,
     text: str = "text",
     stemmed: bool = True,
-    size: int | None = None,
     frequency: DataFrame | None = None,
 ) -> DataFrame:
     """Every query against the index: `(query, id, relevance, terms)`.
 
-    `size` is the number of index entries, or more, and `frequency` the entries
-    per term as `(term, df)`. Left out they are counted, the first of which
-    reads only file footers where the index is stored.
+    `frequency` is the entries per term as `(term, df)`; left out they are counted.
     """
     wanted = query_terms(queries, query_id, text, stemmed)
-    size = index.count() if size is None else size
     rows = None if frequency is None else frequency.withColumnRenamed("df", "rows")
-    hits = spread_join(index, wanted, "term", [id_column], counts=rows, size=size)
+    hits = spread_join(index, wanted, "term", [id_column], counts=rows)
     return _matches(hits, query_id, id_column)
 
 

@@ -99,13 +99,18 @@ def select_rows(
     filters: Sequence[Where | Sequence[Any]] = (),
     order: OrderBy | str | Sequence[Any] | None = None,
     limit: int | None = None,
+    id_column: str | None = None,
 ) -> DataFrame:
-    """All conditions together, then the order, then the limit; none is implied."""
+    """All conditions together, then the order, then the limit; none is implied.
+
+    Rows that tie in the order go by `id_column`, lowest first.
+    """
     if filters:
         df = df.where(functools.reduce(operator.and_, [predicate(df, f) for f in filters]))
     if order is not None:
         wanted = order_by(order)
-        df = df.orderBy(F.desc(wanted.column) if wanted.descending else F.asc(wanted.column))
+        ties = [F.asc(id_column)] if id_column and id_column != wanted.column else []
+        df = df.orderBy(F.desc(wanted.column) if wanted.descending else F.asc(wanted.column), *ties)
     return df.limit(limit) if limit else df
 
 
@@ -120,9 +125,9 @@ def rows_by_ids(df: DataFrame, ids: DataFrame, id_column: str) -> DataFrame:
 
 
 def keyed_rows(df: DataFrame, id_column: str, *later_first: Column) -> DataFrame:
-    """One `(id, row)` pair per id; of duplicates, the one latest in order."""
+    """One `(id, row)` pair per id; of duplicates, the one latest in order, or else of least hash."""
     row = F.struct(*[F.col(c) for c in df.columns]).alias("row")
-    latest = best_per_key(df, [id_column], *later_first) if later_first else df
+    latest = best_per_key(df, [id_column], *(later_first or [F.xxhash64(*df.columns)]))
     return latest.select(F.col(id_column), row)
 
 

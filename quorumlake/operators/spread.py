@@ -3,7 +3,7 @@
 * `best_per_key` keeps one row per key; Spark limits each key before the shuffle.
 * `running_totals` sums along an ordered key in blocks, so no task ever holds a
   whole key.
-* `spread_join` scatters the few keys that dominate one side of a join.
+* `spread_join` scatters the keys that would overfill a task of a join.
 """
 
 from __future__ import annotations
@@ -14,9 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 32_768
-HOT_ROWS = 5_000_000
-HOT_KEYS = 1_000
-SCATTER = 64
+BUCKET_ROWS = 5_000_000
 
 
 def best_per_key(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
@@ -66,45 +64,27 @@ def running_totals(
     )
 
 
-def hot_keys(counts: DataFrame, key: str, rows: str, floor: int = HOT_ROWS, most: int = HOT_KEYS) -> list:
-    """The keys with at least `floor` rows, the `most` largest of them.
-
-    What is left out has fewer than `floor` rows or less than 1/`most` of all
-    rows, so the list is short whatever the data, and no task gets a large key.
-    """
-    top = counts.where(F.col(rows) >= floor).orderBy(F.desc(rows)).limit(most)
-    return [row[0] for row in top.select(key).collect()]
-
-
 def spread_join(
     left: DataFrame,
     right: DataFrame,
     key: str,
     scatter_on: Sequence[str],
     counts: DataFrame | None = None,
-    size: int | None = None,
     how: str = "inner",
-    floor: int = HOT_ROWS,
-    buckets: int = SCATTER,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
-    """Inner or left equi-join on `key` that splits the dominating keys of `left`.
+    """Inner or left equi-join on `key` that splits every key of `left` beyond `bucket_rows`.
 
-    `counts` is `(key, rows)` and `size` the number of rows of `left`, where the
-    caller has them already; a side below `floor` rows has no hot keys. Left
-    rows of hot keys are scattered over `buckets` by a hash of `scatter_on`;
-    their right rows are repeated once per bucket. Without hot keys it is a
-    plain join.
+    `counts` is `(key, rows)` of `left`, where the caller has it already. A key
+    of n rows is scattered over ceil(n / bucket_rows) buckets by a hash of
+    `scatter_on`; its right rows are repeated once per bucket. The plan is the
+    same at every size: the table of large keys is joined to both sides, empty
+    or not, and is small enough to be broadcast at run time or split if skewed.
     """
-    if size is not None and size < floor:
-        return left.join(right, key, how)
     if counts is None:
         counts = left.groupBy(key).agg(F.count("*").alias("rows"))
-    hot = hot_keys(counts, key, "rows", floor)
-    if not hot:
-        return left.join(right, key, how)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    bucket = F.pmod(F.xxhash64(*scatter_on), F.lit(buckets)).cast("int")
-    scattered = left.withColumn("_bucket", F.when(is_hot, bucket).otherwise(F.lit(0)))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
-    repeated = right.withColumn("_bucket", F.explode(copies))
-    return scattered.join(repeated, [key, "_bucket"], how).drop("_bucket")
+    large = counts.where(F.col("rows") > bucket_rows).select(key, F.ceil(F.col("rows") / bucket_rows).cast("int").alias("_buckets"))
+    buckets = F.coalesce("_buckets", F.lit(1))
+    scattered = left.join(large, key, "left").withColumn("_bucket", F.pmod(F.xxhash64(*scatter_on), buckets).cast("int"))
+    repeated = right.join(large, key, "left").withColumn("_bucket", F.explode(F.sequence(F.lit(0), buckets - 1)))
+    return scattered.drop("_buckets").join(repeated.drop("_buckets"), [key, "_bucket"], how).drop("_bucket")

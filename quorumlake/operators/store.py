@@ -14,10 +14,10 @@ from .spread import best_per_key
 
 
 class UniquenessError(ValueError):
-    """A key that should name at most `limit` rows names more."""
+    """A key that should name at most `limit` rows names more; `rows` shows limit + 1 of them."""
 
-    def __init__(self, table: str, keys: Sequence[str], row: dict):
-        self.table, self.keys, self.row = table, list(keys), row
+    def __init__(self, table: str, keys: Sequence[str], row: dict, rows: Sequence[dict] = ()):
+        self.table, self.keys, self.row, self.rows = table, list(keys), row, list(rows)
         super().__init__(f"{table} has {row['n_rows']} rows for {({k: row[k] for k in keys})}")
 
 
@@ -61,7 +61,9 @@ def require_unique(df: DataFrame, table: str, keys: Sequence[str], limit: int =
     """`df` itself, or an error naming one key that has too many rows."""
     broken = uniqueness_violations(df, keys, limit).limit(1).collect()
     if broken:
-        raise UniquenessError(table, keys, broken[0].asDict())
+        same = functools.reduce(operator.and_, [F.col(k).eqNullSafe(F.lit(broken[0][k])) for k in keys])
+        shown = df.where(same).limit(limit + 1).collect()
+        raise UniquenessError(table, keys, broken[0].asDict(), [r.asDict() for r in shown])
     return df
 
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.corpus import item_portions
-from ..operators.index import Indexer, TfidfIndexer
+from ..operators.index import Indexer, TfidfIndexer, merge_counts
 from ..operators.manifest import decision_item_sources, transcript_manifest
+from ..session import written
 from ..sources.transcripts import raw_text
 
 
@@ -16,6 +16,13 @@ def transcript_texts(documents: DataFrame) -> DataFrame:
     return documents.select("uri", raw_text(F.col("format"), F.col("data")).alias("text"))
 
 
+def _counts_of(wanted: DataFrame, id_column: str, texts: DataFrame, indexer: Indexer) -> DataFrame:
+    """Term counts per id from `(id, uri)` rows: every text is counted once, and only counts are joined."""
+    used = texts.join(wanted.select("uri"), "uri", "left_semi").select("uri", "text")
+    joined = indexer.counts(used, "uri").join(wanted, "uri")
+    return merge_counts(joined.select(id_column, "term", "n"), id_column)
+
+
 def event_index(
     events: DataFrame,
     transcripts: DataFrame,
@@ -27,8 +34,9 @@ def event_index(
 ) -> DataFrame:
     """`(term, event_id, value)` over the best transcript of each event."""
     manifest = transcript_manifest(events, transcripts, files, bodies, order_by)
-    corpus = manifest.select("event_id", "uri").join(texts, "uri").select("event_id", "text")
-    return (indexer or TfidfIndexer("event_id")).build(corpus)
+    wanted = written(manifest.select("event_id", "uri"), "best-transcripts")
+    indexer = indexer or TfidfIndexer("event_id")
+    return indexer.weigh(_counts_of(wanted, "event_id", texts, indexer))
 
 
 def item_index(
@@ -45,6 +53,10 @@ def item_index(
     `attachments` is `(minutes_item_id, uri, text)`.
     """
     sources = decision_item_sources(event_items, items, transcripts, files)
-    spoken = sources.select("minutes_item_id", "uri").distinct().join(texts, "uri")
-    decided = attachments.join(sources.select("minutes_item_id"), "minutes_item_id", "left_semi")
-    return (indexer or TfidfIndexer("minutes_item_id")).build(item_portions(spoken, decided))
+    wanted = written(sources.select("minutes_item_id", "uri").distinct(), "item-sources")
+    indexer = indexer or TfidfIndexer("minutes_item_id")
+    spoken = _counts_of(wanted, "minutes_item_id", texts, indexer)
+    decided = attachments.join(wanted.select("minutes_item_id"), "minutes_item_id", "left_semi")
+    # the portions of all attachments of an item are one document, like its transcripts
+    attached = indexer.counts(decided.select("minutes_item_id", "text"), "minutes_item_id")
+    return indexer.weigh(merge_counts(spoken.unionByName(attached), "minutes_item_id"))

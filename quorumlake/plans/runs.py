@@ -7,8 +7,13 @@ import hashlib
 from typing import Any
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from ..sources.tables import write_table
+from ..operators.store import insert_if_absent
+from ..schemas import TABLES
+from ..sources.tables import create_tables, read_table, write_table
+
+LINEAGE = ("algorithm", "run", "run_input", "run_output", "file", "run_input_file", "run_output_file")
 
 
 def _key(table: str, *parts: Any) -> str:
@@ -21,7 +26,9 @@ def _now() -> dt.datetime:
 
 
 class RunLog:
-    """A context that appends one run to the lineage tables when it ends.
+    """A context that adds one run to the lineage tables when it ends.
+
+    Algorithms and files are stored once, however many runs name them.
 
     Values other than null are stored once, as text with their type. A failing
     run is stored too, with the exception as an output, and still raises.
@@ -45,6 +52,7 @@ class RunLog:
         if error is not None:
             self.outputs.append(error)
         completed = _now()
+        create_tables(self.spark, self.root, LINEAGE)
         algorithm_id = _key("algorithm", self.algorithm, self.version)
         self.run_id = _key("run", algorithm_id, self.begin, completed)
         self._append("algorithm", [(algorithm_id, self.algorithm, self.version)], "algorithm_id, name, version")
@@ -57,7 +65,8 @@ class RunLog:
                 f"{table}_id, run_id, dtype, value",
             )
         for table, uris in (("run_input_file", self.input_files), ("run_output_file", self.output_files)):
-            files = [_key("file", uri) for uri in sorted(set(uris))]
+            files = {_key("file", uri): uri for uri in sorted(set(uris))}
+            self._append("file", list(files.items()), "file_id, uri")
             rows = [(_key(table, self.run_id, f), self.run_id, f) for f in files]
             self._append(table, rows, f"{table}_id, run_id, file_id")
 
@@ -66,4 +75,6 @@ class RunLog:
             names = [c.strip() for c in columns.split(",")]
             types = ["timestamp" if c in ("begin", "completed") else "string" for c in names]
             ddl = ", ".join(f"{n} {t}" for n, t in zip(names, types))
-            write_table(self.spark.createDataFrame(rows, ddl), self.root, table)
+            batch, key = self.spark.createDataFrame(rows, ddl), TABLES[table].key
+            stored = read_table(self.spark, self.root, table)
+            write_table(insert_if_absent(stored, batch, key, *[F.col(k) for k in key]), self.root, table)

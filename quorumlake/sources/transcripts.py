@@ -22,11 +22,15 @@ def known_format(transcript_format: Column) -> Column:
 
 
 def raw_text(transcript_format: Column, data: Column) -> Column:
-    """All portions as one text; a format that is not known raises."""
+    """All portions as one text; an unknown format, missing data or a portion without text raises."""
     inner = F.flatten(F.transform(data, lambda turn: turn.data))
     message = F.concat(F.lit("unknown transcript format: "), F.coalesce(transcript_format, F.lit("none")))
+    turns = transcript_format == SPEAKER_TURNS
+    silent = F.exists(F.when(turns, inner).otherwise(F.transform(data, lambda p: F.struct(p.start_time, p.text, p.end_time))), lambda p: p.text.isNull())
     return (
-        F.when(transcript_format == SPEAKER_TURNS, F.array_join(F.transform(inner, lambda p: p.text), " "))
+        F.when(known_format(transcript_format) & data.isNull(), F.raise_error(F.lit("transcript without data")))
+        .when(known_format(transcript_format) & F.coalesce(silent, F.lit(True)), F.raise_error(F.lit("transcript portion without text")))
+        .when(turns, F.array_join(F.transform(inner, lambda p: p.text), " "))
         .when(known_format(transcript_format), F.array_join(F.transform(data, lambda p: p.text), " "))
         .otherwise(F.raise_error(message))
     )
@@ -35,7 +39,8 @@ def raw_text(transcript_format: Column, data: Column) -> Column:
 def preferred_format(documents: DataFrame, keys: list[str]) -> DataFrame:
     """Of several transcripts per key, the one in the most detailed format."""
     rank = F.array_position(F.array(*[F.lit(name) for name in TRANSCRIPT_FORMATS]), F.col("format"))
-    return best_per_key(documents.where(known_format(F.col("format"))), keys, rank)
+    ties = [F.col("uri")] if "uri" in documents.columns else []
+    return best_per_key(documents.where(known_format(F.col("format"))), keys, rank, *ties)
 
 
 def write_transcripts(documents: DataFrame, path: str, mode: str = "append") -> None:

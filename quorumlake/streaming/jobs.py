@@ -15,6 +15,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.index import term_counts
 from ..operators.select import within_window
+from ..operators.spread import best_per_key
 from ..operators.store import insert_if_absent
 
 
@@ -81,16 +82,21 @@ def count_terms(
     checkpoint: str,
     stemmed: bool = True,
     minutes: int | None = None,
+    part: str = "part",
 ):
     """Term counts of arriving documents, from which the index is refreshed.
 
-    `index.tfidf` over the merged counts equals a full rebuild: frequencies and
-    corpus size are taken from the counts, and no text is read again. The parts
-    of one document may arrive in different batches.
+    A document comes in one part or several, each known by the column `part`,
+    in any batches. `index.latest_counts` takes each part as delivered last, so
+    a part that comes again, the same or changed, replaces the one before; of
+    parts that come twice in one batch the greatest text counts. `index.tfidf`
+    over these counts equals a full rebuild, and no text is read again.
     """
 
     def count(batch: DataFrame, batch_id: int) -> None:
-        counts = term_counts(batch, id_column, stemmed=stemmed)
+        once = best_per_key(batch.select(id_column, part, "text"), [id_column, part], F.desc("text"))
+        keyed = once.select(F.struct(id_column, part).alias("_key"), "text")
+        counts = term_counts(keyed, "_key", stemmed=stemmed).select("_key.*", "term", "n")
         counts.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
 
     writer = documents.writeStream.foreachBatch(count).option("checkpointLocation", checkpoint)

@@ -120,22 +120,24 @@ def test_prune_counts_dropped(spark):
     assert seen.get["dropped"] == 1
 
 
-@pytest.mark.parametrize("floor", [5, 10_000_000])
+@pytest.mark.parametrize("bucket_rows", [5, 10_000_000])
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_spread_join_agrees_with_join(spark, floor, how):
+def test_spread_join_agrees_with_join(spark, bucket_rows, how):
     """A third of the rows has one key; splitting it changes nothing."""
     random.seed(1)
     left = spark.createDataFrame(
         [(i, "hot" if i % 3 == 0 else f"k{random.randint(0, 40)}") for i in range(600)] + [(1000, None)], "id int, key string"
     )
     right = spark.createDataFrame([("hot", 1), ("hot", 2)] + [(f"k{i}", i) for i in range(20)], "key string, v int")
-    got = sd.spread_join(left, right, "key", ["id"], how=how, floor=floor, buckets=8).select("key", "id", "v")
+    got = sd.spread_join(left, right, "key", ["id"], how=how, bucket_rows=bucket_rows).select("key", "id", "v")
     assert sorted(map(str, got.collect())) == sorted(map(str, left.join(right, "key", how).select("key", "id", "v").collect()))
 
 
-def test_hot_key_list_is_bounded(spark):
-    counts = spark.range(5000).select(F.col("id").alias("key"), F.lit(100).alias("rows"))
-    assert len(sd.hot_keys(counts, "key", "rows", floor=10, most=50)) == 50
+def test_spread_join_splits_any_number_of_keys(spark):
+    left = spark.range(12_000).select("id", (F.col("id") % 1500).alias("key"))
+    right = spark.range(1500).select(F.col("id").alias("key"), (F.col("id") * 2).alias("v"))
+    got = sd.spread_join(left, right, "key", ["id"], bucket_rows=3)
+    assert got.count() == 12_000 and got.where("v <> key * 2").isEmpty()
 
 
 @pytest.mark.parametrize("block", [3, 1000])
@@ -234,8 +236,8 @@ def test_scores():
     assert name_score("Council", "City Council of the Whole") == pytest.approx(90)
 
 
-@pytest.mark.parametrize("floor", [2, 10_000_000])
-def test_closest_agrees_with_brute_force(spark, monkeypatch, floor):
+@pytest.mark.parametrize("bucket_rows", [2, 10_000_000])
+def test_closest_agrees_with_brute_force(spark, monkeypatch, bucket_rows):
     monkeypatch.setattr(ma, "BLOCK", 4)
     random.seed(5)
     words = ["budget", "parks", "levy", "zoning", "transit", "housing", "water"]
@@ -269,8 +271,8 @@ def test_match_names(spark):
     assert set(got) == {1, 2}
 
 
-@pytest.mark.parametrize("floor", [2, 10_000_000])
-def test_match_names_agrees_with_brute_force(spark, monkeypatch, floor):
+@pytest.mark.parametrize("bucket_rows", [2, 10_000_000])
+def test_match_names_agrees_with_brute_force(spark, monkeypatch, bucket_rows):
     """Half of all names fall on one day, in blocks of three candidates."""
     monkeypatch.setattr(ma, "BLOCK", 3)
     random.seed(8)
@@ -280,7 +282,7 @@ def test_match_names_agrees_with_brute_force(spark, monkeypatch, floor):
     options = [("hot" if i % 2 else f"d{i % 3}", name(random.randint(2, 4))) for i in range(30)]
     got = ma.match_names(
         spark.createDataFrame(records, "id int, day string, body string"),
-        spark.createDataFrame(options, "day string, body string"), "day", "body", floor=floor,
+        spark.createDataFrame(options, "day string, body string"), "day", "body", bucket_rows=bucket_rows,
     )
     expected = set()
     for key, day, body in records:
@@ -319,6 +321,7 @@ def test_uniqueness(spark):
     with pytest.raises(st.UniquenessError) as caught:
         st.require_unique(frame, "body", ["k"])
     assert caught.value.row == {"k": 1, "n_rows": 2}
+    assert len(caught.value.rows) == 2
     assert st.require_unique(frame, "body", ["k"], 2) is frame
 
 

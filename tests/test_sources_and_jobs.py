@@ -235,6 +235,7 @@ def test_run_log(spark, tmp_path):
     assert {(r.dtype, r.value) for r in tables.read_table(spark, root, "run_input").collect()} == {("str", "hello"), ("int", "0")}
     assert {(r.dtype, r.value) for r in tables.read_table(spark, root, "run_output").collect()} == {("float", "2.5"), ("RuntimeError", "broken")}
     assert tables.read_table(spark, root, "run_input_file").count() == 1
+    assert tables.read_table(spark, root, "algorithm").count() == tables.read_table(spark, root, "file").count() == 1
 
 
 def test_catalogue():
@@ -255,19 +256,33 @@ def test_stream_inserts_once_over_batches(spark, small, tmp_path):
 
 
 def test_stream_index_equals_batch(spark, small, tmp_path):
+    """Parts spread over batches; some come again unchanged, some replaced by a later delivery."""
     from quorumlake.operators import index as ix
 
-    """Documents sharing a source are parts of one, spread over the batches."""
-    docs = spark.read.parquet(f"{small}/documents.parquet").select(F.col("source").alias("doc_id"), "text")
-    docs.repartition(4).write.parquet(str(tmp_path / "in"))
-    stream = jobs.file_stream(spark, str(tmp_path / "in"), docs.schema, files_per_batch=1)
-    jobs.count_terms(stream, "doc_id", str(tmp_path / "counts"), str(tmp_path / "cp")).awaitTermination()
-    counts = spark.read.parquet(str(tmp_path / "counts")).drop("batch")
-    streamed = ix.tfidf(ix.merge_counts(counts, "doc_id"), "doc_id")
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    docs = docs.select(F.col("source").alias("doc_id"), F.col("doc_id").alias("part"), "text")
+    old = docs.withColumn("text", F.when(F.col("part") % 5 == 0, "an earlier wording").otherwise(F.col("text")))
+    deliveries = [old.where("part % 2 = 0"), old.where("part % 2 = 1"), docs.where("part % 3 = 0"), docs.where("part % 5 = 0")]
+    deliveries += [deliveries[2].union(deliveries[2])]
+    for k, delivery in enumerate(deliveries):
+        delivery.coalesce(1).write.parquet(str(tmp_path / f"in{k}"))
+        stream = jobs.file_stream(spark, str(tmp_path / "in*"), docs.schema, files_per_batch=1)
+        jobs.count_terms(stream, "doc_id", str(tmp_path / "counts"), str(tmp_path / "cp")).awaitTermination()
+    counts = spark.read.parquet(str(tmp_path / "counts"))
+    streamed = ix.tfidf(ix.latest_counts(counts, "doc_id", "part"), "doc_id")
     batch = ix.tfidf(ix.term_counts(docs, "doc_id"), "doc_id")
     assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()
 
 
+@pytest.mark.parametrize("document", ['{"format": "raw"}', '{"format": "raw", "data": [{"start_time": 1.0}]}', '{"format": "other", "data": []}'])
+def test_malformed_transcripts_raise(spark, tmp_path, document):
+    from quorumlake.plans.indexing import transcript_texts
+
+    (tmp_path / "t.json").write_text(document)
+    with pytest.raises(Exception, match="transcript"):
+        transcript_texts(transcripts.read_transcripts(spark, str(tmp_path))).collect()
+
+
 def test_stored_rows(spark, tmp_path):
     root = str(tmp_path / "db")
     tables.create_tables(spark, root)
