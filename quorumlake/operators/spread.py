@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 BLOCK_ROWS = 32_768
 BUCKET_ROWS = 5_000_000
 
@@ -78,12 +80,13 @@ def spread_join(
     `counts` is `(key, rows)` of `left`, where the caller has it already. A key
     of n rows is scattered over ceil(n / bucket_rows) buckets by a hash of
     `scatter_on`; its right rows are repeated once per bucket. The plan is the
-    same at every size: the table of large keys is joined to both sides, empty
-    or not, and is small enough to be broadcast at run time or split if skewed.
+    same at every size: the table of large keys is written, so that Spark knows
+    its size, and joined to both sides, be it empty or too large to broadcast.
     """
     if counts is None:
         counts = left.groupBy(key).agg(F.count("*").alias("rows"))
     large = counts.where(F.col("rows") > bucket_rows).select(key, F.ceil(F.col("rows") / bucket_rows).cast("int").alias("_buckets"))
+    large = written(large, "large-keys")
     buckets = F.coalesce("_buckets", F.lit(1))
     scattered = left.join(large, key, "left").withColumn("_bucket", F.pmod(F.xxhash64(*scatter_on), buckets).cast("int"))
     repeated = right.join(large, key, "left").withColumn("_bucket", F.explode(F.sequence(F.lit(0), buckets - 1)))

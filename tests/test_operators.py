@@ -247,7 +247,7 @@ def test_closest_agrees_with_brute_force(spark, monkeypatch, bucket_rows):
     got = ma.match_agendas(
         spark.createDataFrame(records, "day string, id int, agenda string"),
         spark.createDataFrame(options, "day string, option int, items string"),
-        "day", "agenda", "option", "items", token_jaccard, floor,
+        "day", "agenda", "option", "items", token_jaccard, bucket_rows,
     )
     expected = set()
     for day, key, agenda in records:
