@@ -12,6 +12,7 @@ from ..functions.similarity import token_jaccard
 from ..functions import text as tx
 from ..operators import match as ma
 from ..operators import meetings as mt
+from ..operators.manifest import transcript_manifest
 from ..operators.select import not_status
 from ..plans.gather import gather
 from ..sources.pages import ListingLayout, page_records
@@ -209,6 +210,13 @@ _star(
 )
 
 
+_star(
+    "file",
+    f"SELECT DISTINCT {_key('file', 'turi')} AS file_id, turi AS uri FROM (SELECT 't/' || doc_id AS turi FROM documents)",
+    "file_id", "uri",
+)
+
+
 @query("interval_join_1d", """
     SELECT event_id, ts, day, n_held FROM events JOIN (SELECT date_trunc('day', ts) AS day, count(*) AS n_held FROM events GROUP BY 1)
       ON ts <= day AND day < ts + INTERVAL 1 DAY""")
@@ -343,3 +351,13 @@ def gather_events(spark, root):
     GROUP BY event_id, item_id""")
 def gather_event_items(spark, root):
     return gathered(spark, root)["event_minutes_item"].select("event_minutes_item_id", "event_id", "minutes_item_id", "index", "decision")
+
+
+@query("gather_manifest", f"""
+    SELECT {_key('event', 'video_uri')} AS event_id, {_key('body', 'body')} AS body_id, TRUE AS has_file
+    FROM ({_GATHERED}) WHERE page_id % 5 <> 0""")
+def gather_manifest(spark, root):
+    """The manifest over what a gather has just stored: every event with a transcript and its file."""
+    tables = gathered(spark, root)
+    manifest = transcript_manifest(tables["event"], tables["transcript"], tables["file"], tables["body"])
+    return manifest.select("event_id", "body_id", F.col("uri").isNotNull().alias("has_file"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import segments as sg
 from ..plans.gather import with_transcripts
+from ..plans.transcribe import CaptionTranscripts, WordTranscripts
 from ..sources.captions import cues as parse_cues
 from ..sources.transcripts import known_format, raw_text
 from .registry import load, load_wide, query
@@ -240,3 +241,25 @@ def source_fallback(spark, root):
     recognised = docs.select("video_uri", F.lit("speech").alias("transcript_uri"), F.lit(0.8).alias("confidence"))
     chosen = with_transcripts(docs, captioned, recognised)
     return chosen.select("doc_id", F.col("transcript_uri").alias("origin"), "confidence")
+
+
+_SPACED = "regexp_replace(text, '([#$(<\\[{{]) ', ' \\1', 'g')".replace("{{", "{")
+
+
+@query("transcripts_from_captions", f"""
+    SELECT conv_id, first_cue // 10000 AS part, format, 0.97::DOUBLE AS confidence, string_agg({_SPACED}, ' ' ORDER BY first_cue) AS raw
+    FROM ({SENTENCES}), (SELECT unnest(['timestamped-speaker-turns', 'timestamped-sentences', 'raw']) AS format) GROUP BY ALL""")
+def transcripts_from_captions(spark, root):
+    """Cues to turns, sentences and the three stored formats, each read back as text."""
+    stored = CaptionTranscripts("conv_id", "cue", 0.97).transcripts(cues(spark, root))
+    return stored.select("conv_id", "part", "format", "confidence", raw_text(F.col("format"), F.col("data")).alias("raw"))
+
+
+@query("transcripts_from_words", f"""
+    SELECT doc_id, first_word // 10000 AS part, format, string_agg({_SPACED}, ' ' ORDER BY first_word) AS raw
+    FROM ({WORD_SENTENCES}), (SELECT unnest(['timestamped-sentences', 'raw']) AS format) GROUP BY ALL UNION ALL
+    SELECT doc_id, word // 10000, 'timestamped-words', string_agg(text, ' ' ORDER BY word) FROM ({WORDS}) GROUP BY ALL""")
+def transcripts_from_words(spark, root):
+    """Recognised words to sentences and the three stored formats, each read back as text."""
+    stored = WordTranscripts("doc_id", "word", 0.8).transcripts(words(spark, root))
+    return stored.select("doc_id", "part", "format", raw_text(F.col("format"), F.col("data")).alias("raw"))

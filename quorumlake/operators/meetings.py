@@ -121,7 +121,7 @@ def _unique(rows: DataFrame, keys: list[str], *order: str) -> DataFrame:
 
 
 def star_tables(gathered: DataFrame) -> dict[str, DataFrame]:
-    """The eight tables of normalised meetings with sources attached.
+    """The nine tables of normalised meetings with sources attached.
 
     `gathered` is `normalize_meetings` output with `source_uri`, `video_uri`,
     `transcript_uri` and `confidence`. Ids are hashes of natural keys, so links
@@ -147,6 +147,9 @@ def star_tables(gathered: DataFrame) -> dict[str, DataFrame]:
         ["event_id", "file_id"], "legistar_event_id",
     ).select(surrogate_key("transcript", "event_id", "file_id").alias("transcript_id"), "event_id", "file_id", "confidence")
 
+    # what transcript.file_id points at
+    file = events.where("transcript_uri IS NOT NULL").select("file_id", F.col("transcript_uri").alias("uri")).distinct()
+
     items = _item_rows(events, "event_id", "legistar_event_id")
     items = items.withColumn("minutes_item_id", surrogate_key("minutes_item", "name"))
     items = items.withColumn(
@@ -182,5 +185,5 @@ def star_tables(gathered: DataFrame) -> dict[str, DataFrame]:
     return {
         "body": body, "event": event, "minutes_item": minutes_item,
         "minutes_item_file": minutes_item_file, "event_minutes_item": event_minutes_item,
-        "person": person, "vote": vote, "transcript": transcript,
+        "person": person, "vote": vote, "transcript": transcript, "file": file,
     }

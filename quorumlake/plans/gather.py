@@ -91,7 +91,7 @@ def gather(
     recognised: DataFrame,
     ignored: Sequence[str | None] = (),
 ) -> dict[str, DataFrame]:
-    """Rows for the eight tables from records not stored yet.
+    """Rows for the nine tables from records not stored yet.
 
     Pages are parsed once and meetings matched once: both results are written,
     since every table is made from them.
