@@ -77,6 +77,7 @@ def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     step = max(1, min(count, int(count * PIECE_BYTES / max(1, batch.nbytes))))
     for at in range(0, count, step):
         yield batch.slice(at, step)
+    pa.default_memory_pool().release_unused()
 
 
 def flushed(rows: Iterator[tuple], width: int, size: int = 5000) -> Iterator[list]:
