@@ -130,8 +130,9 @@ def pack(docs: DataFrame) -> DataFrame:
     )
     pieces = pieces.withColumn("length", F.least(F.lit(top).cast("long"), F.col("words") - F.col("piece") * top))
     shards = max(1, math.ceil(docs.count() / SHARD_PIECES))
-    # the copy only tells repeated rows apart within a shard; it takes no part in the deal
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "length"), F.lit(shards)).cast("int"))
+    # the copy tells repeated rows apart within a shard; it takes part in the deal only where there is no id
+    nameless = F.when(F.col("doc_id").isNull(), F.col("copy"))
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "length", nameless), F.lit(shards)).cast("int"))
     packed = dealt.groupBy("shard").applyInPandas(_pack, PACKED)
     blank = sized.where("words = 0").select(
         "doc_id", "words", F.lit(0).alias("piece"), F.lit(0).cast("long").alias("length"),
