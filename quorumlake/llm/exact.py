@@ -196,7 +196,8 @@ def covered(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     hits = thin.join(marks, ["h", "rh"]).select(
         "rid", "th", F.transform("marks", lambda m: F.struct((m["low"] + F.col("start")).alias("low"), (m["high"] + F.col("start")).alias("high"))).alias("marks")
     )
-    return hits.groupBy("rid", "th").agg(F.flatten(F.collect_list("marks")).alias("marks"))
+    # a set: rows that repeat a document bring the same marks
+    return hits.groupBy("rid", "th").agg(F.flatten(F.collect_set("marks")).alias("marks"))
 
 
 def merged_ranges(marks: list[dict]) -> list[tuple[int, int]]:
