@@ -32,6 +32,9 @@ BUCKETS = 1 << 13
 DIMENSIONS = 16
 PER_LANGUAGE = 400
 LANGUAGES = 200
+#: how many times the wanted rows of a language are drawn by hash before the least hashes are taken
+DRAWN = 2
+PLACES = 1 << 40
 EPOCHS = 30
 STEP = 0.5
 BATCH = 32
@@ -86,18 +89,22 @@ def sample(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
     languages = sorted(r["lang"] for r in sizes)
-    pick = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit("sample"), "doc_id"), "doc_id")
+    if not languages:
+        return [], np.zeros((0, BUCKETS), np.float32), np.zeros(0, np.int64)
+    # a language's rows below a hash that leaves DRAWN times the wanted number, so that no task sorts a whole language
+    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, DRAWN * PER_LANGUAGE / r["count"]))])
+    place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(PLACES))
+    pick = Window.partitionBy("lang").orderBy("place", "doc_id")
     # ids first, so that only the chosen rows' texts are read into features
     chosen = (
         labelled.where(F.col("lang").isin(languages) & F.col("doc_id").isNotNull())
-        .select("doc_id", "lang")
+        .select("doc_id", "lang", place.alias("place"))
+        .where(F.col("place") < F.lit(PLACES) * share[F.col("lang")])
         .withColumn("n", F.row_number().over(pick))
         .where(F.col("n") <= PER_LANGUAGE)
         .select("doc_id")
         .distinct()
     )
-    if not languages:
-        return [], np.zeros((0, BUCKETS), np.float32), np.zeros(0, np.int64)
     rows = labelled.join(F.broadcast(chosen), "doc_id").select("doc_id", "lang", "text")
     target = schema_of(docs.sparkSession, "doc_id long, lang string, bucket array<short>, times array<int>")
 
