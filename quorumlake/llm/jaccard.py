@@ -78,8 +78,11 @@ def _classes(sets: DataFrame) -> DataFrame:
 
 
 def _split(rows: DataFrame) -> DataFrame:
-    """The rows whose node holds at least two, with its size n."""
-    sizes = rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
+    """The rows whose node holds at least two, with its size n.
+
+    The sizes are written, so that the join sees two plain sides and may split a node that holds many rows.
+    """
+    sizes = written(rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), "node-sizes")
     return rows.join(sizes, "node")
 
 
@@ -105,6 +108,15 @@ def _leaves(classes: DataFrame) -> tuple[DataFrame, int]:
     return reduce(DataFrame.unionByName, found), level
 
 
+def with_crowds(rows: DataFrame, group: str, block: int) -> DataFrame:
+    """The rows with the size n of their group, or 1 where one block holds the group.
+
+    Only the crowded groups are joined, from a written table: small ones need no exchange, and a hot one can be split.
+    """
+    sizes = rows.groupBy(group).agg(F.count("*").alias("n")).where(F.col("n") > block)
+    return rows.join(written(sizes, "crowds"), group, "left").withColumn("n", F.coalesce("n", F.lit(1).cast("long")))
+
+
 def in_cells(rows: DataFrame, group: str, block: int) -> DataFrame:
     """Rows of groups (group, n, key) dealt to pairs (low, high) of their blocks."""
     count = F.ceil(F.col("n") / block).cast("int")
@@ -261,9 +273,9 @@ def classes_of(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     sets = written(_sets(docs, 0), "sets")
     classes = written(_classes(sets), "classes")
     found = components(candidates(docs, sets, classes))
-    sizes = found.groupBy("root").agg(F.count("*").alias("n"))
+    sized = with_crowds(found.withColumnRenamed("node", "key"), "root", BLOCK)
     wanted = written(
-        found.withColumnRenamed("node", "key").join(sizes, "root").join(classes.select("key", "rid", "copies"), "key"), "candidate-sets"
+        sized.join(classes.select("key", "rid", "copies"), "key"), "candidate-sets"
     )
     texts = sifted(docs.select(rid().alias("rid"), "text"), "rid", sieve(wanted, "rid")).join(wanted, "rid")
     cells = in_cells(_shingled(texts.select("root", "n", "key", "copies", "text")), "root", BLOCK)

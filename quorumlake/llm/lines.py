@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ..session import written
 from .common import pieces, record_batch, rid, schema_of, sieve, sifted
 from .hashing import code_points, mix, prefix, spans
-from .jaccard import bucket_of, in_cells
+from .jaccard import bucket_of, in_cells, with_crowds
 
 TAU = 2
 LEAST = 20
@@ -308,9 +308,8 @@ def met_lines(docs: DataFrame, tau: int = TAU) -> DataFrame:
 
 def near_ids(met: DataFrame, texts: DataFrame, tau: int = TAU) -> DataFrame:
     """Ids of the distinct lines that have a different line within tau edits earlier."""
-    sizes = met.groupBy("meet").agg(F.count("*").alias("n"))
     count = max(1, met.count() // 5000)
-    cells = in_cells(met.join(sizes, "meet"), "meet", BLOCK).join(texts, "key")
+    cells = in_cells(with_crowds(met, "meet", BLOCK), "meet", BLOCK).join(texts, "key")
     cells = cells.select(bucket_of("meet", "low", "high", count=count), "meet", "low", "high", "own", "key", "indexed", "rid", "number", "body")
     return cells.groupBy("bucket").applyInPandas(_verify(tau), "id long").distinct()
 
