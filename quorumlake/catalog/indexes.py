@@ -104,6 +104,15 @@ def search_documents(spark, root):
     return _found(spark, root, stemmed=False)
 
 
+@query("search_ordered", f"""
+    SELECT item_id, row_number() OVER (ORDER BY item_id, relevance DESC, doc_id) AS position, doc_id, relevance
+    FROM ({MATCHES})""")
+def search_ordered(spark, root):
+    """All matches query by query, best first, with their place in that order."""
+    found = se.numbered(_found(spark, root, stemmed=False), "item_id", "doc_id")
+    return found.select("item_id", "position", "doc_id", "relevance")
+
+
 @query("search_documents_stemmed")
 def search_documents_stemmed(spark, root):
     return _found(spark, root, stemmed=True)
@@ -127,7 +136,7 @@ def search_with_rows(spark, root):
       CASE WHEN n.value IS NULL THEN TIMESTAMP '2024-01-01' ELSE TIMESTAMP '2024-02-01' END AS updated
     FROM old AS o FULL JOIN (SELECT * FROM new UNION ALL SELECT * FROM extra) AS n USING (term, doc_id)""")
 def upsert_index(spark, root):
-    counted = counts(spark, root)
+    counted = written(counts(spark, root), "term-counts")
     labels = load(spark, root, "labels").select("doc_id", "quality")
 
     def entries(frame, day):

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
 from .index import term_counts
 from .spread import spread_join
 
@@ -52,6 +53,30 @@ def search_text(index: DataFrame, text: str, id_column: str, stemmed: bool = Tru
     return found.orderBy(F.desc("relevance"), id_column)
 
 
+def ordered(matches: DataFrame, query_id: str, id_column: str) -> DataFrame:
+    """Matches query by query, best first; equal relevance goes to the lowest id. A range sort, no task holds a query."""
+    return matches.orderBy(query_id, F.desc("relevance"), id_column)
+
+
+def numbered(matches: DataFrame, query_id: str, id_column: str) -> DataFrame:
+    """Ordered matches with their `position` over all, from 1.
+
+    Each range of the sort is numbered on its own; the counts of the ranges
+    before it, one row per task, are added.
+    """
+    ranges = written(
+        ordered(matches, query_id, id_column).withColumn("_at", F.monotonically_increasing_id()), "ordered-matches"
+    )
+    # the upper bits of the id are the number of the range, the lower ones the place in it
+    part = F.shiftright("_at", 33)
+    sizes = ranges.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    placed = ranges.withColumn("_part", part).join(starts, "_part")
+    position = F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return placed.withColumn("position", position.cast("long")).drop("_at", "_part", "_start")
+
+
 def attach_rows(matches: DataFrame, data: DataFrame, id_column: str) -> DataFrame:
     """The source row of each match; a match whose row is gone keeps a null."""
     rows = data.select(id_column, F.struct(*[c for c in data.columns if c != id_column]).alias("data"))

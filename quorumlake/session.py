@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,9 +51,34 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[application]
 
 
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scope", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes the paths named inside by `work_path` and `written` when it ends, also on failure.
+
+    A frame that reads them must have been written elsewhere by then. Only
+    paths of this scope go, never what a scope around it holds.
+    """
+    paths: list[str] = []
+    token = _SCOPE.set(paths)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        hadoop = spark._jsparkSession.sessionState().newHadoopConf()
+        for path in paths:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(hadoop).delete(target, True)
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if (paths := _SCOPE.get()) is not None:
+        paths.append(path)
+    return path
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

@@ -343,3 +343,32 @@ def test_truecase(spark):
     model = fit_casing(placed_tokens(corpus, "id"))
     shouted = placed_tokens(spark.createDataFrame([(7, "THE MAYOR OF DENVER SPOKE. WE LEFT")], "id int, text string"), "id")
     assert apply_casing(shouted, model, "id").first().text == "The mayor of Denver spoke. We left"
+
+
+def test_scratch_removes_its_tables_also_on_failure(spark):
+    from pathlib import Path
+
+    from quorumlake.session import scratch, work_path, written
+
+    def there(path):
+        return Path(path.removeprefix("file:")).exists()
+
+    with scratch(spark):
+        outer = work_path(spark, "outer")
+        spark.range(3).write.parquet(outer)
+        with pytest.raises(ValueError), scratch(spark):
+            inner = work_path(spark, "inner")
+            spark.range(3).write.parquet(inner)
+            assert written(spark.range(5), "table").count() == 5
+            raise ValueError
+        assert not there(inner) and there(outer)
+    assert not there(outer)
+
+
+def test_numbered_matches_follow_relevance_and_lowest_id(spark):
+    from quorumlake.operators.search import numbered
+
+    rows = [(2, 1, 5.0), (1, 9, 1.0), (1, 3, 7.0), (1, 2, 7.0)]
+    found = numbered(spark.createDataFrame(rows, "q int, d int, relevance double"), "q", "d")
+    assert sorted((r.position, r.q, r.d) for r in found.collect()) == [(1, 1, 2), (2, 1, 3), (3, 1, 9), (4, 2, 1)]
+    assert numbered(found.drop("position").where("q = 7"), "q", "d").isEmpty()
