@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quorumlake.llm import jaccard, langid, lines, mixing, packing
 from quorumlake.llm.common import documents
-from quorumlake.session import written
+from quorumlake.session import scratch, work_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -60,8 +60,12 @@ STAGES: list[tuple[str, Stage]] = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The result of the last stage over `documents`."""
+    """The result of the last stage over `documents`; what a stage wrote on its way goes once its result is stored."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        path = work_path(spark, name)
+        with scratch(spark):
+            made = stage(spark, docs, sf_dir)
+            made.write.parquet(path)
+        docs = spark.read.schema(made.schema).parquet(path)
     return docs

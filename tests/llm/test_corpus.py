@@ -1,18 +1,24 @@
 from __future__ import annotations
 
 import math
+import os
 
 import corpus_pipeline
 import duckdb
 import numpy as np
 import pytest
-from quorumlake.llm import mixing, neighbours, packing, queries
+from quorumlake.llm import jaccard, mixing, neighbours, packing, queries
+from quorumlake.session import shared_dir
 
 from .conftest import SCHEMA, rows
 
 SF = "/root/testdata/sf0.001"
 
 
+def stored(spark) -> list[str]:
+    return os.listdir(shared_dir(spark).removeprefix("file:"))
+
+
 def test_mix_equals_its_sql(awkward, clashing, nothing):
     con = duckdb.connect()
     con.register("frame", awkward.where("doc_id IS NOT NULL").toPandas())
@@ -111,8 +117,27 @@ def test_stages_keep_columns_and_take_awkward_rows(spark, awkward, clashing, not
 
 def test_pipeline_keeps_one_of_each_group(spark, tmp_path):
     spark.createDataFrame(rows(), SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    before = set(stored(spark))
     ids = [r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().collect()]
     assert not {102, 103, 104, 105, 106, 107, 108} & set(ids)
+    # of all tables written on the way only the stages' results are left
+    left = {name.rsplit("-", 1)[0] for name in set(stored(spark)) - before}
+    assert left == {name for name, _ in corpus_pipeline.STAGES}
+
+
+def test_crowded_groups_get_their_size(spark):
+    groups = spark.range(40).selectExpr("IF(id < 30, 1, id) AS node", "id AS key")
+    found = {r["node"]: r["n"] for r in jaccard.with_crowds(groups, "node", 20).collect()}
+    assert found == {1: 30} | dict.fromkeys(range(30, 40), 1)
+    assert {r["n"] for r in jaccard.with_crowds(groups, "node", 30).collect()} == {1}
+    assert jaccard.with_crowds(groups.where("key < 0"), "node", 1).isEmpty()
+
+
+def test_documents_without_an_id_share_the_shards(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_PIECES", 10)
+    docs = spark.createDataFrame([(None, "one two three")] * 60, "doc_id long, text string")
+    packed = packing.pack(docs).collect()
+    assert len(packed) == 60 and len({r["bin"] >> 24 for r in packed}) > 1
 
 
 def test_queries_over_the_given_tables(spark):
