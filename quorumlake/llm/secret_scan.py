@@ -1,6 +1,8 @@
 """Secret scan: fixed patterns, and a randomness test battery with false-discovery control.
 
-Each long token is given the narrowest encoding that holds it. Three tests ask
+Each long token is given the narrowest encoding that holds it; '=' ends a token,
+and one that no encoding holds is split at the characters outside each alphabet
+and its long parts are taken instead. Three tests ask
 whether it could be uniform noise in that alphabet: chi-squared uniformity,
 runs about the middle of the alphabet, and lag-one serial correlation. Fisher's
 method joins them; a token that fails is structured. For the rest, the
@@ -11,7 +13,8 @@ share of wrong finds below `q`. Its counts cover every token of the table and
 need one small histogram, whatever the table's size.
 
 Defined cases: a null text counts as empty; tokens that a pattern already
-covers are not added again; a null doc_id is carried along.
+covers are not added again; parts of one token that overlap and are both kept
+make one find; a null doc_id is carried along.
 """
 
 from __future__ import annotations
@@ -37,7 +40,8 @@ HEX = re.compile(r"[0-9a-f]{24,}", re.ASCII)
 KEYWORDS = ("passw", "secret", "token", "apikey", "api_key")
 KINDS = ("assign", "access", "hex", "random")
 
-TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}", re.ASCII)
+# '=' stands between a name and its value or pads an end, so it is never inside
+TOKEN = re.compile(r"[A-Za-z0-9+/_-]{20,}", re.ASCII)
 LEAST = 20
 BANDS = (20, 32, 48, 80)
 ALPHA = 0.001
@@ -64,6 +68,8 @@ def _table(alphabet: str) -> np.ndarray:
     return table
 
 
+#: the long parts of a token that mixes alphabets
+_PARTS = [re.compile(f"[{re.escape(alphabet)}]{{{LEAST},}}") for _, alphabet, _ in ENCODINGS]
 _TABLES = [(name, len(alphabet), same, _table(alphabet)) for name, alphabet, same in ENCODINGS]
 
 
@@ -121,6 +127,31 @@ def judged(token: str) -> tuple[str, int, int] | None:
     return None
 
 
+def trimmed(text: str, start: int, end: int) -> tuple[int, int]:
+    core = text[start:end].strip("-_/+")
+    start += text[start:end].index(core)
+    return start, start + len(core)
+
+
+def judgements(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, tuple[str, int, int]]]:
+    """(start, end, verdict) of the long tokens outside base spans, or of the long parts of those that no encoding holds."""
+
+    def fresh(start: int, end: int) -> bool:
+        return end - start >= LEAST and not any(s <= start and end <= e for s, _, e in base)
+
+    for m in TOKEN.finditer(text):
+        start, end = trimmed(text, m.start(), m.end())
+        if not fresh(start, end):
+            continue
+        if verdict := judged(text[start:end]):
+            yield start, end, verdict
+            continue
+        parts = {trimmed(text, *p.span()) for part in _PARTS for p in part.finditer(text, start, end)}
+        for a, b in sorted(parts):
+            if fresh(a, b) and (verdict := judged(text[a:b])):
+                yield a, b, verdict
+
+
 def band(n: int) -> int:
     return max(b for b in BANDS if b <= n)
 
@@ -144,17 +175,10 @@ def _scan(rows: Iterator[tuple]) -> Iterator[tuple]:
     for doc_id, text in rows:
         text = text or ""
         base = base_spans(text)
-        tokens = []
-        for m in TOKEN.finditer(text):
-            core = m[0].strip("=-_/+")
-            if len(core) < LEAST:
-                continue
-            start = m.start() + m[0].index(core)
-            end = start + len(core)
-            if any(s <= start and end <= e for s, _, e in base):
-                continue
-            if verdict := judged(core):
-                tokens.append({"start": start, "end": end, "stratum": f"{verdict[0]}-{verdict[1]}", "level": verdict[2]})
+        tokens = [
+            {"start": start, "end": end, "stratum": f"{name}-{length}", "level": level}
+            for start, end, (name, length, level) in judgements(text, base)
+        ]
         yield (
             doc_id,
             *(sum(kind == k for _, kind, _ in base) for k in range(3)),
@@ -189,6 +213,23 @@ def cutoffs(scanned: DataFrame, q: float = Q) -> dict[str, int]:
     return {r["stratum"]: r["cut"] for r in passing.groupBy("stratum").agg(F.min("level").alias("cut")).collect()}
 
 
+def apart(spans: Column) -> Column:
+    """Spans in order of start, with those that overlap joined."""
+
+    def add(done: Column, s: Column) -> Column:
+        last = F.get(done, F.size(done) - 1)
+        longer = F.struct(last["start"].alias("start"), last["kind"].alias("kind"), F.greatest(last["end"], s["end"]).alias("end"))
+        return F.when(last["end"] > s["start"], F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer))).otherwise(
+            F.concat(done, F.array(s))
+        )
+
+    overlaps = F.exists(F.transform(spans, lambda s, k: F.coalesce(F.get(spans, k - 1)["end"] > s["start"], F.lit(False))), lambda x: x)
+    return F.when(overlaps, F.aggregate(spans, F.array().cast(SPANS), add)).otherwise(spans)
+
+
+SPANS = "array<struct<start:int,kind:int,end:int>>"
+
+
 def scan(docs: DataFrame, q: float = Q) -> DataFrame:
     """Base counts and digest, and `spans` as (start, kind, end) structs with the random tokens kept."""
     scanned = written(
@@ -203,8 +244,9 @@ def scan(docs: DataFrame, q: float = Q) -> DataFrame:
             lambda t: F.struct(t["start"].alias("start"), F.lit(3).alias("kind"), t["end"].alias("end")),
         )
         if cuts
-        else F.array().cast("array<struct<start:int,kind:int,end:int>>")
+        else F.array().cast(SPANS)
     )
+    kept = apart(kept)
     return scanned.select(
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256",
         F.array_sort(F.concat("base", kept)).alias("spans"), F.size(kept).cast("long").alias("n_random"),

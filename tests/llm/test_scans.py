@@ -92,6 +92,21 @@ def test_secret_scan_adds_tokens(spark, nothing, clashing):
     assert secret_scan.scan(clashing).count() == clashing.count()
 
 
+def test_secrets_beside_names_and_in_paths(spark):
+    value = "".join(c for c in base64.b64encode(hashlib.sha512(b"value").digest()).decode() if c.isalnum())[:44]
+    other = hashlib.sha512(b"other").hexdigest().translate(str.maketrans("0123456789abcdef", "qZ3xR8mTf0KbW5yH"))[:44]
+    texts = [
+        f"AWS_SECRET_ACCESS_KEY={value}", f"sessionid={value}==", f"see /some-site/of_pages/{value}", f"x_y/{value}-z+a",
+        f"a-b/{value}+{other}-{value[::-1]}",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in secret_scan.scan(docs).collect()}
+    for k, text in enumerate(texts):
+        found = sorted((s["start"], s["end"]) for s in got[k]["spans"])
+        assert got[k]["n_random"] == len(found) == 1, text
+        assert found[0][0] <= text.index(value) and found[0][1] >= text.index(value) + len(value), text
+
+
 def test_pii_over_awkward_rows(nothing, clashing):
     assert pii.find(nothing).count() == 0
     got = pii.find(clashing).collect()
