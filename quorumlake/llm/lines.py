@@ -350,7 +350,7 @@ def deduplicated(docs: DataFrame, tau: int = TAU) -> DataFrame:
 
 
 def rewritten(docs: DataFrame, tau: int = TAU) -> DataFrame:
-    """Documents without their repeated lines; one left with short lines only goes. All columns kept."""
+    """Documents without their repeated lines; one left with blank text only goes. All columns kept."""
     marks = written(deduplicated(docs, tau).where("n_removed > 0").select("rid", "removed").dropDuplicates(["rid"]), "removed-lines")
     held = sieve(marks, "rid")
     packed = docs.select(F.struct("*").alias("doc"), rid().alias("rid"))
@@ -358,7 +358,7 @@ def rewritten(docs: DataFrame, tau: int = TAU) -> DataFrame:
     touched = sifted(packed, "rid", held).join(marks, "rid", "left")
     split = _lines_of(F.col("doc.text"))
     left = F.filter(split, lambda x, k: ~F.coalesce(F.array_contains("removed", k), F.lit(False)))
-    stays = F.col("removed").isNull() | F.exists(left, lambda x: F.length(x) >= LEAST)
+    stays = F.col("removed").isNull() | F.exists(left, lambda x: x.rlike(r"\S"))
     text = F.when(F.col("removed").isNull(), F.col("doc.text")).otherwise(F.array_join(left, "\n"))
     columns = [text.alias(c) if c == "text" else F.col("doc").getField(c).alias(c) for c in docs.columns]
     touched = touched.where(stays).select(F.struct(*columns).alias("doc"))

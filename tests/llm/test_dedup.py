@@ -163,3 +163,11 @@ def test_lines_against_brute_force(spark, awkward, clashing, nothing, monkeypatc
     left = {r["doc_id"]: r["text"] for r in rewritten.collect()}
     assert not {102, 103, 104} & set(left) and {0, 3, 105, 106, 107, 110} <= set(left)
     assert prose(7, 60) in left[90] and prose(7, 60) not in left[91]
+
+
+def test_short_lines_outlive_a_shared_footer(spark):
+    footer = "printed by the city clerk of the town"
+    texts = [f"{footer}\nheld", f"one leaf\n\nfalls\n{footer}", f"{footer}\n \t\n", footer]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    left = {r["doc_id"]: r["text"] for r in lines.rewritten(docs).collect()}
+    assert left == {0: texts[0], 1: "one leaf\n\nfalls"}
