@@ -7,9 +7,10 @@ equal k-grams, so suffix arrays over the regions of one k-gram see all repeats.
 Regions whose k-gram stands nowhere else are dropped by hash; equal regions are
 merged into one with a multiplicity. The rest, distinct regions only, is dealt
 by k-gram into buckets of bounded size; each bucket is sorted by the two-stage
-suffix sort and marked where adjacent common prefixes reach DEPTH. A k-gram
-with more regions than a bucket holds is dealt window by window instead, by the
-hash of the window.
+suffix sort and marked where adjacent common prefixes reach DEPTH. Of a k-gram with
+more regions than a bucket holds the windows are counted instead, by two hashes
+beside the k-gram's own, before anything meets in one task; no bytes move for
+them, and a window counted more than once is repeated.
 
 Texts are shuffled only for documents that hold something repeated.
 
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ..session import written
 from .common import pieces, record_batch, schema_of, sieve, sifted
-from .hashing import grams, prefix, spans
+from .hashing import grams, mix, prefix, spans
 from .suffix import common_prefixes, suffix_array, words
 
 DEPTH = 200
@@ -44,6 +45,8 @@ BUCKET_BYTES = 1_500_000
 CROWD = 32_768
 _POSITION = np.uint64((1 << 24) - 1)
 _UP = bytes((i + 1) % 256 for i in range(256))
+#: bytes under another name, for a second hash
+_TURNED = mix(np.arange(256, dtype=np.uint64)) & np.uint64(0xFFFFFFFF)
 
 
 def regions(data: bytes, depth: int = DEPTH) -> tuple[np.ndarray, ...]:
@@ -101,11 +104,11 @@ def _anchored(docs: DataFrame, depth: int) -> DataFrame:
     return _keyed(docs).select("rid", "th", "data").mapInArrow(apply, schema)
 
 
-CUT = "skey long, h long, rh long, off int, windows int, n long, body binary"
+CUT = "h long, rh long, windows int, n long, body binary"
 
 
 def _cut(rows: DataFrame, depth: int) -> DataFrame:
-    """Bytes of the regions a document stands for; crowded k-grams window by window."""
+    """Bytes of the regions a document stands for."""
     target = schema_of(rows.sparkSession, CUT)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,19 +118,50 @@ def _cut(rows: DataFrame, depth: int) -> DataFrame:
                 for data, held in zip(piece.column("data").to_pylist(), piece.column("held").to_pylist(), strict=True):
                     for r in held:
                         start, count = r["start"], r["windows"]
-                        if r["crowded"]:
-                            sums = prefix(np.frombuffer(data, np.uint8)[start : start + count + depth - 1])
-                            at = np.arange(count)
-                            for k, key in enumerate(spans(sums, at, at + depth).view(np.int64).tolist()):
-                                out.append((key, r["h"], r["rh"], k, 1, r["n"], data[start + k : start + k + depth]))
-                        else:
-                            out.append((r["h"], r["h"], r["rh"], 0, count, r["n"], data[start : start + count + depth - 1]))
+                        out.append((r["h"], r["rh"], count, r["n"], data[start : start + count + depth - 1]))
                 for at in range(0, len(out), 20_000):
                     yield record_batch([list(c) for c in zip(*out[at : at + 20_000], strict=True)], target)
 
     return rows.mapInArrow(apply, CUT)
 
 
+WINDOWS = "h long, rh long, off int, n long, w long, w2 long"
+
+
+def _windows(rows: DataFrame, depth: int) -> DataFrame:
+    """Two hashes of every window of the regions a document stands for."""
+    target = schema_of(rows.sparkSession, WINDOWS)
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch):
+                for data, held in zip(piece.column("data").to_pylist(), piece.column("held").to_pylist(), strict=True):
+                    for low in range(0, len(held), 500):
+                        columns: list[list[np.ndarray]] = [[] for _ in range(6)]
+                        for r in held[low : low + 500]:
+                            start, count = r["start"], r["windows"]
+                            part = np.frombuffer(data, np.uint8)[start : start + count + depth - 1]
+                            at = np.arange(count)
+                            made = (
+                                *(np.full(count, r[name]) for name in ("h", "rh")), at, np.full(count, r["n"]),
+                                *(spans(prefix(x), at, at + depth).view(np.int64) for x in (part, _TURNED[part])),
+                            )
+                            for column, x in zip(columns, made, strict=True):
+                                column.append(x)
+                        yield record_batch([pa.array(np.concatenate(c)) for c in columns], target)
+
+    return rows.mapInArrow(apply, WINDOWS)
+
+
+def _runs(rows: DataFrame, depth: int) -> DataFrame:
+    """(h, rh, low, high) of every window that stands more than once, from rows of _windows."""
+    windows = written(rows, "windows")
+    # summed before the shuffle, so that a window brings one row a task however many regions share it
+    often = windows.groupBy("h", "w", "w2").agg(F.sum("n").alias("n")).where("n > 1").drop("n")
+    low = F.col("off").cast("long")
+    return windows.join(often, ["h", "w", "w2"]).select("h", "rh", low.alias("low"), (low + depth).alias("high"))
+
+
 def repeated(bodies: list[bytes], windows: np.ndarray, times: np.ndarray, depth: int) -> list[np.ndarray]:
     """Of each region the window offsets that occur more than once, by suffix array and common prefixes."""
     lengths = windows + depth
@@ -154,14 +188,14 @@ def _mark(depth: int):
     def apply(frame: pd.DataFrame) -> pd.DataFrame:
         offsets = repeated(frame["body"].tolist(), frame["windows"].to_numpy(np.int64), frame["n"].to_numpy(), depth)
         h, rh, low, high = [], [], [], []
-        for key, body, off, found in zip(frame["h"], frame["rh"], frame["off"], offsets, strict=True):
+        for key, body, found in zip(frame["h"], frame["rh"], offsets, strict=True):
             if len(found):
                 breaks = np.flatnonzero(np.diff(found) > 1)
                 for a, b in zip(found[np.append(0, breaks + 1)], found[np.append(breaks, len(found) - 1)], strict=True):
                     h.append(key)
                     rh.append(body)
-                    low.append(off + a)
-                    high.append(off + b + depth)
+                    low.append(a)
+                    high.append(b + depth)
         return pd.DataFrame({"h": h, "rh": rh, "low": low, "high": high}).astype("int64")
 
     return apply
@@ -181,17 +215,22 @@ def covered(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         merged.join(crowds, "h").select("h", "rh", "windows", "n", "rid", "th", "start", (F.col("kinds") > CROWD).alias("crowded")),
         "live-regions",
     )
-    size = F.when(F.col("crowded"), F.col("windows") * depth).otherwise(F.col("windows") + depth)
-    buckets = max(1, math.ceil((live.agg(F.sum(size)).first()[0] or 0) / BUCKET_BYTES))
-    held = live.groupBy("rid", "th").agg(F.collect_list(F.struct("h", "rh", "windows", "n", "start", "crowded")).alias("held"))
-    texts = sifted(_keyed(docs), "rid", sieve(live, "rid"))
-    bodies = _cut(texts.join(held, ["rid", "th"]).select("data", "held"), depth)
+    size = F.when(~F.col("crowded"), F.col("windows") + depth)
+    total, crowded = live.agg(F.coalesce(F.sum(size), F.lit(0)), F.coalesce(F.bool_or("crowded"), F.lit(False))).first()
+    buckets = max(1, math.ceil(total / BUCKET_BYTES))
+
+    def holding(rows: DataFrame) -> DataFrame:
+        held = rows.groupBy("rid", "th").agg(F.collect_list(F.struct("h", "rh", "windows", "n", "start")).alias("held"))
+        return sifted(_keyed(docs), "rid", sieve(rows, "rid")).join(held, ["rid", "th"]).select("data", "held")
+
     marks = (
-        bodies.groupBy(F.pmod(F.xxhash64("skey"), F.lit(buckets)).alias("bucket"))
+        _cut(holding(live.where(~F.col("crowded"))), depth)
+        .groupBy(F.pmod(F.xxhash64("h"), F.lit(buckets)).alias("bucket"))
         .applyInPandas(_mark(depth), "h long, rh long, low long, high long")
-        .groupBy("h", "rh")
-        .agg(F.collect_set(F.struct("low", "high")).alias("marks"))
     )
+    if crowded:
+        marks = marks.unionByName(_runs(_windows(holding(live.where("crowded")), depth), depth))
+    marks = marks.groupBy("h", "rh").agg(F.collect_set(F.struct("low", "high")).alias("marks"))
     marks = written(marks, "marks")
     hits = thin.join(marks, ["h", "rh"]).select(
         "rid", "th", F.transform("marks", lambda m: F.struct((m["low"] + F.col("start")).alias("low"), (m["high"] + F.col("start")).alias("high"))).alias("marks")

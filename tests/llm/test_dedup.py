@@ -76,6 +76,26 @@ def test_crowded_grams_go_window_by_window(awkward, monkeypatch):
     check_exact(awkward.where("doc_id BETWEEN 85 AND 111"))
 
 
+def test_windows_of_crowded_grams_never_meet_in_one_task(spark, monkeypatch):
+    passage = prose(21, 80)
+    docs = spark.createDataFrame([(k, f"{prose(300 + k, 8)} {passage} {prose(400 + k, 8)}") for k in range(40)], "doc_id long, text string")
+    mark = exact._mark
+
+    def guarded(depth):
+        inner = mark(depth)
+
+        def apply(frame):
+            if len(frame) and frame["body"].value_counts().max() > 1:
+                raise ValueError("equal bodies were not merged")
+            return inner(frame)
+
+        return apply
+
+    monkeypatch.setattr(exact, "CROWD", 1)
+    monkeypatch.setattr(exact, "_mark", guarded)
+    check_exact(docs)
+
+
 def word_sets(docs):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     out = []
