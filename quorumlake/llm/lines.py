@@ -10,8 +10,11 @@ goes if an equal or near line stands earlier (by document, then line number).
 Keys move once; texts move only for lines that met another. Crowded keys are
 dealt out in pairs of blocks.
 
-Defined cases: lines under LEAST characters always stay and meet nothing; a
-null text has no lines; documents with equal doc_id count as one; ties in
+Lines under LEAST characters take no part in the edit join; exact repeats of
+those that are not blank are found with the others and reported.
+
+Defined cases: lines under LEAST characters always stay; white space makes a
+line blank and blank lines count nowhere; a null text has no lines; documents with equal doc_id count as one; ties in
 order go to the smaller id; an empty table gives an empty result.
 """
 
@@ -34,6 +37,8 @@ TAU = 2
 LEAST = 20
 BLOCK = 512
 LINE_BREAK = 10
+#: the white space of \s in Spark's patterns
+BLANKS = np.array([9, 10, 11, 12, 13, 32], np.uint32)
 CELLS = 2_000_000
 NOTHING = np.uint32(0xFFFFFFFF)
 
@@ -53,10 +58,12 @@ class Lines:
         self.length = self.end - self.start
         self.hash = spans(self.sums, self.start, self.end)
         self.eligible = self.length >= LEAST
+        inked = np.concatenate([[0], np.cumsum(~np.isin(self.points, BLANKS))])
+        self.filled = self.eligible | (inked[self.end] > inked[self.start])
 
-    def firsts(self) -> np.ndarray:
-        """Of each distinct eligible line the earliest here."""
-        rows = np.flatnonzero(self.eligible)
+    def firsts(self, among: np.ndarray) -> np.ndarray:
+        """Of each distinct line among the marked ones the earliest here."""
+        rows = np.flatnonzero(among)
         order = rows[np.lexsort((self.number[rows], self.rid[rows], self.hash[rows]))]
         hashed = self.hash[order]
         return order[np.concatenate([[True], hashed[1:] != hashed[:-1]])] if len(order) else order
@@ -101,8 +108,8 @@ def keys(lines: Lines, rows: np.ndarray, tau: int = TAU) -> tuple[np.ndarray, np
     return np.concatenate(out_keys), np.concatenate(out_ids)
 
 
-def _per_piece(docs: DataFrame, schema: str, columns) -> DataFrame:
-    """mapInArrow that hands each piece's lines to `columns` and yields its column arrays."""
+def _per_piece(docs: DataFrame, schema: str, columns, least: int = LEAST) -> DataFrame:
+    """mapInArrow that hands each piece's lines to `columns` and yields its column arrays; texts under `least` characters are left out."""
     target = schema_of(docs.sparkSession, schema)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,7 +121,7 @@ def _per_piece(docs: DataFrame, schema: str, columns) -> DataFrame:
                     part = [c[at : at + 100_000] for c in made]
                     yield record_batch([pa.array(c) if isinstance(c, np.ndarray) else c for c in part], target)
 
-    texts = docs.where(F.length("text") >= LEAST).select(rid().alias("rid"), "text")
+    texts = docs.where(F.length("text") >= least).select(rid().alias("rid"), "text")
     return texts.mapInArrow(apply, schema)
 
 
@@ -122,10 +129,10 @@ def _firsts(held: np.ndarray):
     """Each piece's distinct lines with the place of the earliest; the text only of those that may have met another."""
 
     def columns(lines: Lines) -> list:
-        rows = lines.firsts()
+        rows = lines.firsts(lines.filled)
         h = lines.hash[rows]
         bit = (mix(identity(h).view(np.uint64)) & np.uint64(len(held) * 32 - 1)).astype(np.int64)
-        met = ((held[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1).astype(bool)
+        met = ((held[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1).astype(bool) & lines.eligible[rows]
         spans_ = zip(met, lines.start[rows], lines.end[rows], strict=True)
         body = [lines.points[a:b].tobytes() if m else None for m, a, b in spans_]
         return [h.view(np.int64), lines.second(rows).view(np.int64), lines.rid[rows], lines.number[rows].astype(np.int32), body]
@@ -292,7 +299,7 @@ def met_lines(docs: DataFrame, tau: int = TAU) -> DataFrame:
     """(meet, key, indexed): lines under each key at which an indexed line meets another."""
 
     def columns(lines: Lines) -> list:
-        return list(keys(lines, lines.firsts(), tau))
+        return list(keys(lines, lines.firsts(lines.eligible), tau))
 
     rows = _per_piece(docs, "meet long, tagged long", columns).repartition("meet").sortWithinPartitions("meet", "tagged")
     target = schema_of(docs.sparkSession, MET)
@@ -319,10 +326,10 @@ def _lines_of(text: Column) -> Column:
 
 
 def removed(docs: DataFrame, tau: int = TAU) -> DataFrame:
-    """(rid, kept, n_near): kept long lines of each document that keeps any, and how many it loses as near ones."""
+    """(rid, kept, n_near): lines of each document that stand nowhere earlier, if any, and how many it loses as near ones."""
     met = met_lines(docs, tau)
     earliest = F.min(F.struct("rid", "number"))
-    found = _per_piece(docs, "h long, h2 long, rid long, number int, body binary", _firsts(_line_sieve(met)))
+    found = _per_piece(docs, "h long, h2 long, rid long, number int, body binary", _firsts(_line_sieve(met)), 1)
     firsts = found.groupBy("h", "h2").agg(earliest.alias("first"), F.first("body", ignorenulls=True).alias("body"))
     firsts = written(firsts.select(F.shiftrightunsigned("h", 1).alias("key"), "first.*", "body"), "lines")
     near = near_ids(met, firsts.where("body IS NOT NULL"), tau)
@@ -333,18 +340,27 @@ def removed(docs: DataFrame, tau: int = TAU) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, tau: int = TAU) -> DataFrame:
-    """(doc_id, n_lines, n_removed, n_near, removed): removed line numbers, counted from 0."""
+    """(doc_id, n_lines, n_removed, n_near, removed, short_repeats): removed line numbers, counted from 0, and those of short lines that stand earlier."""
     split = _lines_of(F.col("text"))
-    long = F.filter(F.transform(split, lambda x, k: F.when(F.length(x) >= LEAST, k)), lambda k: k.isNotNull())
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), rid().alias("rid"), F.size(split).alias("n_lines"), long.alias("long"))
+
+    def numbers(holds) -> Column:
+        return F.filter(F.transform(split, lambda x, k: F.when(holds(x), k)), lambda k: k.isNotNull())
+
+    long = numbers(lambda x: F.length(x) >= LEAST)
+    short = numbers(lambda x: (F.length(x) < LEAST) & x.rlike(r"\S"))
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), rid().alias("rid"), F.size(split).alias("n_lines"), long.alias("long"), short.alias("short")
+    )
     joined = rows.join(removed(docs, tau), "rid", "left")
-    gone = F.coalesce(F.array_except("long", F.coalesce("kept", F.array().cast("array<int>"))), F.array().cast("array<int>"))
+    none = F.array().cast("array<int>")
+    gone, again = (F.coalesce(F.array_except(column, F.coalesce("kept", none)), none) for column in ("long", "short"))
     return joined.select(
         "doc_id",
         F.greatest("n_lines", F.lit(0)).cast("long").alias("n_lines"),
         F.size(gone).cast("long").alias("n_removed"),
         F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
         F.array_sort(gone).alias("removed"),
+        F.array_sort(again).alias("short_repeats"),
         "rid",
     )
 

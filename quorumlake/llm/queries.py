@@ -30,7 +30,8 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lines.deduplicated(documents(spark, sf_dir))
-    return found.select("doc_id", "n_lines", "n_removed", "n_near", F.concat_ws(",", F.col("removed").cast("array<string>")).alias("removed"))
+    numbers = [F.concat_ws(",", F.col(c).cast("array<string>")).alias(c) for c in ("removed", "short_repeats")]
+    return found.select("doc_id", "n_lines", "n_removed", "n_near", *numbers, F.size("short_repeats").cast("long").alias("n_short_repeats"))
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -191,3 +191,11 @@ def test_short_lines_outlive_a_shared_footer(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     left = {r["doc_id"]: r["text"] for r in lines.rewritten(docs).collect()}
     assert left == {0: texts[0], 1: "one leaf\n\nfalls"}
+
+
+def test_exact_repeats_of_short_lines_are_reported(spark):
+    long = prose(31, 12)
+    texts = ["share this\n" + long, "\u6211\u4eec\u5728\u8fd9\u91cc\u7b49\u5019\u3002", "share this", " \n\nshare this\nnew\nnew", None, "\u6211\u4eec\u5728\u8fd9\u91cc\u7b49\u5019\u3002\n \n" + long]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["removed"], r["short_repeats"]) for r in lines.deduplicated(docs).collect()}
+    assert got == {0: ([], []), 1: ([], []), 2: ([], [0]), 3: ([], [2, 4]), 4: ([], []), 5: ([2], [0])}
