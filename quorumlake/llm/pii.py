@@ -62,12 +62,13 @@ PLUS = re.compile(r"plus[\s-]+(?=[0-9])", re.IGNORECASE)
 NUMERIC_DOT = re.compile(r"(?<=[0-9])\s{0,3}[\[({]?\s{0,3}(?:dot|point)\s{0,3}[\])}]?\s{0,3}(?=[0-9])", re.IGNORECASE)
 BRACKET_AT = re.compile(r"\s{0,3}[\[({<]\s{0,3}(?:at|@)\s{0,3}[\])}>]\s{0,3}", re.IGNORECASE)
 BRACKET_DOT = re.compile(r"\s{0,3}[\[({<]\s{0,3}(?:dot|point|\.)\s{0,3}[\])}>]\s{0,3}", re.IGNORECASE)
-# Endings that make a bare "name at host dot ending" an address.
+# Endings that make "name at host.ending" an address; behind a spelled dot any letters do.
 ENDINGS = "com|org|net|edu|gov|info|io|co|de|fr|es|uk|eu|us"
-SPOKEN = re.compile(
-    rf"(?<=[A-Za-z0-9])(?P<at>\s{{1,3}}at\s{{1,3}}|@)(?=[A-Za-z0-9-]+(?:(?:\s{{1,3}}dot\s{{1,3}}|\.)[A-Za-z0-9-]+)*(?:\s{{1,3}}dot\s{{1,3}}|\.)(?:{ENDINGS})\b)", re.IGNORECASE
-)
-SPOKEN_TAIL = re.compile(rf"[A-Za-z0-9-]+(?:(?:\s{{1,3}}dot\s{{1,3}}|\.)[A-Za-z0-9-]+)*?(?:\s{{1,3}}dot\s{{1,3}}|\.)(?:{ENDINGS})\b", re.IGNORECASE)
+_HOST = rf"[A-Za-z0-9-]+(?:(?:\s{{1,3}}dot\s{{1,3}}|\.)[A-Za-z0-9-]+)*(?:\s{{1,3}}dot\s{{1,3}}[A-Za-z]{{2,}}|\.(?:{ENDINGS}))\b"
+SPOKEN = re.compile(rf"(?<=[A-Za-z0-9])(?P<at>\s{{1,3}}at\s{{1,3}}|@)(?={_HOST})", re.IGNORECASE)
+SPOKEN_TAIL = re.compile(_HOST, re.IGNORECASE)
+# "at" between white space; led by its letters, which are quick to find
+SPOKEN_AT = re.compile(r"at(?<=\sat)(?=\s)")
 ENDED = re.compile(rf"\.(?:{ENDINGS})\b")
 SPOKEN_DOT = re.compile(r"\s{1,3}dot\s{1,3}", re.IGNORECASE)
 
@@ -168,7 +169,7 @@ def _at_dot(text: str) -> list[tuple[int, int, str]]:
     for pattern, new in patterns:
         for m in pattern.finditer(text):
             edits.setdefault(m.start(), (m.start(), m.end(), new))
-    if ("@" in text and dotted) or (" at " in low and (dotted or ENDED.search(low))):
+    if ("@" in text and dotted) or ((dotted or ENDED.search(low)) and SPOKEN_AT.search(low)):
         for m in SPOKEN.finditer(text):
             edits.setdefault(m.start("at"), (m.start("at"), m.end("at"), "@"))
             tail = SPOKEN_TAIL.match(text, m.end("at"))

@@ -61,6 +61,17 @@ def test_disguises_keep_source_offsets(text, kind, span):
     assert [(pii.KINDS[k], text[s:e]) for s, k, e in found] == [(kind, span)]
 
 
+@pytest.mark.parametrize(
+    "address",
+    ["jane at example dot nl", "jane at mail dot example dot museum", "jane@example dot ch", "jane\tat\texample.com", "jane\nat\nexample dot org", "jane at\nexample.com", "jane at example dot co dot uk"],
+)
+def test_spelled_addresses_of_any_ending_and_white_space(address):
+    text = f"mail {address}, please"
+    assert [(pii.KINDS[k], text[s:e]) for s, k, e in pii.disguised(text, pii.identifiers(text))] == [("email", address)]
+    text = "jane at example.nl"
+    assert pii.disguised(text, pii.identifiers(text)) == []
+
+
 @pytest.mark.parametrize("text", ["look at this. com", "un deux trois", "point at the dot", prose(3, 500)])
 def test_clean_text_has_no_disguise(text):
     assert pii.disguised(text, pii.identifiers(text)) == []
