@@ -93,7 +93,7 @@ class Block:
         self.tables = [np.unique(codes[:, j], return_inverse=True) for j in range(codes.shape[1])]
 
     def within(self, query: np.ndarray, radius: int) -> np.ndarray:
-        """(queries, rows): codes within the radius, met through some substring table."""
+        """(queries, rows): codes within the radius; every code is compared, the tables spare nothing."""
         met = np.zeros((len(query), len(self.codes)), bool)
         share, rest = divmod(radius, len(self.tables))
         for j, (values, place) in enumerate(self.tables):
