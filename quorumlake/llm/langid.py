@@ -6,7 +6,10 @@ softmax; both layers are trained by stochastic gradient descent in numpy on a
 bounded sample of labelled rows: at most PER_LANGUAGE documents of each of at
 most LANGUAGES languages, chosen by a hash of the id. A quarter of the sample
 is kept aside; on it the softmax is calibrated (temperature scaling) and the
-score is found below which a prediction is rejected.
+score is found below which a prediction is rejected. A text is also rejected if
+its letters are strange: the mean log frequency of their grams in the sample is
+well under that of every row kept aside, which neither gibberish nor a language
+or script that was not learned reaches.
 
 Prediction reads whole texts and nothing else, needs no shuffle, and its model
 has a fixed size.
@@ -17,6 +20,7 @@ is rejected; without labelled rows everything is `und`.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -42,6 +46,11 @@ BATCH = 32
 COST = 0.001
 #: no calibrated score above this multiple of blind chance is ever rejected
 SURE = 1.5
+#: standard errors of the mean over a text's grams that a short text may lie lower
+LENIENT = 3
+#: how far under the worst row kept aside a text is strange, as a share of that row's way from the median
+MARGIN = 1.5
+NO_LETTERS = re.compile(r"[\W\d_]+")
 UNKNOWN = "und"
 _A, _B, _C = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D)
 
@@ -54,6 +63,10 @@ class Model:
     bias: np.ndarray
     temperature: float = 1.0
     least: float = 0.0
+    #: log frequency of each bucket for letters alone, its deviation, and the mean that a long text must reach
+    usual: np.ndarray | None = None
+    deviation: float = 0.0
+    strange: float = -np.inf
 
 
 def has_letter(text: str) -> bool:
@@ -75,6 +88,25 @@ def features(text: str) -> np.ndarray:
     return counts
 
 
+def lettered(text: str) -> np.ndarray:
+    """The features of a text's letters alone, so that numbers and marks are never strange."""
+    return features(NO_LETTERS.sub(" ", text))
+
+
+def is_strange(model: Model, text: str) -> bool:
+    if model.usual is None:
+        return False
+    counts = lettered(text)
+    at = np.flatnonzero(counts)
+    return usualness(model, at, counts[at]) < model.strange
+
+
+def usualness(model: Model, bucket: np.ndarray, times: np.ndarray) -> float:
+    """Mean log frequency of a text's grams, with what chance may take from a short one given back."""
+    total = times.sum()
+    return float((model.usual[bucket] * times).sum() / total + LENIENT * model.deviation / np.sqrt(total))
+
+
 def probabilities(model: Model, counts: np.ndarray) -> np.ndarray:
     """Calibrated probabilities of (rows, BUCKETS) counts."""
     hidden = (counts / counts.sum(axis=1, keepdims=True)) @ model.embeddings
@@ -84,13 +116,13 @@ def probabilities(model: Model, counts: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def sample(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Languages, feature counts and labels of the bounded training sample."""
+def sample(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """Languages, feature counts, labels and (bucket, times) of the letters of the bounded training sample."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
     languages = sorted(r["lang"] for r in sizes)
     if not languages:
-        return [], np.zeros((0, BUCKETS), np.float32), np.zeros(0, np.int64)
+        return [], np.zeros((0, BUCKETS), np.float32), np.zeros(0, np.int64), []
     # a language's rows below a hash that leaves DRAWN times the wanted number, so that no task sorts a whole language
     share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, DRAWN * PER_LANGUAGE / r["count"]))])
     place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(PLACES))
@@ -106,12 +138,13 @@ def sample(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
         .distinct()
     )
     rows = labelled.join(F.broadcast(chosen), "doc_id").select("doc_id", "lang", "text")
-    target = schema_of(docs.sparkSession, "doc_id long, lang string, bucket array<short>, times array<int>")
+    schema = "doc_id long, lang string, bucket array<short>, times array<int>, letter_bucket array<short>, letter_times array<int>"
+    target = schema_of(docs.sparkSession, schema)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch):
-                ids, langs, buckets, times = [], [], [], []
+                ids, langs, buckets, times, letter_buckets, letter_times = [], [], [], [], [], []
                 for doc_id, lang, text in zip(*(c.to_pylist() for c in piece.columns), strict=True):
                     if has_letter(text):
                         counts = features(text)
@@ -120,18 +153,25 @@ def sample(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
                         langs.append(lang)
                         buckets.append(at.astype(np.int16))
                         times.append(counts[at].astype(np.int32))
-                yield record_batch([ids, langs, buckets, times], target)
+                        counts = lettered(text)
+                        at = np.flatnonzero(counts)
+                        letter_buckets.append(at.astype(np.int16))
+                        letter_times.append(counts[at].astype(np.int32))
+                yield record_batch([ids, langs, buckets, times, letter_buckets, letter_times], target)
 
-    got = sorted(rows.mapInArrow(apply, "doc_id long, lang string, bucket array<short>, times array<int>").collect(), key=lambda r: (r["doc_id"], r["lang"]))
+    got = sorted(rows.mapInArrow(apply, schema).collect(), key=lambda r: (r["doc_id"], r["lang"]))
     got = got[: PER_LANGUAGE * len(languages) * 2]
     counts = np.zeros((len(got), BUCKETS), np.float32)
     for k, r in enumerate(got):
         counts[k, r["bucket"]] = r["times"]
     index = {lang: k for k, lang in enumerate(languages)}
-    return languages, counts, np.array([index[r["lang"]] for r in got], np.int64)
+    letters = [(np.array(r["letter_bucket"], np.int64), np.array(r["letter_times"], np.float64)) for r in got]
+    return languages, counts, np.array([index[r["lang"]] for r in got], np.int64), letters
 
 
-def train(languages: list[str], counts: np.ndarray, labels: np.ndarray, seed: int = 7) -> Model:
+def train(
+    languages: list[str], counts: np.ndarray, labels: np.ndarray, letters: list[tuple[np.ndarray, np.ndarray]], seed: int = 7
+) -> Model:
     """Gradient descent on both layers, then temperature and rejection on the rows kept aside."""
     random = np.random.default_rng(seed)
     k = max(1, len(languages))
@@ -172,9 +212,24 @@ def train(languages: list[str], counts: np.ndarray, labels: np.ndarray, seed: in
     right = p.argmax(axis=1) == labels[check]
     sure = np.sort(p.max(axis=1)[right])
     model.least = float(min(SURE / k, sure[int(COST * len(sure))])) if len(sure) else 0.0
+    if aside.any():
+        _usual(model, [letters[k] for k in rows], [letters[k] for k in check])
     return model
 
 
+def _usual(model: Model, learned: list[tuple[np.ndarray, np.ndarray]], aside: list[tuple[np.ndarray, np.ndarray]]) -> None:
+    """Gram frequencies of the learned rows, and a bound that lies MARGIN times the way from the median to the worst row kept aside under that row."""
+    seen = np.full(BUCKETS, 0.5)
+    for bucket, times in learned:
+        seen[bucket] += times
+    seen /= seen.sum()
+    model.usual = np.log2(seen)
+    model.deviation = float(np.sqrt((seen * (model.usual - (seen * model.usual).sum()) ** 2).sum()))
+    means = np.array([usualness(model, *row) for row in aside])
+    worst = float(means.min())
+    model.strange = worst - MARGIN * (float(np.median(means)) - worst)
+
+
 def _temperature(scores: np.ndarray, labels: np.ndarray) -> float:
     """The temperature of least log loss, from a grid."""
     grid = np.exp(np.linspace(np.log(0.05), np.log(20), 61))
@@ -210,18 +265,20 @@ def predict(docs: DataFrame, model: Model, keep: str = "*") -> DataFrame:
                 count = piece.num_rows
                 names, sure = [UNKNOWN] * count, np.zeros(count)
                 at, rows = [], []
+                strange = np.zeros(count, bool)
                 texts = piece.column("doc").field("text") if inside else piece.column("text")
                 for k, text in enumerate(texts.to_pylist()):
                     if model.languages and text and has_letter(text):
                         at.append(k)
                         rows.append(features(text))
+                        strange[k] = is_strange(model, text)
                     if len(rows) >= 256 or (rows and k == count - 1):
                         p = probabilities(model, np.stack(rows))
                         for j, best in zip(at, p.argmax(axis=1), strict=True):
                             names[j] = model.languages[best]
                         sure[at] = p.max(axis=1)
                         at, rows = [], []
-                rejected = (np.array(names) == UNKNOWN) | (sure < model.least)
+                rejected = (np.array(names) == UNKNOWN) | (sure < model.least) | strange
                 yield record_batch([piece.column("doc"), names, sure, rejected], target)
 
     return packed.mapInArrow(apply, schema)

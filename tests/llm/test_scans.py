@@ -4,6 +4,7 @@ import base64
 import hashlib
 import re
 
+import numpy as np
 import pytest
 from quorumlake.llm import fingerprint, langid, pii, secret_scan
 from quorumlake.llm.hashing import code_points
@@ -136,6 +137,17 @@ def test_language_accuracy_on_held_out(awkward, clashing, nothing):
     assert {r["lang_pred"] for r in langid.identify(unlabelled).collect()} == {"und"}
 
 
+def test_unlearned_scripts_and_gibberish_are_rejected(spark, awkward):
+    random = np.random.default_rng(2)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    gibberish = " ".join("".join(random.choice(letters, random.integers(3, 9))) for _ in range(100))
+    foreign = ["съешь же ещё этих мягких французских булок да выпей чаю " * 5, "我们在这里等候他的到来因为今天的会议很重要请大家准时参加" * 5, gibberish]
+    clean = [prose(7000 + k, 60, lang) + " 12 34 !!" for k in range(20) for lang in ("en", "de", "fr")]
+    docs = spark.createDataFrame(list(enumerate(foreign + clean)), "doc_id long, text string")
+    got = {r["doc"]["doc_id"]: r["rejected"] for r in langid.predict(docs, langid.fitted(awkward.where("doc_id < 102"))).collect()}
+    assert [k for k, rejected in got.items() if rejected] == [0, 1, 2]
+
+
 def test_language_never_reads_labels(awkward):
     model = langid.fitted(awkward)
     plain = {(r["doc"]["doc_id"], r["doc"]["text"]): r["lang_pred"] for r in langid.predict(awkward, model).collect()}
