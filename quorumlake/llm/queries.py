@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, fingerprint, jaccard, langid, lines, mixing, neighbours, packing, pii, secret_scan
+from . import exact, fill_middle, fingerprint, jaccard, langid, lines, mixing, neighbours, packing, pii, powers_of_two, secret_scan
 from .common import documents
 
 
@@ -59,6 +59,19 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(documents(spark, sf_dir))
 
 
+def op11_powers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return powers_of_two.decomposed(documents(spark, sf_dir), with_ids=False)
+
+
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.outputs(documents(spark, sf_dir))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_jaccard": op2_jaccard,
@@ -70,5 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": op8_neighbours,
     "op9_exact": op9_exact,
     "op10_fingerprints": op10_fingerprints,
+    "op11_powers": op11_powers,
+    "op13_fim": op13_fim,
 }
-SQL: dict[str, str] = {"op3_mix": mixing.SQL}
+SQL: dict[str, str] = {"op3_mix": mixing.SQL, "op13_fim": fill_middle.SQL}
