@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, fill_middle, fingerprint, jaccard, langid, lines, mixing, neighbours, packing, pii, powers_of_two, secret_scan
+from . import exact, fill_middle, fingerprint, jaccard, langid, lines, mixing, neighbours, packing, pii, powers_of_two, secret_scan, variants
 from .common import documents
 
 
@@ -63,6 +63,10 @@ def op11_powers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return powers_of_two.decomposed(documents(spark, sf_dir), with_ids=False)
 
 
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.grouped(variants.word_counts(documents(spark, sf_dir), typo_every=variants.TYPO_EVERY))
+
+
 def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fill_middle.outputs(documents(spark, sf_dir))
     return made.select(
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact": op9_exact,
     "op10_fingerprints": op10_fingerprints,
     "op11_powers": op11_powers,
+    "op12_variants": op12_variants,
     "op13_fim": op13_fim,
 }
-SQL: dict[str, str] = {"op3_mix": mixing.SQL, "op13_fim": fill_middle.SQL}
+SQL: dict[str, str] = {"op3_mix": mixing.SQL, "op12_variants": variants.SQL, "op13_fim": fill_middle.SQL}
