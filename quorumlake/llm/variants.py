@@ -10,11 +10,15 @@ edge than its letter. A state whose next letter the mask rules out goes no
 further. An edge with one word beneath is the end of the path: what is left of
 both words must agree, and if one edit was spent, they are neighbours.
 
-Each pair is found once: from the longer word by skipping a letter, the last of
-a run of equal ones, or from the word with the smaller letter by replacing it.
-So a state branches only over the greater letters of its node. Edges of the
-first two levels are broadcast (letters of the alphabet, and pairs of them,
-whose number is bounded); later levels shuffle states and edges by the prefix.
+Every word walks twice, as it stands and in reverse, and may spend its edit only
+in the second half of its way: an edit in the first half of the word is in the
+second of the reverse. So the walk starts at the node of the half, no state
+branches near the root, where nodes have the most edges and hold the most
+words, and edges above the half of their words are left out. The first letter
+of a node, `>` or `<`, tells the two tries apart, which share table and levels.
+
+A pair is found from the longer word by skipping a letter, the last of a run of
+equal ones, or from the word with the smaller letter by replacing it.
 
 Words over LONG letters would need as many levels as they have letters. They
 meet by equal halves instead, one of which any single edit leaves as it is, and
@@ -33,7 +37,7 @@ from pyspark.sql import functions as F
 
 from ..session import work_path, written
 
-RUN = "[A-Za-z\\u00C0-\\u00FF]+"
+LETTER = "[A-Za-z\\u00C0-\\u00FF]"
 LEAST_LETTERS = 5
 LEAST_COUNT = 3
 TYPO_EVERY = 97
@@ -41,10 +45,8 @@ RATIO = 2
 
 #: smaller than every letter
 END = "$"
+FORTH, BACK = ">", "<"
 LONG = 64
-BROADCAST_LEVELS = 2
-
-STATE = "word string, node string, rest string, edits int, near string"
 
 
 def word_counts(
@@ -57,8 +59,8 @@ def word_counts(
     """
     runs = docs.select(
         F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("doc"),
-        F.explode(F.regexp_extract_all("text", F.lit(RUN), F.lit(0))).alias("run"),
-    ).where(F.length("run") >= least_letters)
+        F.explode(F.regexp_extract_all("text", F.lit(f"{LETTER}{{{least_letters},}}"), F.lit(0))).alias("run"),
+    )
     capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     ascii_only = F.octet_length("run") == F.length("run")
     lowered = F.when(ascii_only, F.lower("run")).otherwise(F.translate("run", capitals, capitals.lower()))
@@ -77,16 +79,25 @@ def _bit(letter: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.ascii(letter), F.lit(64)))
 
 
-def edge_table(words: DataFrame) -> DataFrame:
-    """(depth, child, size, sole, follow): every prefix of the marked words as the edge that leads to it."""
-    path = F.concat("word", F.lit(END))
-    steps = words.select("word", path.alias("path"), F.explode(F.sequence(F.lit(1), F.length(path))).alias("depth"))
+def paths(words: DataFrame) -> DataFrame:
+    """(path, start): every word in both directions, marked, with the depth at which it may begin to spend its edit."""
+    half = F.floor(F.length("word") / 2).cast("int")
+    forth = words.select(F.concat(F.lit(FORTH), "word", F.lit(END)).alias("path"), (half + 1).alias("start"))
+    back = words.select(
+        F.concat(F.lit(BACK), F.reverse("word"), F.lit(END)).alias("path"), (F.length("word") - half + 1).alias("start")
+    )
+    return forth.unionByName(back)
+
+
+def edge_table(ways: DataFrame) -> DataFrame:
+    """(depth, child, size, sole, follow): every prefix of the paths beyond their start as the edge that leads to it."""
+    steps = ways.select("path", F.explode(F.sequence(F.col("start") + 1, F.length("path"))).alias("depth"))
     prefixes = steps.select(
-        "depth", "word", F.col("path").substr(F.lit(1), F.col("depth")).alias("child"),
+        "depth", "path", F.col("path").substr(F.lit(1), F.col("depth")).alias("child"),
         F.col("path").substr(F.col("depth") + 1, F.lit(1)).alias("letter"),
     )
     return prefixes.groupBy("depth", "child").agg(
-        F.count("*").alias("size"), F.min("word").alias("sole"), F.bit_or(_bit(F.col("letter"))).alias("follow")
+        F.count("*").alias("size"), F.min("path").alias("sole"), F.bit_or(_bit(F.col("letter"))).alias("follow")
     )
 
 
@@ -98,23 +109,23 @@ def _level(states: DataFrame, edges: DataFrame, depth: int) -> DataFrame:
     """The states one level deeper, and the neighbours found on the way (with `near`)."""
     rest_from = lambda skip: F.col("rest").substr(F.lit(1 + skip), F.length("rest"))
     fresh = states.where("edits = 0")
-    along = states.select("word", F.concat("node", _first("rest")).alias("child"), rest_from(1).alias("rest"), "edits")
+    along = states.select("path", F.concat("node", _first("rest")).alias("child"), rest_from(1).alias("rest"), "edits")
     skipped = fresh.where(F.length("rest") > 1).where(_first("rest") != _first("rest", 1)).select(
-        "word", F.concat("node", _first("rest", 1)).alias("child"), rest_from(2).alias("rest"), F.lit(1).alias("edits")
+        "path", F.concat("node", _first("rest", 1)).alias("child"), rest_from(2).alias("rest"), F.lit(1).alias("edits")
     )
     met = along.unionByName(skipped).join(edges, "child")
     branches = edges.withColumns({"node": F.col("child").substr(F.lit(1), F.lit(depth)), "letter": F.col("child").substr(F.lit(depth + 1), F.lit(1))})
     replaced = (
         fresh.where(F.length("rest") > 1).join(branches, "node").where(F.col("letter") > _first("rest"))
-        .select("word", "child", rest_from(1).alias("rest"), F.lit(1).alias("edits"), "size", "sole", "follow")
+        .select("path", "child", rest_from(1).alias("rest"), F.lit(1).alias("edits"), "size", "sole", "follow")
     )
     arrived = met.unionByName(replaced)
     alone = F.col("size") == 1
-    left = F.concat("sole", F.lit(END)).substr(F.lit(depth + 2), F.length("sole") + 1)
+    left = F.col("sole").substr(F.lit(depth + 2), F.length("sole"))
     found = alone & (F.col("edits") == 1) & (F.col("rest") == left)
     onward = ~alone & ((F.col("edits") == 0) | (F.col("follow").bitwiseAND(_bit(_first("rest"))) != 0))
     return arrived.where(found | onward).select(
-        "word", F.col("child").alias("node"), "rest", "edits", F.when(alone, F.col("sole")).alias("near")
+        "path", F.col("child").alias("node"), "rest", "edits", F.when(alone, F.col("sole")).alias("near")
     )
 
 
@@ -142,23 +153,36 @@ def near_pairs(words: DataFrame) -> DataFrame:
     """
     spark = words.sparkSession
     short = words.select("word").where(F.length("word") <= LONG)
-    path = work_path(spark, "trie")
-    edge_table(short).write.partitionBy("depth").parquet(path)
-    trie = spark.read.schema("depth int, child string, size long, sole string, follow long").parquet(path)
-    states = short.select(
-        "word", F.lit("").alias("node"), F.concat("word", F.lit(END)).alias("rest"), F.lit(0).alias("edits"), F.lit(None).cast("string").alias("near")
-    )
+    longest = short.agg(F.max(F.length("word"))).first()[0] or 0
+    ways_path, trie_path = work_path(spark, "paths"), work_path(spark, "trie")
+    paths(short).write.partitionBy("start").parquet(ways_path)
+    ways = spark.read.schema("path string, start int").parquet(ways_path)
+    edge_table(ways).write.partitionBy("depth").parquet(trie_path)
+    trie = spark.read.schema("depth int, child string, size long, sole string, follow long").parquet(trie_path)
     pairs = _long_pairs(words)
-    for depth in range(LONG + 1):
-        edges = trie.where(F.col("depth") == depth + 1).drop("depth")
-        if depth < BROADCAST_LEVELS:
-            edges = F.broadcast(edges)
-        reached = written(_level(states, edges, depth), "frontier")
-        pairs = pairs.unionByName(reached.where("near IS NOT NULL").select("word", "near"))
-        states = reached.where("near IS NULL")
-        if states.isEmpty():
+    states = None
+    last_start = longest - longest // 2 + 1
+    for depth in range(1, longest + 2):
+        starting = ways.where(F.col("start") == depth).select(
+            "path", F.col("path").substr(F.lit(1), F.lit(depth)).alias("node"),
+            F.col("path").substr(F.lit(depth + 1), F.length("path")).alias("rest"), F.lit(0).alias("edits"),
+        )
+        if states is not None:
+            starting = states.unionByName(starting)
+        elif starting.isEmpty():
+            continue
+        reached = written(_level(starting, trie.where(F.col("depth") == depth + 1).drop("depth"), depth), "frontier")
+        pairs = pairs.unionByName(reached.where("near IS NOT NULL").select(_word("path").alias("word"), _word("near").alias("near")))
+        states = reached.where("near IS NULL").drop("near")
+        if depth >= last_start and states.isEmpty():
             break
-    return pairs
+    return pairs.distinct()
+
+
+def _word(path: str) -> Column:
+    """The word of a path."""
+    bare = F.col(path).substr(F.lit(2), F.length(path) - 2)
+    return F.when(_first(path) == BACK, F.reverse(bare)).otherwise(bare)
 
 
 def _roots(forms: DataFrame) -> DataFrame:
