@@ -8,14 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.similarity import token_jaccard
 from ..functions import text as tx
+from ..functions.similarity import JACCARD
 from ..operators import match as ma
 from ..operators import meetings as mt
 from ..operators.manifest import transcript_manifest
 from ..operators.select import not_status
 from ..plans.gather import gather
 from ..sources.pages import ListingLayout, page_records
+from . import score_sql
 from .registry import load, load_wide, query
 from .texts import _HOST, _SQL_HOST, _SQL_TITLE, listing_pages, page_title
 
@@ -244,7 +245,17 @@ def named_meetings(spark, root):
     return lines.distinct().join(homes, "l_suppkey").select("day", "body").distinct()
 
 
-@query("match_name")
+@query("match_name", f"""
+    WITH held AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS day, n_name AS body FROM lineitem JOIN supplier ON s_suppkey = l_suppkey
+      JOIN nation ON n_nationkey = s_nationkey WHERE l_returnflag <> 'R'),
+    asked AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, n_name AS body FROM orders JOIN customer ON c_custkey = o_custkey
+      JOIN nation ON n_nationkey = c_nationkey),
+    pairs AS (SELECT DISTINCT asked.body AS a, held.body AS b FROM asked JOIN held USING (day) WHERE asked.body <> held.body),
+    {score_sql.names('pairs')},
+    scored AS (SELECT a AS body, b, name_score FROM names UNION ALL SELECT DISTINCT body, body, 100.0::DOUBLE FROM held),
+    best AS (SELECT day, body, ARG_MIN(b, (b <> body, -name_score, b)) AS matched_name, MIN((b <> body, -name_score)) AS rank
+      FROM (SELECT DISTINCT day, body FROM asked) JOIN (SELECT day, body AS b FROM held) USING (day) JOIN scored USING (body, b) GROUP BY ALL)
+    SELECT day, body, o_orderkey, matched_name, round(-rank[2], 6) AS score FROM asked JOIN best USING (day, body) WHERE -rank[2] >= 50""")
 def match_name(spark, root):
     matched = ma.match_names(named_records(spark, root), named_meetings(spark, root), "day", "body")
     return matched.withColumn("score", F.round("score", 6))
@@ -271,7 +282,29 @@ def _agenda_match(spark, root, *score):
     return found.select("conv_id", "turn", "match_id", F.round("score", 6).alias("score"), "n_candidates")
 
 
-@query("match_agenda")
+_AGENDAS = f"""
+    asked AS (SELECT conv_id, turn, lower(text) AS a FROM conversations WHERE role = 'user'),
+    options AS (SELECT conv_id, turn AS option, lower(text) AS b FROM conversations WHERE role = 'assistant'),
+    pairs AS (SELECT * FROM asked JOIN options USING (conv_id)), {score_sql.token_sets('pairs')},
+    counted AS (SELECT conv_id, turn, option, token_set, count(*) OVER (PARTITION BY conv_id, turn) AS n_candidates
+      FROM pairs JOIN token_sets USING (a, b)),
+    lone AS (SELECT *, CASE WHEN n_candidates = 1 THEN 100.0::DOUBLE ELSE token_set END AS score FROM counted)"""
+
+
+@query("match_scores", f"""
+    WITH {_AGENDAS} SELECT conv_id, turn, option, round(score, 6) AS score FROM lone""")
+def match_scores(spark, root):
+    """The score of every meeting that was a candidate for a record, not just of the best."""
+    records = agendas(spark, root, "user").select("conv_id", "turn", F.lower("text").alias("agenda"))
+    options = agendas(spark, root, "assistant").select("conv_id", F.col("turn").alias("option"), F.lower("text").alias("option_agenda"))
+    scores = ma.all_scores(records, options, "conv_id", "agenda", "option", "option_agenda")
+    return records.join(scores, ["conv_id", "agenda"]).select("conv_id", "turn", "option", F.round("score", 6).alias("score"))
+
+
+@query("match_agenda", f"""
+    WITH {_AGENDAS},
+    best AS (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY score DESC, option) AS rn FROM lone)
+    SELECT conv_id, turn, option AS match_id, round(score, 6) AS score, n_candidates FROM best WHERE rn = 1 AND score > 0""")
 def match_agenda(spark, root):
     return _agenda_match(spark, root)
 
@@ -285,7 +318,7 @@ def match_agenda(spark, root):
     SELECT conv_id, turn, option AS match_id, round(CASE WHEN n_candidates = 1 THEN 100.0::DOUBLE ELSE score END, 6) AS score, n_candidates
     FROM b WHERE rn = 1 AND (score > 0 OR n_candidates = 1)""")
 def match_agenda_jaccard(spark, root):
-    return _agenda_match(spark, root, token_jaccard)
+    return _agenda_match(spark, root, JACCARD)
 
 
 def gathered(spark, root):

@@ -11,6 +11,7 @@ from ..operators.index import term_rows
 from ..operators.match import agenda_scores
 from ..operators.select import not_status
 from ..sources.pages import ListingLayout, list_item_links, outcome_counts, page_records
+from . import score_sql
 from .registry import load, load_wide, query
 
 STOP_LIST = ", ".join(f"'{word}'" for word in tx.STOP_WORDS)
@@ -313,7 +314,10 @@ def content_type(spark, root):
     return load(spark, root, "lineitem").select("l_orderkey", "l_linenumber", tx.content_type(suffix).alias("content_type"))
 
 
-@query("token_set_score")
+@query("token_set_score", f"""
+    WITH pairs AS (SELECT t.conv_id, t.turn, t.text AS a, n.text AS b FROM conversations AS t JOIN conversations AS n
+      ON n.conv_id = t.conv_id AND n.turn = t.turn + 1), {score_sql.token_sets('pairs')}
+    SELECT conv_id, turn, round(token_set, 6) AS score FROM pairs JOIN token_sets USING (a, b)""")
 def token_set_score(spark, root):
     turns = load(spark, root, "conversations")
     following = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("next_text"))

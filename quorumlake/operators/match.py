@@ -1,15 +1,17 @@
-"""Matching records to meetings: by time, by name and by agenda text."""
+"""Matching records to meetings: by time, by name and by agenda text.
 
-from __future__ import annotations
+Texts are scored in chunks: a chunk of a bucket's records meets each chunk of
+its candidates in one row, so a text moves once for each chunk pair and not for
+each pair. Inside the row a record takes its candidates by falling bound, and a
+candidate whose bound cannot win is not scored.
+"""
 
-from collections.abc import Callable, Iterator
+from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.similarity import name_score, token_set_score
+from ..functions.similarity import NAME, TOKEN_SET, Scorer, let, scored
 from ..session import written
 from .spread import BUCKET_ROWS, spread_join
 
@@ -17,8 +19,8 @@ from .spread import BUCKET_ROWS, spread_join
 MIN_NAME_SCORE = 50.0
 SOLE_SCORE = 100.0
 
-# Candidates scored together in one row.
-BLOCK = 128
+# Texts in a chunk.
+BLOCK = 64
 
 
 def interval_join(records: DataFrame, record_time: str, meetings: DataFrame, meeting_time: str) -> DataFrame:
@@ -35,32 +37,50 @@ def interval_join(records: DataFrame, record_time: str, meetings: DataFrame, mee
     return left.join(right, "_day").where(inside).drop("_day")
 
 
-def _blocks(candidates: DataFrame, bucket: str, id_column: str, text: str) -> DataFrame:
-    """Distinct candidates of each bucket in arrays of about `BLOCK`."""
-    candidates = candidates.select(bucket, id_column, *{text} - {id_column}).distinct()
-    sizes = candidates.groupBy(bucket).agg(F.count("*").alias("n_candidates"))
-    n_blocks = F.ceil(F.col("n_candidates") / BLOCK)
-    spread = candidates.join(sizes, bucket).withColumn("_block", F.pmod(F.xxhash64(id_column), n_blocks))
-    entry = F.struct(F.col(id_column).alias("id"), F.col(text).alias("text"))
-    return spread.groupBy(bucket, "_block").agg(
-        F.sort_array(F.collect_list(entry)).alias("_entries"), F.first("n_candidates").alias("n_candidates")
-    )
+def _chunks(texts: DataFrame, bucket: str, ids: dict[str, str], text: str, scorer: Scorer, counted: str) -> DataFrame:
+    """Distinct texts of each bucket, prepared, in arrays of about `BLOCK`; `counted` names the bucket's size."""
+    entry = F.struct(*[F.col(c).alias(name) for name, c in ids.items()], scorer.prepare(F.col(text)).alias("prepared"))
+    sizes = texts.groupBy(bucket).agg(F.count("*").alias(counted))
+    dealt = texts.join(sizes, bucket).withColumn("_chunk", F.pmod(F.xxhash64(*ids.values()), F.ceil(F.col(counted) / BLOCK)))
+    return dealt.groupBy(bucket, "_chunk").agg(F.collect_list(entry).alias("entries"), F.first(counted).alias(counted))
+
+
+def _chunk_pairs(
+    records: DataFrame, candidates: DataFrame, bucket: str, record_text: str, candidate_id: str, candidate_text: str, scorer: Scorer, bucket_rows: int
+) -> DataFrame:
+    """(bucket, asked, options, n_candidates): every chunk of records with every chunk of candidates of its bucket."""
+    texts = written(records.select(bucket, record_text).distinct(), "texts")
+    known = written(candidates.select(bucket, candidate_id, *{candidate_text} - {candidate_id}).distinct(), "candidates")
+    asked = _chunks(texts, bucket, {"text": record_text}, record_text, scorer, "_n_texts").select(bucket, F.col("entries").alias("asked"), "_chunk")
+    options = _chunks(known, bucket, {"id": candidate_id}, candidate_text, scorer, "n_candidates")
+    options = options.select(bucket, F.col("entries").alias("options"), "n_candidates")
+    pairs = spread_join(asked, options, bucket, ["_chunk"], bucket_rows=max(1, bucket_rows // BLOCK))
+    return pairs.repartition(_tasks(pairs))
+
+
+def _best_option(asked: Column, options: Column, scorer: Scorer) -> Column:
+    """(score, id, n_scored) of the option that fits best; equal scores go to the lowest id."""
+    limit = (lambda o: scorer.bound(asked, o)) if scorer.bound else (lambda o: F.lit(float("inf")))
+    bounded = F.transform(options, lambda o: F.struct((-limit(o["prepared"])).alias("less"), o["id"].alias("id"), o["prepared"].alias("prepared")))
+    none = F.struct(F.lit(-1.0).alias("score"), F.get(options, F.lit(0))["id"].alias("id"), F.lit(0).alias("n_scored"))
 
+    def scored_option(best: Column, o: Column) -> Column:
+        score = scorer.score(asked, o["prepared"]).alias("score")
+        n = (best["n_scored"] + 1).alias("n_scored")
 
-def _best_of_block(score: Callable[[str, str], float], id_type: T.DataType):
-    result = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("id", id_type)])
+        def better(held: Column) -> Column:
+            wins = (held["score"] > best["score"]) | ((held["score"] == best["score"]) & (o["id"] < best["id"]))
+            return F.when(wins, F.struct(held["score"].alias("score"), o["id"].alias("id"), held["n_scored"].alias("n_scored"))).otherwise(
+                F.struct(best["score"].alias("score"), best["id"].alias("id"), held["n_scored"].alias("n_scored"))
+            )
 
-    @F.pandas_udf(result)
-    def best(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, blocks in batches:
-            rows = []
-            for text, block in zip(texts, blocks):
-                # Entries come sorted by id, so the first of equal scores has the lowest.
-                scored = [(score(text, entry["text"]), entry["id"]) for entry in block]
-                rows.append(max(scored, key=lambda pair: pair[0]))
-            yield pd.DataFrame(rows, columns=["score", "id"])
+        return let(F.struct(score, n), better)
 
-    return best
+    def step(best: Column, o: Column) -> Column:
+        hopeless = (-o["less"] < best["score"]) | ((-o["less"] == best["score"]) & (o["id"] > best["id"]))
+        return F.when(hopeless, best).otherwise(scored_option(best, o))
+
+    return F.aggregate(F.array_sort(bounded), none, step)
 
 
 def closest(
@@ -70,29 +90,49 @@ def closest(
     record_text: str,
     candidate_id: str,
     candidate_text: str,
-    score: Callable[[str, str], float],
+    scorer: Scorer,
     bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """For each distinct `(bucket, record text)` its best candidate in the bucket.
 
-    Every candidate is scored and none is dropped, but only the best of a
-    block leaves a row, and a bucket with many records is spread over tasks.
-    Equal scores go to the lowest id. Gives `(bucket, record_text, score,
-    match_id, n_candidates)`.
+    No candidate is dropped unless its bound shows that it cannot win; equal
+    scores go to the lowest id. Gives `(bucket, record_text, score, match_id,
+    n_candidates, n_scored)`, the last of which counts the pairs scored.
     """
-    texts = written(records.select(bucket, record_text).distinct(), "texts")
-    blocks = _blocks(candidates, bucket, candidate_id, candidate_text)
-    paired = spread_join(texts, blocks, bucket, [record_text], bucket_rows=bucket_rows)
-    best = _best_of_block(score, candidates.schema[candidate_id].dataType)
-    scored = paired.select(
-        bucket, record_text, "n_candidates", best(F.col(record_text), F.col("_entries")).alias("_best")
-    )
-    rank = F.struct(-F.col("_best.score"), F.col("_best.id"))
-    return scored.groupBy(bucket, record_text).agg(
-        F.min_by("_best.score", rank).alias("score"),
-        F.min_by("_best.id", rank).alias("match_id"),
+    pairs = _chunk_pairs(records, candidates, bucket, record_text, candidate_id, candidate_text, scorer, bucket_rows)
+    best = F.transform("asked", lambda r: F.struct(r["text"].alias("text"), _best_option(r["prepared"], F.col("options"), scorer).alias("best")))
+    rows = pairs.select(bucket, "n_candidates", F.explode(best).alias("_r"))
+    rank = F.struct(-F.col("_r.best.score"), F.col("_r.best.id"))
+    return rows.groupBy(bucket, F.col("_r.text").alias(record_text)).agg(
+        F.min_by("_r.best.score", rank).alias("score"),
+        F.min_by("_r.best.id", rank).alias("match_id"),
         F.first("n_candidates").alias("n_candidates"),
+        F.sum("_r.best.n_scored").alias("n_scored"),
+    )
+
+
+def all_scores(
+    records: DataFrame,
+    candidates: DataFrame,
+    bucket: str,
+    record_text: str,
+    candidate_id: str,
+    candidate_text: str,
+    scorer: Scorer = TOKEN_SET,
+    bucket_rows: int = BUCKET_ROWS,
+) -> DataFrame:
+    """`(bucket, record_text, candidate_id, score)` of every distinct record text and candidate of its bucket.
+
+    The score of a sole candidate is `SOLE_SCORE`, as where the best is chosen.
+    """
+    pairs = _chunk_pairs(records, candidates, bucket, record_text, candidate_id, candidate_text, scorer, bucket_rows)
+    asked = pairs.select(bucket, "n_candidates", "options", F.explode("asked").alias("_r"))
+    lone = F.col("n_candidates") == 1
+    each = F.transform(
+        "options",
+        lambda o: F.struct(o["id"].alias("id"), F.when(lone, SOLE_SCORE).otherwise(scorer.score(F.col("_r.prepared"), o["prepared"])).alias("score")),
     )
+    return asked.select(bucket, F.col("_r.text").alias(record_text), F.inline(each)).withColumnRenamed("id", candidate_id)
 
 
 def match_names(
@@ -106,18 +146,40 @@ def match_names(
     """Each record with the candidate name of its bucket that fits best.
 
     An equal name wins outright; what is left is scored, and scores below
-    `minimum` give no match. Records keep all their columns.
+    `minimum` give no match. Names come back day after day, so each pair of
+    names is scored once, however many buckets it stands in, and not at all if
+    its bound is below `minimum`. Records keep all their columns.
     """
-    names = candidates.select(bucket, name).distinct()
+    names = written(candidates.select(bucket, F.col(name).alias("_option")).distinct(), "options")
     asked = records.select(bucket, name).distinct()
-    known = written(asked.join(names.withColumn("_equal", F.lit(True)), [bucket, name], "left"), "names")
+    equal = names.select(bucket, F.col("_option").alias(name), F.lit(True).alias("_equal"))
+    known = written(asked.join(equal, [bucket, name], "left"), "names")
     exact = known.where("_equal").select(bucket, name, F.col(name).alias("matched_name"), F.lit(100.0).alias("score"))
-    options = names.withColumnRenamed(name, "_option")
-    found = closest(known.where("_equal is null"), options, bucket, name, "_option", "_option", name_score, bucket_rows)
-    accepted = found.where(F.col("score") >= minimum).select(
-        bucket, name, F.col("match_id").alias("matched_name"), "score"
+    met = spread_join(known.where("_equal is null").drop("_equal"), names, bucket, [name], bucket_rows=bucket_rows)
+    scores = _name_scores(met.select(name, "_option").distinct(), name, minimum)
+    rank = F.struct(-F.col("score"), F.col("_option"))
+    found = met.join(scores, [name, "_option"]).groupBy(bucket, name).agg(
+        F.min_by("_option", rank).alias("matched_name"), F.max("score").alias("score")
     )
-    return records.join(exact.unionByName(accepted), [bucket, name])
+    return records.join(exact.unionByName(found), [bucket, name])
+
+
+def _name_scores(pairs: DataFrame, name: str, minimum: float) -> DataFrame:
+    """The pairs of names that score `minimum` or more, with their scores."""
+
+    def hopeful(pair: Column) -> Column:
+        return F.when(NAME.bound(pair["a"], pair["b"]) >= minimum, NAME.score(pair["a"], pair["b"]))
+
+    both = F.struct(NAME.prepare(F.col(name)).alias("a"), NAME.prepare(F.col("_option")).alias("b"))
+    # written before it is filtered, or the filter would score once more
+    scores = written(pairs.repartition(_tasks(pairs)).select(name, "_option", let(both, hopeful).alias("score")), "name-scores")
+    return scores.where(F.col("score") >= minimum)
+
+
+def _tasks(df: DataFrame) -> int:
+    """Tasks for few rows of much work, which adaptive execution would put together by their size."""
+    spark = df.sparkSession
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def match_agendas(
@@ -127,7 +189,7 @@ def match_agendas(
     agenda: str,
     candidate_id: str,
     candidate_agenda: str,
-    score: Callable[[str, str], float] = token_set_score,
+    scorer: Scorer = TOKEN_SET,
     bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Each record with the meeting of its bucket whose agenda fits best.
@@ -135,19 +197,12 @@ def match_agendas(
     A sole candidate is taken as it is; where nothing scores above zero there
     is no match. Adds `match_id`, `score` and `n_candidates`.
     """
-    found = closest(records, candidates, bucket, agenda, candidate_id, candidate_agenda, score, bucket_rows)
+    found = closest(records, candidates, bucket, agenda, candidate_id, candidate_agenda, scorer, bucket_rows).drop("n_scored")
     sole = F.col("n_candidates") == 1
     accepted = found.withColumn("score", F.when(sole, SOLE_SCORE).otherwise(F.col("score")))
     return records.join(accepted.where("score > 0"), [bucket, agenda])
 
 
-def agenda_scores(
-    pairs: DataFrame, left: str, right: str, score: Callable[[str, str], float] = token_set_score
-) -> DataFrame:
+def agenda_scores(pairs: DataFrame, left: str, right: str, scorer: Scorer = TOKEN_SET) -> DataFrame:
     """Adds the score of two text columns of the same row."""
-
-    @F.pandas_udf(T.DoubleType())
-    def scored(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([score(x, y) for x, y in zip(a, b)], dtype="float64")
-
-    return pairs.withColumn("score", scored(F.col(left), F.col(right)))
+    return pairs.withColumn("score", scored(scorer, F.col(left), F.col(right)))

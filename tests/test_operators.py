@@ -2,9 +2,10 @@ import math
 import random
 
 import pytest
+from plain_similarity import name_score, token_jaccard, token_set_score
 from pyspark.sql import functions as F
 
-from quorumlake.functions.similarity import name_score, token_jaccard, token_set_score
+from quorumlake.functions import similarity
 from quorumlake.operators import index as ix
 from quorumlake.operators import match as ma
 from quorumlake.operators import search as se
@@ -236,6 +237,59 @@ def test_scores():
     assert name_score("Council", "City Council of the Whole") == pytest.approx(90)
 
 
+def _score_pairs():
+    random.seed(3)
+    words = ["Parks", "Finance", "Budget", "Committee", "on", "Levy", "of", "the", "Whole", "é日x", "a"]
+    name = lambda k: " ".join(random.choices(words, k=random.randint(0, k)))
+    pairs = [(name(5), name(7)) for _ in range(150)] + [(None, "a"), ("", "a"), ("!!", "b"), ("a", "a"), ("É_x", "é x")]
+    noise = lambda: "".join(random.choices("ab cd", k=random.randint(0, 260)))
+    return pairs, pairs + [(noise(), noise()) for _ in range(60)]
+
+
+def test_column_scores_equal_the_plain_ones_and_stay_under_their_bounds(spark):
+    names, texts = _score_pairs()
+    for scorer, plain, pairs in ((similarity.TOKEN_SET, token_set_score, texts), (similarity.NAME, name_score, names)):
+        frame = spark.createDataFrame(pairs, "a string, b string").repartition(4)
+        both = F.struct(scorer.prepare(F.col("a")).alias("a"), scorer.prepare(F.col("b")).alias("b"))
+        bound = similarity.let(both, lambda q: scorer.bound(q["a"], q["b"]))
+        for r in frame.select("a", "b", similarity.scored(scorer, F.col("a"), F.col("b")).alias("score"), bound.alias("bound")).collect():
+            assert r["score"] == pytest.approx(plain(r["a"], r["b"])) and r["bound"] >= r["score"] - 1e-9
+
+
+def test_common_length_beyond_one_mask(spark):
+    random.seed(4)
+    text = lambda n: "".join(random.choices("abc", k=n))
+    pairs = [(text(n), text(m)) for n in (0, 1, 61, 62, 63, 124, 125, 200) for m in (0, 5, 62, 190)] + [("a" * 130, "a" * 62)]
+    got = spark.createDataFrame(pairs, "a string, b string").withColumn("n", similarity.common_length(F.col("a"), F.col("b"))).collect()
+    for r in got:
+        row = [0] * (len(r["a"]) + 1)
+        for ch in r["b"]:
+            before = row[:]
+            for i, x in enumerate(r["a"]):
+                row[i + 1] = before[i] + 1 if x == ch else max(before[i + 1], row[i])
+        assert r["n"] == row[-1]
+
+
+def test_every_candidate_gets_a_score_and_hopeless_ones_are_not_scored(spark, monkeypatch):
+    monkeypatch.setattr(ma, "BLOCK", 8)
+    random.seed(6)
+    words = ["budget", "parks", "levy", "zoning", "transit", "housing", "water", "light", "police", "library"]
+    text = lambda: " ".join(random.choices(words, k=6))
+    options = [("hot", i, text()) for i in range(30)] + [("lone", 99, "x")]
+    records = [("hot", i, options[3 * i][2] + " levy" if i % 2 else text()) for i in range(10)] + [("lone", 50, "y"), ("none", 51, "z")]
+    asked = spark.createDataFrame(records, "day string, id int, agenda string")
+    held = spark.createDataFrame(options, "day string, option int, items string")
+    scores = ma.all_scores(asked, held, "day", "agenda", "option", "items").collect()
+    plain = {(d, a, o): token_set_score(a, t) for d, _, a in records for e, o, t in options if d == e and d == "hot"} | {("lone", "y", 99): 100.0}
+    assert {(r["day"], r["agenda"], r["option"]): pytest.approx(r["score"]) for r in scores} == plain and len(scores) == len(plain)
+    best = ma.closest(asked, held, "day", "agenda", "option", "items", similarity.TOKEN_SET).collect()
+    for r in best:
+        if r["day"] == "hot":
+            ranked = min((-s, o) for (d, a, o), s in plain.items() if (d, a) == ("hot", r["agenda"]))
+            assert (pytest.approx(-r["score"]), r["match_id"]) == ranked
+    assert sum(r["n_scored"] for r in best) < 0.8 * len(plain)
+
+
 @pytest.mark.parametrize("bucket_rows", [2, 10_000_000])
 def test_closest_agrees_with_brute_force(spark, monkeypatch, bucket_rows):
     monkeypatch.setattr(ma, "BLOCK", 4)
@@ -247,7 +301,7 @@ def test_closest_agrees_with_brute_force(spark, monkeypatch, bucket_rows):
     got = ma.match_agendas(
         spark.createDataFrame(records, "day string, id int, agenda string"),
         spark.createDataFrame(options, "day string, option int, items string"),
-        "day", "agenda", "option", "items", token_jaccard, bucket_rows,
+        "day", "agenda", "option", "items", similarity.JACCARD, bucket_rows,
     )
     expected = set()
     for day, key, agenda in records:
