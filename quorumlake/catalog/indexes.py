@@ -12,6 +12,7 @@ from ..operators.spans import all_spans
 from ..operators.store import surrogate_key
 from ..operators.truecase import apply_casing, fit_casing, placed_tokens
 from ..session import work_path, written
+from . import stem_sql
 from .registry import load, load_wide, query
 from .texts import TERMS
 
@@ -28,6 +29,17 @@ MATCHES = f"""{INDEX},
     FROM idx JOIN wanted USING (term) WHERE value > 0 GROUP BY item_id, doc_id"""
 
 
+_STEMMED = f"""
+    plain AS ({COUNTS}), asked AS (SELECT DISTINCT item_id, unnest({TERMS}) AS term FROM benchmark),
+    terms AS (SELECT term FROM plain UNION SELECT term FROM asked), {stem_sql.stems('terms')},
+    counts AS (SELECT doc_id, stem AS term, CAST(sum(n) AS BIGINT) AS n FROM plain JOIN stems USING (term) GROUP BY ALL)"""
+_STEMMED_INDEX = f"""{_STEMMED},
+    frequency AS (SELECT term, count(*) AS df FROM counts GROUP BY term),
+    total AS (SELECT count(DISTINCT doc_id) AS n_ids FROM counts),
+    idx AS (SELECT term, doc_id, n * ln(n_ids / df) AS value
+            FROM counts JOIN frequency USING (term) CROSS JOIN total)"""
+
+
 def counts(spark, root, stemmed=False):
     return ix.term_counts(load_wide(spark, root, "documents"), "doc_id", stemmed=stemmed)
 
@@ -45,7 +57,7 @@ def term_counts(spark, root):
     return counts(spark, root)
 
 
-@query("term_counts_stemmed")
+@query("term_counts_stemmed", f"WITH {_STEMMED} SELECT doc_id, term, n FROM counts")
 def term_counts_stemmed(spark, root):
     return counts(spark, root, stemmed=True)
 
@@ -76,7 +88,7 @@ def tfidf_index(spark, root):
     return _rounded(index(spark, root))
 
 
-@query("tfidf_index_stemmed")
+@query("tfidf_index_stemmed", f"WITH {_STEMMED_INDEX} SELECT term, doc_id, round(value, 6) AS value FROM idx")
 def tfidf_index_stemmed(spark, root):
     return _rounded(index(spark, root, stemmed=True))
 
@@ -113,7 +125,10 @@ def search_ordered(spark, root):
     return found.select("item_id", "position", "doc_id", "relevance")
 
 
-@query("search_documents_stemmed")
+@query("search_documents_stemmed", f"""
+    WITH {_STEMMED_INDEX}, wanted AS (SELECT DISTINCT item_id, stem AS term FROM asked JOIN stems USING (term))
+    SELECT item_id, doc_id, round(sum(value), 6) AS relevance, string_agg(term, ' ' ORDER BY term) AS terms
+    FROM idx JOIN wanted USING (term) WHERE value > 0 GROUP BY item_id, doc_id""")
 def search_documents_stemmed(spark, root):
     return _found(spark, root, stemmed=True)
 

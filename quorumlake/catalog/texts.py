@@ -6,12 +6,11 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions import values as va
-from ..functions.stem import stem
-from ..operators.index import term_rows
+from ..operators.index import term_rows, vocabulary_stems
 from ..operators.match import agenda_scores
 from ..operators.select import not_status
 from ..sources.pages import ListingLayout, list_item_links, outcome_counts, page_records
-from . import score_sql
+from . import score_sql, stem_sql
 from .registry import load, load_wide, query
 
 STOP_LIST = ", ".join(f"'{word}'" for word in tx.STOP_WORDS)
@@ -68,10 +67,10 @@ def term_is_eos(spark, root):
     return terms.select("term", tx.ends_sentence(F.col("term")).alias("is_eos"))
 
 
-@query("text_stem")
+@query("text_stem", f"""
+    WITH terms AS (SELECT DISTINCT unnest({TERMS}) AS term FROM documents), {stem_sql.stems('terms')} SELECT term, stem FROM stems""")
 def text_stem(spark, root):
-    terms = term_rows(load_wide(spark, root, "documents"), "doc_id").select("term").distinct()
-    return terms.select("term", stem("term").alias("stem"))
+    return vocabulary_stems(term_rows(load_wide(spark, root, "documents"), "doc_id"))
 
 
 # The page tables carry no meeting markup, so each page's own title, address

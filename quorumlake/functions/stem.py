@@ -1,16 +1,16 @@
-"""Porter stemming, with the widely used extensions to the 1980 algorithm.
+"""Porter stemming as a column function, with the widely used extensions to the 1980 algorithm.
 
-Spark has no stemmer, so this is one small Arrow UDF. It sees a column of
-already counted terms and stems each distinct term once per task.
+The shape of a word has `0` for each consonant and `1` for each vowel; a `y` is
+a vowel behind a consonant. The measure counts the steps from vowel to
+consonant. All in the JVM; callers stem each distinct term once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from .similarity import let
 
 # Words with their own stem.
 IRREGULAR = {
@@ -34,126 +34,121 @@ STEP_4 = (
 ).split()
 
 
-_SUFFIXES_2 = tuple(suffix for suffix, _ in STEP_2)
-_SUFFIXES_3 = tuple(suffix for suffix, _ in STEP_3)
-_SUFFIXES_4 = tuple(STEP_4)
+def _without(word: Column, letters: int) -> Column:
+    return F.left(word, F.length(word) - letters)
+
+
+def _shape(word: Column) -> Column:
+    marked = F.regexp_replace(F.regexp_replace(word, "[^aeiouy]", "0"), "[aeiou]", "1")
+
+    def resolved(x: Column) -> Column:
+        once = F.replace(F.replace(x, F.lit("0y"), F.lit("01")), F.lit("1y"), F.lit("10"))
+        vowel = lambda held: F.when(F.right(held, F.lit(1)) == "0", "1").otherwise("0")
+        folded = F.aggregate(F.split(x, ""), F.lit(""), lambda held, c: F.concat(held, F.when(c == "y", vowel(held)).otherwise(c)))
+        return let(once, lambda shape: F.when(F.contains(shape, F.lit("y")), folded).otherwise(shape))
+
+    return let(F.regexp_replace(marked, "^y", "0"), resolved)
+
+
+def _steps(shape: Column) -> Column:
+    return F.regexp_count(shape, F.lit("10"))
+
+
+def _measure(word: Column) -> Column:
+    return _steps(_shape(word))
+
+
+def _short_end(word: Column, shape: Column) -> Column:
+    return (shape == "10") | (F.endswith(shape, F.lit("010")) & ~F.right(word, F.lit(1)).isin("w", "x", "y"))
+
+
+def _suffix(word: Column, suffixes: list[str]) -> Column:
+    # no suffix in these lists comes before a longer one that ends in it, so the longest is meant
+    return F.regexp_extract(word, f"({'|'.join(suffixes)})\\z", 1)
+
+
+def _plural(word: Column) -> Column:
+    twice = word.endswith("sses") | (word.endswith("ies") & (F.length(word) > 4))
+    return F.when(twice, _without(word, 2)).when(word.endswith("s") & ~word.endswith("ss"), _without(word, 1)).otherwise(word)
+
+
+def _past_and_gerund(word: Column) -> Column:
+    def ended(suffix: str) -> Column:
+        return word.endswith(suffix) & F.contains(_shape(_without(word, len(suffix))), F.lit("1"))
+
+    def mended(rest: Column, shape: Column) -> Column:
+        last = F.right(rest, F.lit(1))
+        double = (F.length(rest) > 1) & (last == F.substring(rest, -2, 1)) & (F.right(shape, F.lit(1)) == "0")
+        return (
+            F.when(rest.endswith("at") | rest.endswith("bl") | rest.endswith("iz"), F.concat(rest, F.lit("e")))
+            .when(double, F.when(last.isin("l", "s", "z"), rest).otherwise(_without(rest, 1)))
+            .when((_steps(shape) == 1) & _short_end(rest, shape), F.concat(rest, F.lit("e")))
+            .otherwise(rest)
+        )
+
+    rest = F.when(ended("ed"), _without(word, 2)).when(ended("ing"), _without(word, 3))
+    return (
+        F.when(word.endswith("ied"), F.when(F.length(word) == 4, _without(word, 1)).otherwise(_without(word, 2)))
+        .when(word.endswith("eed"), F.when(_measure(_without(word, 3)) > 0, _without(word, 1)).otherwise(word))
+        .otherwise(let(rest, lambda r: F.when(r.isNull(), word).otherwise(let(_shape(r), lambda s: mended(r, s)))))
+    )
+
+
+def _final_y(word: Column) -> Column:
+    follows = F.right(_shape(_without(word, 1)), F.lit(1)) == "0"
+    return F.when(word.endswith("y") & (F.length(word) > 2) & follows, F.concat(_without(word, 1), F.lit("i"))).otherwise(word)
+
+
+def _replaced(word: Column, rules: list[list[str]]) -> Column:
+    """The suffix replaced where the rest has a measure above 0."""
+    endings = F.create_map(*[F.lit(part) for rule in rules for part in rule])
+
+    def applied(suffix: Column) -> Column:
+        rest = F.left(word, F.length(word) - F.length(suffix))
+        weighed = F.when(suffix == "logi", F.concat(rest, F.lit("l"))).otherwise(rest)
+        return F.when((suffix != "") & (_measure(weighed) > 0), F.concat(rest, endings[suffix])).otherwise(word)
+
+    return let(_suffix(word, [suffix for suffix, _ in rules]), applied)
+
+
+def _derived(word: Column) -> Column:
+    doubled = word.endswith("alli") & (_measure(_without(word, 4)) > 0)
+    return let(F.when(doubled, _without(word, 2)).otherwise(word), lambda w: _replaced(w, STEP_2))
+
+
+def _long_suffix(word: Column) -> Column:
+    def applied(suffix: Column) -> Column:
+        rest = F.left(word, F.length(word) - F.length(suffix))
+        allowed = (suffix != "") & ((suffix != "ion") | rest.endswith("s") | rest.endswith("t"))
+        return F.when(allowed & (_measure(rest) > 1), rest).otherwise(word)
+
+    return let(_suffix(word, list(STEP_4)), applied)
+
+
+def _final_e(word: Column) -> Column:
+    def applied(rest: Column, shape: Column) -> Column:
+        steps = _steps(shape)
+        return F.when((steps > 1) | ((steps == 1) & ~_short_end(rest, shape)), rest).otherwise(word)
+
+    return F.when(word.endswith("e"), let(_without(word, 1), lambda r: let(_shape(r), lambda s: applied(r, s)))).otherwise(word)
 
-# How many stems a task remembers.
-KNOWN_STEMS = 1 << 18
 
+def _final_l(word: Column) -> Column:
+    return F.when(word.endswith("ll") & (_measure(_without(word, 1)) > 1), _without(word, 1)).otherwise(word)
 
-class _Letters(dict):
-    """Vowel, consonant or `y`, per character code; unseen ones are consonants."""
 
-    def __missing__(self, code: int) -> str:
-        self[code] = "c"
-        return "c"
+RULES = (_plural, _past_and_gerund, _final_y, _derived, lambda w: _replaced(w, STEP_3), _long_suffix, _final_e, _final_l)
 
 
-_LETTERS = _Letters({ord(ch): "v" for ch in "aeiou"} | {ord("y"): "y"})
+def stem(term: Column | str) -> Column:
+    """The stem of a term in lower case; null stays null."""
+    irregular = F.create_map(*[F.lit(part) for pair in IRREGULAR.items() for part in pair])
 
+    def regular(word: Column) -> Column:
+        out = word
+        for rule in RULES:
+            out = let(out, rule)
+        return out
 
-def _shape(word: str) -> str:
-    """One letter per character: `c` for a consonant, `v` for a vowel."""
-    shape = word.translate(_LETTERS)
-    while "y" in shape:
-        at = shape.index("y")
-        shape = shape[:at] + ("v" if shape[:at].endswith("c") else "c") + shape[at + 1 :]
-    return shape
-
-
-def _measure(word: str) -> int:
-    return _shape(word).count("vc")
-
-
-def _short_end(word: str) -> bool:
-    shape = _shape(word)
-    return shape == "vc" or (shape.endswith("cvc") and word[-1] not in "wxy")
-
-
-def _replace(word: str, rules, suffixes: tuple[str, ...]) -> str:
-    if not word.endswith(suffixes):
-        return word
-    for suffix, replacement in rules:
-        if word.endswith(suffix):
-            rest = word[: -len(suffix)]
-            weighed = rest + "l" if suffix == "logi" else rest
-            return rest + replacement if _measure(weighed) > 0 else word
-    return word
-
-
-def _plural(word: str) -> str:
-    if word.endswith("sses") or (word.endswith("ies") and len(word) > 4):
-        return word[:-2]
-    if word.endswith("s") and not word.endswith("ss"):
-        return word[:-1]
-    return word
-
-
-def _past_and_gerund(word: str) -> str:
-    if word.endswith("ied"):
-        return word[:-1] if len(word) == 4 else word[:-2]
-    if word.endswith("eed"):
-        return word[:-1] if _measure(word[:-3]) > 0 else word
-    suffix = next((s for s in ("ed", "ing") if word.endswith(s) and "v" in _shape(word[: -len(s)])), None)
-    if suffix is None:
-        return word
-    rest = word[: -len(suffix)]
-    if rest.endswith(("at", "bl", "iz")):
-        return rest + "e"
-    if len(rest) > 1 and rest[-1] == rest[-2] and _shape(rest)[-1] == "c":
-        return rest if rest[-1] in "lsz" else rest[:-1]
-    return rest + "e" if _measure(rest) == 1 and _short_end(rest) else rest
-
-
-def _derived(word: str) -> str:
-    if word.endswith("alli") and _measure(word[:-4]) > 0:
-        return _derived(word[:-2])
-    return _replace(word, STEP_2, _SUFFIXES_2)
-
-
-def _long_suffix(word: str) -> str:
-    if not word.endswith(_SUFFIXES_4):
-        return word
-    for suffix in STEP_4:
-        if word.endswith(suffix):
-            rest = word[: -len(suffix)]
-            allowed = suffix != "ion" or rest.endswith(("s", "t"))
-            return rest if allowed and _measure(rest) > 1 else word
-    return word
-
-
-def _final_letters(word: str) -> str:
-    if word.endswith("e"):
-        size = _measure(word[:-1])
-        if size > 1 or (size == 1 and not _short_end(word[:-1])):
-            word = word[:-1]
-    if word.endswith("ll") and _measure(word[:-1]) > 1:
-        word = word[:-1]
-    return word
-
-
-def porter_stem(word: str) -> str:
-    word = word.lower()
-    if word in IRREGULAR:
-        return IRREGULAR[word]
-    if len(word) <= 2:
-        return word
-    word = _past_and_gerund(_plural(word))
-    if word.endswith("y") and len(word) > 2 and _shape(word[:-1])[-1] == "c":
-        word = word[:-1] + "i"
-    return _final_letters(_long_suffix(_replace(_derived(word), STEP_3, _SUFFIXES_3)))
-
-
-@F.pandas_udf(T.StringType())
-def stem(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    known: dict[str, str] = {}
-    for terms in batches:
-        if len(known) > KNOWN_STEMS:
-            known.clear()
-        stems = []
-        for term in terms:
-            if term not in known:
-                known[term] = porter_stem(term) if term is not None else None
-            stems.append(known[term])
-        yield pd.Series(stems, dtype=object)
+    word = F.lower(F.col(term) if isinstance(term, str) else term)
+    return let(word, lambda w: F.coalesce(irregular[w], F.when(F.length(w) <= 2, w).otherwise(regular(w))))

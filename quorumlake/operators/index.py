@@ -14,7 +14,11 @@ from pyspark.sql import functions as F
 from ..functions.stem import stem
 from ..functions.text import index_term, index_tokens
 from ..session import written
-from .spread import spread_join
+from .spread import task_count
+
+
+#: A vocabulary of so many terms at most is sent to every executor: some 50 MB.
+BROADCAST_TERMS = 500_000
 
 
 class Indexer(Protocol):
@@ -38,11 +42,20 @@ def term_counts(corpus: DataFrame, id_column: str, text: str = "text", stemmed:
         return counts
     # each distinct term is stemmed once; the counts are read twice, the text once
     counts = written(counts, "plain-counts")
-    stems = counts.select("term").distinct().select("term", stem("term").alias("stem"))
+    stems = vocabulary_stems(counts)
+    if stems.count() <= BROADCAST_TERMS:
+        stems = F.broadcast(stems)
+    # stored tables on both sides: beyond the broadcast, adaptive execution splits terms that stand everywhere
     stemmed_counts = counts.join(stems, "term").select(id_column, F.col("stem").alias("term"), "n")
     return stemmed_counts.groupBy(id_column, "term").agg(F.sum("n").alias("n"))
 
 
+def vocabulary_stems(counts: DataFrame) -> DataFrame:
+    """(term, stem) of every distinct term, as a stored table."""
+    terms = counts.select("term").distinct()
+    return written(terms.repartition(task_count(terms)).select("term", stem("term").alias("stem")), "stems")
+
+
 def merge_counts(counts: DataFrame, id_column: str) -> DataFrame:
     """Counts gathered piece by piece as one row per id and term."""
     return counts.groupBy(id_column, "term").agg(F.sum("n").alias("n"))
@@ -69,13 +82,13 @@ def tfidf(counts: DataFrame, id_column: str, stored: bool = False) -> DataFrame:
 
     The counts are needed three times and are much smaller than the text, so
     unless they are `stored` already they are written once and read back, each
-    time only the columns needed.
+    time only the columns needed. So are the frequencies: a join of two stored
+    tables is one that adaptive execution can broadcast, or split where a term
+    stands in too many ids for a task.
     """
     if not stored:
         counts = written(counts, "term-counts")
-    frequency = document_frequency(counts)
-    rows = frequency.withColumnRenamed("df", "rows")
-    weighted = spread_join(counts, frequency, "term", [id_column], counts=rows)
+    weighted = counts.join(written(document_frequency(counts), "frequency"), "term")
     total = corpus_size(counts, id_column).scalar()
     return weighted.select("term", id_column, (F.col("n") * F.log(total / F.col("df"))).alias("value"))
 

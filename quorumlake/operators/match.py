@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.similarity import NAME, TOKEN_SET, Scorer, let, scored
 from ..session import written
-from .spread import BUCKET_ROWS, spread_join
+from .spread import BUCKET_ROWS, spread_join, task_count
 
 # The least name score taken for a match, and a sole candidate's score.
 MIN_NAME_SCORE = 50.0
@@ -55,7 +55,7 @@ def _chunk_pairs(
     options = _chunks(known, bucket, {"id": candidate_id}, candidate_text, scorer, "n_candidates")
     options = options.select(bucket, F.col("entries").alias("options"), "n_candidates")
     pairs = spread_join(asked, options, bucket, ["_chunk"], bucket_rows=max(1, bucket_rows // BLOCK))
-    return pairs.repartition(_tasks(pairs))
+    return pairs.repartition(task_count(pairs))
 
 
 def _best_option(asked: Column, options: Column, scorer: Scorer) -> Column:
@@ -172,16 +172,10 @@ def _name_scores(pairs: DataFrame, name: str, minimum: float) -> DataFrame:
 
     both = F.struct(NAME.prepare(F.col(name)).alias("a"), NAME.prepare(F.col("_option")).alias("b"))
     # written before it is filtered, or the filter would score once more
-    scores = written(pairs.repartition(_tasks(pairs)).select(name, "_option", let(both, hopeful).alias("score")), "name-scores")
+    scores = written(pairs.repartition(task_count(pairs)).select(name, "_option", let(both, hopeful).alias("score")), "name-scores")
     return scores.where(F.col("score") >= minimum)
 
 
-def _tasks(df: DataFrame) -> int:
-    """Tasks for few rows of much work, which adaptive execution would put together by their size."""
-    spark = df.sparkSession
-    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-
 def match_agendas(
     records: DataFrame,
     candidates: DataFrame,

@@ -19,6 +19,12 @@ BLOCK_ROWS = 32_768
 BUCKET_ROWS = 5_000_000
 
 
+def task_count(df: DataFrame) -> int:
+    """Tasks to deal few rows of much work to, which adaptive execution would put together by their size."""
+    spark = df.sparkSession
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def best_per_key(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
     """The first row of every key in `order`.
 

@@ -1,10 +1,13 @@
+import random
+
 import pytest
+from plain_stem import porter_stem
 from conftest import one
 from pyspark.sql import functions as F
 
 from quorumlake.functions import text as tx
 from quorumlake.functions import values as va
-from quorumlake.functions.stem import porter_stem
+from quorumlake.functions.stem import IRREGULAR, STEP_2, STEP_3, STEP_4, stem
 from quorumlake.operators.index import term_counts
 
 # Cleaned and stemmed texts the index must agree with.
@@ -35,6 +38,15 @@ def test_stemmed_counts_agree_with_cleaner(spark):
         assert set(row.terms) == set(row.expected.split(" "))
 
 
+def test_column_stems_equal_the_plain_ones(spark):
+    random.seed(1)
+    suffixes = [a for a, _ in STEP_2 + STEP_3] + [*STEP_4, *"s es ies ied ed ing eed y e ll ee sses ss yy yyy bl at iz".split(), ""]
+    made = lambda: "".join(random.choices("aeiouybcdlstz", k=random.randint(0, 6))) + random.choice(suffixes)
+    words = {made() + random.choice(["", "", "s", "ed", "ing", "ly"]) for _ in range(6000)} | set(IRREGULAR) | {"Y", "yyyyyy", "12_3", "été", ""}
+    got = spark.createDataFrame([(w,) for w in words] + [(None,)], "term string").select("term", stem("term").alias("stem")).collect()
+    assert {r["term"]: r["stem"] for r in got} == {w: porter_stem(w) for w in words} | {None: None}
+
+
 def test_text_of_only_stop_words_has_no_terms(spark):
     assert one(spark, tx.clean_for_index(F.col("t")), t="the and, of!") is None
 
