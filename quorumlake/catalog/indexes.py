@@ -142,12 +142,11 @@ def search_with_rows(spark, root):
 
 
 @query("upsert_index", f"""
-    WITH counts AS ({COUNTS}),
+    WITH counts AS MATERIALIZED ({COUNTS}),
     old AS (SELECT term, doc_id, CAST(n AS DOUBLE) AS value FROM counts),
     new AS (SELECT term, doc_id, n * 2.5 AS value FROM counts JOIN labels USING (doc_id) WHERE quality = 1),
     extra AS (SELECT term || '2' AS term, doc_id, CAST(n AS DOUBLE) AS value FROM counts JOIN labels USING (doc_id) WHERE quality = 0)
-    SELECT sha256('indexed_event_term' || chr(1) || term || chr(1) || doc_id) AS entry_id, term, doc_id,
-      CAST(coalesce(n.value, o.value) AS DOUBLE) AS value,
+    SELECT term, doc_id, CAST(coalesce(n.value, o.value) AS DOUBLE) AS value,
       CASE WHEN n.value IS NULL THEN TIMESTAMP '2024-01-01' ELSE TIMESTAMP '2024-02-01' END AS updated
     FROM old AS o FULL JOIN (SELECT * FROM new UNION ALL SELECT * FROM extra) AS n USING (term, doc_id)""")
 def upsert_index(spark, root):
@@ -168,7 +167,7 @@ def upsert_index(spark, root):
         F.concat("term", F.lit("2")).alias("term"), "doc_id", F.col("n").cast("double").alias("value")
     )
     new = entries(changed.unionByName(added), "2024-02-01")
-    return ix.upsert(stored, new, ["term", "doc_id"], "entry_id")
+    return ix.upsert(stored, new, ["term", "doc_id"], "entry_id").drop("entry_id")
 
 
 @query("replace_index", f"{INDEX} SELECT term, doc_id, round(value, 6) AS value FROM idx WHERE value > 0")

@@ -25,8 +25,9 @@ def _stream(spark, root, table):
 def stream_dedup(spark, root):
     table, checkpoint = work_path(spark, "stream-dedup"), work_path(spark, "checkpoint")
     records = _stream(spark, root, "events").select("user_id", "event_type", "event_id", "ts")
-    jobs.insert_new(records, ["user_id", "event_type"], ["ts", "event_id"], table, checkpoint).awaitTermination()
-    return spark.read.schema(records.schema).parquet(table).select("user_id", "event_type")
+    keys = ["user_id", "event_type"]
+    jobs.insert_new(records, keys, ["ts", "event_id"], table, checkpoint, remember="1 hour").awaitTermination()
+    return spark.read.schema(records.schema).parquet(table).select(*keys)
 
 
 @query(

@@ -6,7 +6,7 @@ import functools
 import operator
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.values import as_stored_text, type_tag
@@ -31,6 +31,32 @@ def surrogate_key(table: str, *columns: str | Column) -> Column:
     return F.sha2(F.concat_ws("\u0001", F.lit(table), *texts), 256)
 
 
+#: Digits of a key's hash that name its bucket: 16 ** BUCKET_DIGITS folders at most.
+BUCKET_DIGITS = 2
+BUCKET = "key_bucket"
+
+
+def bucketed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Adds the bucket of the row's key, by which keyed tables are partitioned."""
+    return df.withColumn(BUCKET, F.left(surrogate_key("", *keys), F.lit(BUCKET_DIGITS)))
+
+
+def write_bucketed(df: DataFrame, keys: Sequence[str], path: str, mode: str = "append") -> None:
+    """Rows in one folder for each bucket of keys, one file for each bucket written to."""
+    bucketed(df, keys).repartition(BUCKET).write.mode(mode).partitionBy(BUCKET).parquet(path)
+
+
+def touched_buckets(batch: DataFrame, keys: Sequence[str]) -> list[str]:
+    """The buckets that a batch's keys fall in: a bounded number, whatever the batch."""
+    return sorted(r[0] for r in bucketed(batch, keys).select(BUCKET).distinct().collect())
+
+
+def read_bucketed(spark: SparkSession, ddl: str, path: str, buckets: Sequence[str] | None = None) -> DataFrame:
+    """A keyed table, or those of its buckets that are asked for: the other folders are not read."""
+    stored = spark.read.schema(f"{ddl}, {BUCKET} string").parquet(path)
+    return (stored if buckets is None else stored.where(F.col(BUCKET).isin(*buckets))).drop(BUCKET)
+
+
 def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     """Equality of all keys, null matching null."""
     return functools.reduce(operator.and_, [left[k].eqNullSafe(right[k]) for k in keys])

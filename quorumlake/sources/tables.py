@@ -1,31 +1,37 @@
-"""Stored tables of the relational model, one folder each."""
+"""Stored tables of the relational model, one folder each, partitioned by a bucket of the natural key.
+
+An insert reads and checks only the buckets that the keys of its batch fall in.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.index import upsert
-from ..operators.store import insert_if_absent, require_unique, surrogate_key
+from ..operators.store import insert_if_absent, read_bucketed, require_unique, surrogate_key, touched_buckets, write_bucketed
 from ..schemas import TABLES
+from ..session import written
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A full scan with the table's fixed schema, its id column first."""
-    return spark.read.schema(TABLES[name].ddl).parquet(f"{root}/{name}")
+def read_table(spark: SparkSession, root: str, name: str, buckets: Sequence[str] | None = None) -> DataFrame:
+    """The table with its fixed schema, its id column first; whole, or only some buckets of keys."""
+    return read_bucketed(spark, TABLES[name].ddl, f"{root}/{name}", buckets)
 
 
-def write_table(df: DataFrame, root: str, name: str, mode: str = "append") -> None:
+def _typed(df: DataFrame, name: str) -> DataFrame:
     """Rows in the table's column order and types."""
     fields = T.StructType.fromDDL(TABLES[name].ddl).fields
-    columns = [
-        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in fields
-    ]
-    df.select(*columns).write.mode(mode).parquet(f"{root}/{name}")
+    return df.select(
+        *[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]
+    )
+
+
+def write_table(df: DataFrame, root: str, name: str, mode: str = "append") -> None:
+    write_bucketed(_typed(df, name), TABLES[name].key, f"{root}/{name}", mode)
 
 
 def wipe_table(spark: SparkSession, root: str, name: str) -> None:
@@ -49,10 +55,13 @@ def insert_rows(spark: SparkSession, root: str, name: str, batch: DataFrame, *or
     """Append the batch rows whose natural key the table does not hold.
 
     Of batch rows sharing a key the first in `order` is taken. A key stored
-    more than once is an error. Rows get their id and time of creation.
+    more than once is an error, where the batch touches its bucket. Rows get
+    their id and time of creation.
     """
     table = TABLES[name]
-    stored = require_unique(read_table(spark, root, name), name, table.key)
+    batch = written(batch, "batch")
+    buckets = touched_buckets(_typed(batch, name), table.key)
+    stored = require_unique(read_table(spark, root, name, buckets), name, table.key)
     rows = insert_if_absent(stored, batch, table.key, *(order or [F.col(k) for k in table.key]))
     stamp = "updated" if "updated" in stored.columns else "created"
     if stamp in stored.columns and stamp not in rows.columns:

@@ -16,14 +16,14 @@ from pyspark.sql.streaming import DataStreamWriter
 from ..operators.index import term_counts
 from ..operators.select import within_window
 from ..operators.spread import best_per_key
-from ..operators.store import insert_if_absent
+from ..operators.store import insert_if_absent, read_bucketed, touched_buckets, write_bucketed
 
 
-def scheduled(writer: DataStreamWriter, minutes: int | None) -> DataStreamWriter:
+def scheduled(writer: DataStreamWriter, minutes: float | None) -> DataStreamWriter:
     """Run every `minutes`, or once over what has arrived."""
     if minutes is None:
         return writer.trigger(availableNow=True)
-    return writer.trigger(processingTime=f"{minutes} minutes")
+    return writer.trigger(processingTime=f"{round(60 * minutes)} seconds")
 
 
 def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
@@ -45,26 +45,38 @@ def insert_new(
     order: Sequence[str],
     table: str,
     checkpoint: str,
-    minutes: int | None = None,
+    minutes: float | None = None,
+    remember: str | None = None,
 ):
     """Append records whose key the table does not hold yet.
 
-    The stored table is the only memory, so a record delivered again is
-    recognised however late it comes, and no late record is lost to a watermark.
+    The stored table decides, so a record delivered again is recognised however
+    late it comes; a batch reads only the buckets its keys fall in. With
+    `remember`, an interval such as "1 hour", keyed state drops what came within
+    that time before, so that busy keys reach the table once. State goes by the
+    time of arrival and not by any time in the record: no record is ever late,
+    and none is lost. Of rows of a key in one batch the first in `order` is
+    stored, with `remember` any of them.
     """
     spark = records.sparkSession
-    spark.createDataFrame([], records.schema).write.mode("append").parquet(table)
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in records.schema)
+    write_bucketed(spark.createDataFrame([], records.schema), keys, table)
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        stored = batch.sparkSession.read.schema(records.schema).parquet(table)
-        fresh = insert_if_absent(stored, batch, keys, *[F.col(c) for c in order])
-        fresh.write.mode("append").parquet(table)
-
-    writer = records.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
+        kept = batch.select(*records.columns).persist()
+        stored = read_bucketed(batch.sparkSession, ddl, table, touched_buckets(kept, keys))
+        write_bucketed(insert_if_absent(stored, kept, keys, *[F.col(c) for c in order]), keys, table)
+        kept.unpersist()
+
+    arrived = records
+    if remember:
+        arrived = records.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", remember)
+        arrived = arrived.dropDuplicatesWithinWatermark(list(keys))
+    writer = arrived.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
     return scheduled(writer, minutes).start()
 
 
-def side_outputs(records: DataFrame, status: str, root: str, checkpoint: str, minutes: int | None = None):
+def side_outputs(records: DataFrame, status: str, root: str, checkpoint: str, minutes: float | None = None):
     """Records parted by status, in one folder per status and batch."""
 
     def part(batch: DataFrame, batch_id: int) -> None:
@@ -81,7 +93,7 @@ def count_terms(
     table: str,
     checkpoint: str,
     stemmed: bool = True,
-    minutes: int | None = None,
+    minutes: float | None = None,
     part: str = "part",
 ):
     """Term counts of arriving documents, from which the index is refreshed.

@@ -1,10 +1,12 @@
 import datetime as dt
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from quorumlake import schemas
+from quorumlake.operators import store
 from quorumlake.operators.meetings import (
     item_attachments, item_votes, meeting_items, normalize_meetings, star_tables,
 )
@@ -255,6 +257,69 @@ def test_stream_inserts_once_over_batches(spark, small, tmp_path):
     assert stored.count() == stored.distinct().count() == events.select("user_id", "event_type").distinct().count()
 
 
+def test_remembered_keys_equal_the_batch_over_restarts(spark, tmp_path):
+    """Copies within a batch, in a later batch, after a restart, and records older than all before."""
+    rows = [(k % 40, k, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=(k * 37) % 4000)) for k in range(120)]
+    frame = spark.createDataFrame(rows, "key int, n int, ts timestamp")
+    deliveries = [frame.where("n < 50"), frame.where("n >= 30 AND n < 90"), frame.where("n < 20").union(frame.where("n >= 80"))]
+    source, target, checkpoint = (str(tmp_path / name) for name in ("in", "out", "cp"))
+    for delivery in deliveries:
+        delivery.repartition(3).write.mode("append").parquet(source)
+        stream = jobs.file_stream(spark, source, frame.schema, files_per_batch=1)
+        query = jobs.insert_new(stream, ["key"], ["n"], target, checkpoint, remember="10 minutes")
+        query.awaitTermination()
+        # keys that the state knows never reach the table again
+        assert any(p["stateOperators"] and p["stateOperators"][0]["numRowsTotal"] > 0 for p in map(lambda x: json.loads(x.json), query.recentProgress))
+    stored = spark.read.schema(frame.schema).parquet(target)
+    assert sorted(r["key"] for r in stored.collect()) == list(range(40))
+    again = jobs.insert_new(jobs.file_stream(spark, source, frame.schema), ["key"], ["n"], target, str(tmp_path / "cp2"), remember="1 hour")
+    again.awaitTermination()
+    assert spark.read.parquet(target).count() == 40
+
+
+def test_a_job_on_a_timer_takes_what_arrives_between_its_runs(spark, tmp_path):
+    frame = spark.range(6).selectExpr("CAST(id AS INT) AS key", "CAST(id AS INT) AS n")
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    frame.where("key < 3").coalesce(1).write.parquet(source)
+    query = jobs.insert_new(jobs.file_stream(spark, source, frame.schema), ["key"], ["n"], target, str(tmp_path / "cp"), minutes=1 / 60)
+
+    def waits_for(count: int) -> bool:
+        end = time.monotonic() + 60
+        while time.monotonic() < end:
+            if spark.read.schema(frame.schema).parquet(target).count() == count:
+                return True
+            time.sleep(0.2)
+        return False
+
+    try:
+        assert waits_for(3) and query.isActive
+        frame.coalesce(1).write.mode("append").parquet(source)
+        assert waits_for(6) and query.isActive
+        assert len({p["batchId"] for p in map(lambda x: json.loads(x.json), query.recentProgress) if p["numInputRows"]}) == 2
+    finally:
+        query.stop()
+    assert not query.isActive
+
+
+def test_inserts_read_only_the_buckets_of_their_keys(spark, tmp_path):
+    root = str(tmp_path / "db")
+    people = spark.range(400).selectExpr("CAST(id AS STRING) AS full_name", "CAST(NULL AS STRING) AS email", "'1' AS phone")
+    tables.create_tables(spark, root, ["person"])
+    tables.insert_rows(spark, root, "person", people)
+    assert tables.read_table(spark, root, "person").count() == 400
+    batch = people.where("full_name IN ('7', '8')").union(spark.sql("SELECT 'new', NULL, '2'"))
+    touched = store.touched_buckets(batch, ("full_name", "email"))
+    assert 1 <= len(touched) <= 3
+    part = tables.read_table(spark, root, "person", touched)
+    assert 2 <= part.count() < 40
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [key_bucket" in plan
+    read = {r[0].split("key_bucket=")[1][:2] for r in part.select(F.input_file_name()).collect()}
+    assert read and read <= set(touched)
+    tables.insert_rows(spark, root, "person", batch)
+    assert tables.read_table(spark, root, "person").count() == 401
+
+
 def test_stream_index_equals_batch(spark, small, tmp_path):
     """Parts spread over batches; some come again unchanged, some replaced by a later delivery."""
     from quorumlake.operators import index as ix
