@@ -31,6 +31,25 @@ def rid() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), hashed)
 
 
+def told_apart(docs: DataFrame) -> DataFrame:
+    """(doc, doc_id, text): rows kept whole in `doc`, with ids that name one text each.
+
+    Where different texts share an id, each gets a number of its own, a hash of
+    id and text behind all other ids; rows equal in both keep sharing one.
+    """
+    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    hashed = rows.where("doc_id IS NOT NULL").select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
+    extremes = hashed.groupBy("doc_id").agg(F.min("h").alias("low"), F.max("h").alias("high"))
+    shared = written(extremes.where("low <> high").select("doc_id"), "shared-ids")
+    if shared.isEmpty():
+        return rows
+    held = sieve(shared, "doc_id")
+    named = F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    again = sifted(rows, "doc_id", held).join(shared.withColumn("again", F.lit(True)), "doc_id", "left")
+    told = again.select("doc", F.when(F.col("again"), named).otherwise(F.col("doc_id")).alias("doc_id"), "text")
+    return sifted(rows, "doc_id", held, inside=False).unionByName(told)
+
+
 def words_of(text: Column) -> Column:
     """Number of words, 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

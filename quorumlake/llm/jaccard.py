@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
-from .common import components, pieces, record_batch, rid, schema_of, sieve, sifted
+from .common import components, pieces, record_batch, rid, schema_of, sieve, sifted, told_apart
 from .shingles import set_key, shingle_set, signature
 
 THRESHOLD = 0.8
@@ -297,10 +297,15 @@ def classes_of(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def thinned(docs: DataFrame) -> DataFrame:
-    """The documents that stand for their class, all columns kept."""
-    named = written(classes_of(docs), "near-classes")
+    """The documents that stand for their class, all columns kept.
+
+    Different texts under one id are different documents; rows equal in id and
+    text are copies, of which one stays.
+    """
+    told = told_apart(docs)
+    named = written(classes_of(told), "near-classes")
     gone = named.where("rid <> class_id").select("rid").distinct()
-    packed = docs.select(F.struct("*").alias("doc"), rid().alias("rid"))
+    packed = told.select("doc", rid().alias("rid"))
     held = sieve(gone, "rid")
     kept = sifted(packed, "rid", held, inside=False).unionByName(sifted(packed, "rid", held).join(gone, "rid", "left_anti"))
     if not named.where("rid = class_id").groupBy("rid").count().where("count > 1").isEmpty():

@@ -29,11 +29,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
-from .common import pieces, record_batch, rid, schema_of, sieve, sifted
+from .common import pieces, record_batch, rid, schema_of, sieve, sifted, told_apart
 from .hashing import code_points, mix, prefix, spans
 from .jaccard import bucket_of, in_cells, with_crowds
 
 TAU = 2
+#: a share of the text; the rest is what copies share at the similarity of near copies
+FRAGMENT = 0.2
 LEAST = 20
 BLOCK = 512
 LINE_BREAK = 10
@@ -366,16 +368,25 @@ def deduplicated(docs: DataFrame, tau: int = TAU) -> DataFrame:
 
 
 def rewritten(docs: DataFrame, tau: int = TAU) -> DataFrame:
-    """Documents without their repeated lines; one left with blank text only goes. All columns kept."""
-    marks = written(deduplicated(docs, tau).where("n_removed > 0").select("rid", "removed").dropDuplicates(["rid"]), "removed-lines")
+    """Documents without their repeated lines; one left with blank text only goes. All columns kept.
+
+    Different texts under one id are different documents. One of which no more
+    than FRAGMENT would be left is a copy and not a text with repeated lines: it
+    stays whole, so that the search for near copies sees it as it is.
+    """
+    told = told_apart(docs)
+    marks = written(deduplicated(told, tau).where("n_removed > 0").select("rid", "removed").dropDuplicates(["rid"]), "removed-lines")
     held = sieve(marks, "rid")
-    packed = docs.select(F.struct("*").alias("doc"), rid().alias("rid"))
+    packed = told.select("doc", rid().alias("rid"))
     clean = sifted(packed, "rid", held, inside=False).select("doc")
     touched = sifted(packed, "rid", held).join(marks, "rid", "left")
     split = _lines_of(F.col("doc.text"))
     left = F.filter(split, lambda x, k: ~F.coalesce(F.array_contains("removed", k), F.lit(False)))
-    stays = F.col("removed").isNull() | F.exists(left, lambda x: x.rlike(r"\S"))
-    text = F.when(F.col("removed").isNull(), F.col("doc.text")).otherwise(F.array_join(left, "\n"))
+    touched = touched.withColumn("left", left)
+    stays = F.col("removed").isNull() | F.exists("left", lambda x: x.rlike(r"\S"))
+    shorter = F.array_join("left", "\n")
+    whole = F.col("removed").isNull() | (F.length(shorter) <= FRAGMENT * F.length("doc.text"))
+    text = F.when(whole, F.col("doc.text")).otherwise(shorter)
     columns = [text.alias(c) if c == "text" else F.col("doc").getField(c).alias(c) for c in docs.columns]
     touched = touched.where(stays).select(F.struct(*columns).alias("doc"))
     return clean.unionByName(touched).select("doc.*")

@@ -2,12 +2,13 @@
 
 Sizes are summed per source, targets are shared out by weight, and the
 repetition rate of a source is target over size. Each document is taken
-floor(rate) times, and once more if a hash of its id falls below the
+floor(rate) times, and once more if a hash of its id and text falls below the
 fraction. Only DataFrame functions run here.
 
 Defined cases: a null or blank text has size 0 and is never taken; a null
-source is a source of its own, last in order; rows with equal doc_id share
-their coin; an empty table gives an empty result.
+source is a source of its own, last in order; documents without an id, or with
+the id of another, are drawn each by its own text, so that only rows equal in
+id and text share a coin; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,10 +25,10 @@ BROADCAST_SOURCES = 10_000
 SEED = "mix-1"
 
 
-def coin(key: Column, seed: str = SEED) -> Column:
-    """A number in [0, 1) from 52 bits of an md5 of seed and key."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("null"))))
-    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
+def coin(doc_id: Column, text: Column, seed: str = SEED) -> Column:
+    """A number in [0, 1) from 52 bits of an md5 of seed, id and text."""
+    key = F.concat_ws(":", F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit("null")), F.md5(F.coalesce(text, F.lit(""))))
+    return F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
 def targets(sized: DataFrame) -> DataFrame:
@@ -66,20 +67,21 @@ def targets(sized: DataFrame) -> DataFrame:
 
 
 def rated(docs: DataFrame, shares: DataFrame) -> DataFrame:
-    """Columns source_size, target and copies added to docs that have source, doc_id and size."""
+    """Columns source_size, target and copies added to docs that have source, size and coin."""
     if shares.count() <= BROADCAST_SOURCES:
         shares = F.broadcast(shares)
     joined = docs.alias("d").join(shares.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
     rate = F.when(F.col("s.source_size") > 0, F.col("s.target") / F.col("s.source_size")).otherwise(0.0)
     whole = F.floor(rate)
-    extra = (coin(F.col("d.doc_id")) < rate - whole).cast("long")
+    extra = (F.col("d.coin") < rate - whole).cast("long")
     copies = F.when(F.col("d.size") > 0, whole + extra).otherwise(F.lit(0)).cast("long")
     return joined.select("d.*", "s.source_size", "s.target", copies.alias("copies"))
 
 
 def mix(docs: DataFrame) -> DataFrame:
     """(doc_id, size, source_size, target, copies, taken) of every document."""
-    sized = written(docs.select("doc_id", "source", words_of(F.col("text")).alias("size")), "mix-sizes")
+    drawn = coin(F.col("doc_id"), F.col("text")).alias("coin")
+    sized = written(docs.select("doc_id", "source", words_of(F.col("text")).alias("size"), drawn), "mix-sizes")
     shares = written(targets(sized), "mix-targets")
     return rated(sized, shares).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies"
@@ -90,7 +92,8 @@ def emit(docs: DataFrame) -> DataFrame:
     """The mixed corpus: every document as often as it is taken, all its columns kept."""
     sized = docs.select("source", words_of(F.col("text")).alias("size"))
     shares = written(targets(sized), "mix-targets")
-    packed = docs.select(F.struct("*").alias("doc"), "doc_id", "source", words_of(F.col("text")).alias("size"))
+    drawn = coin(F.col("doc_id"), F.col("text")).alias("coin")
+    packed = docs.select(F.struct("*").alias("doc"), "source", words_of(F.col("text")).alias("size"), drawn)
     taken = rated(packed, shares).where("copies > 0")
     return taken.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("doc.*")
 
@@ -98,7 +101,9 @@ def emit(docs: DataFrame) -> DataFrame:
 SQL = f"""
 WITH sized AS (
   SELECT doc_id, source,
-         COALESCE(LEN(REGEXP_EXTRACT_ALL(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size
+         COALESCE(LEN(REGEXP_EXTRACT_ALL(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
+         ('0x' || SUBSTR(MD5('{SEED}:' || COALESCE(doc_id::VARCHAR, 'null') || ':' || MD5(COALESCE(text, ''))), 1, 13))::BIGINT::DOUBLE
+           / 4503599627370496.0::DOUBLE AS coin
   FROM documents),
 sums AS (SELECT source, SUM(size)::BIGINT AS source_size FROM sized GROUP BY source),
 weighed AS (
@@ -119,9 +124,8 @@ shares AS (
     LEAST({CAP}.0::DOUBLE * source_size, COALESCE(weight * final, {CAP}.0::DOUBLE * source_size)) AS target
   FROM marked, level),
 rates AS (
-  SELECT d.doc_id, d.size, s.source_size, s.target,
-    CASE WHEN s.source_size > 0 THEN s.target / s.source_size ELSE 0 END AS rate,
-    ('0x' || SUBSTR(MD5('{SEED}:' || COALESCE(d.doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS coin
+  SELECT d.doc_id, d.size, s.source_size, s.target, d.coin,
+    CASE WHEN s.source_size > 0 THEN s.target / s.source_size ELSE 0 END AS rate
   FROM sized d JOIN shares s ON d.source IS NOT DISTINCT FROM s.source),
 counted AS (
   SELECT *, CASE WHEN size > 0 THEN FLOOR(rate)::BIGINT + (coin < rate - FLOOR(rate))::BIGINT ELSE 0 END AS copies FROM rates)

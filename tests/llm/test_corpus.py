@@ -21,11 +21,11 @@ def stored(spark) -> list[str]:
 
 def test_mix_equals_its_sql(awkward, clashing, nothing):
     con = duckdb.connect()
-    con.register("frame", awkward.where("doc_id IS NOT NULL").toPandas())
-    con.execute("CREATE TABLE documents AS SELECT * FROM frame")
+    con.register("frame", awkward.toPandas())
+    con.execute("CREATE TABLE documents AS SELECT doc_id::BIGINT AS doc_id, * EXCLUDE doc_id FROM frame")
     key = lambda r: str(r)
     expected = sorted(con.execute(mixing.SQL).fetchall(), key=key)
-    got = sorted((tuple(r) for r in mixing.mix(awkward.where("doc_id IS NOT NULL")).collect()), key=key)
+    got = sorted((tuple(r) for r in mixing.mix(awkward).collect()), key=key)
     assert len(got) == len(expected)
     for a, b in zip(got, expected, strict=True):
         assert a == pytest.approx(b)
@@ -35,6 +35,15 @@ def test_mix_equals_its_sql(awkward, clashing, nothing):
     assert emitted.count() == sum(r["copies"] for r in mixing.mix(clashing).collect())
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_documents_under_one_id_are_drawn_one_by_one(spark, doc_id):
+    rows = [(doc_id, f"a b c {k} e f g h i j", "one") for k in range(6000)] + [(k, f"x {k} y", "two") for k in range(14_000)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    for size in {r["source_size"] for r in got}:
+        mine = [r for r in got if r["source_size"] == size]
+        assert sum(r["taken"] for r in mine) == pytest.approx(mine[0]["target"], rel=0.04)
+
+
 def test_targets_share_everything_under_the_cap(spark):
     sizes = {"a": 10, "b": 1000, "c": 3, "d": 500, None: 40, "e": 0}
     got = {r["source"]: r for r in mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, size long")).collect()}
@@ -125,6 +134,22 @@ def test_pipeline_keeps_one_of_each_group(spark, tmp_path):
     assert left == {name for name, _ in corpus_pipeline.STAGES}
 
 
+def test_pipeline_stages_leave_whole_copies_and_no_fragments(spark):
+    """Copies that differ in one line: the first stage keeps them whole, the next keeps one."""
+    from .conftest import prose
+
+    base = [prose(900 + j, 40) for j in range(12)]
+    texts = {k: "\n".join([*base[:k], prose(990 + k, 3), *base[k + 1 :]]) for k in range(5)}
+    texts |= {10: prose(1, 60) + "\n" + prose(2, 60), 11: prose(3, 60) + "\n" + base[0]}
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in texts.items()], SCHEMA)
+    after = corpus_pipeline.line_dedup(spark, docs, SF)
+    left = {r["doc_id"]: r["text"] for r in after.collect()}
+    assert {k: left[k] for k in range(5)} == {k: texts[k] for k in range(5)}
+    assert left[10] == texts[10] and left[11] == prose(3, 60)
+    kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.near_duplicates(spark, after, SF).collect()}
+    assert kept == {0: texts[0], 10: texts[10], 11: prose(3, 60)}
+
+
 def test_crowded_groups_get_their_size(spark):
     groups = spark.range(40).selectExpr("IF(id < 30, 1, id) AS node", "id AS key")
     found = {r["node"]: r["n"] for r in jaccard.with_crowds(groups, "node", 20).collect()}

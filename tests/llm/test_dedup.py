@@ -199,3 +199,22 @@ def test_exact_repeats_of_short_lines_are_reported(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: (r["removed"], r["short_repeats"]) for r in lines.deduplicated(docs).collect()}
     assert got == {0: ([], []), 1: ([], []), 2: ([], [0]), 3: ([], [2, 4]), 4: ([], []), 5: ([2], [0])}
+
+
+@pytest.mark.parametrize("ids, kept", [((1, 5, 5, 7), "ABC"), ((5, 5, 5, 5), "ABC"), ((None, 5, 5, None), "ABC"), ((8, 5, 5, 7), "ABC")])
+def test_texts_that_share_an_id_are_all_kept(spark, ids, kept):
+    texts = {"A": prose(41, 80), "B": prose(42, 80), "C": prose(43, 80)}
+    docs = spark.createDataFrame([(i, texts[x]) for i, x in zip(ids, "AABC", strict=True)], "doc_id long, text string")
+    left = [r["text"] for r in jaccard.thinned(docs).collect()]
+    assert sorted(left) == sorted(texts[x] for x in kept)
+
+
+def test_lines_of_texts_that_share_an_id(spark):
+    shared, a, b = prose(51, 12), prose(52, 12), prose(53, 12)
+
+    def left(rows):
+        frame = spark.createDataFrame(rows, "doc_id long, text string")
+        return sorted((r["doc_id"], r["text"]) for r in lines.rewritten(frame).collect())
+
+    assert left([(1, f"{shared}\nshort"), (5, f"{a}\n{shared}"), (5, f"{b}\nshort")]) == sorted([(1, f"{shared}\nshort"), (5, a), (5, f"{b}\nshort")])
+    assert left([(1, shared), (5, f"{a}\n{shared}"), (5, f"{shared}\n{b}")]) == sorted([(1, shared), (5, a), (5, b)])
