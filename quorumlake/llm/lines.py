@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
-from .common import pieces, record_batch, rid, schema_of, sieve, sifted, told_apart
+from .common import pieces, record_batch, release, rid, schema_of, sieve, sifted, told_apart
 from .hashing import code_points, mix, prefix, spans
 from .jaccard import bucket_of, in_cells, with_crowds
 
@@ -330,11 +330,15 @@ def _lines_of(text: Column) -> Column:
 def removed(docs: DataFrame, tau: int = TAU) -> DataFrame:
     """(rid, kept, n_near): lines of each document that stand nowhere earlier, if any, and how many it loses as near ones."""
     met = met_lines(docs, tau)
+    # the keys of all lines, dealt out, are the largest shuffle by far and done with
+    release(docs.sparkSession)
     earliest = F.min(F.struct("rid", "number"))
     found = _per_piece(docs, "h long, h2 long, rid long, number int, body binary", _firsts(_line_sieve(met)), 1)
     firsts = found.groupBy("h", "h2").agg(earliest.alias("first"), F.first("body", ignorenulls=True).alias("body"))
     firsts = written(firsts.select(F.shiftrightunsigned("h", 1).alias("key"), "first.*", "body"), "lines")
-    near = near_ids(met, firsts.where("body IS NOT NULL"), tau)
+    release(docs.sparkSession)
+    near = written(near_ids(met, firsts.where("body IS NOT NULL"), tau), "near-lines")
+    release(docs.sparkSession)
     firsts = firsts.drop("body").join(near.select(F.col("id").alias("key"), F.lit(True).alias("near")), "key", "left")
     return firsts.groupBy("rid").agg(
         F.collect_list(F.when(F.col("near").isNull(), F.col("number"))).alias("kept"), F.count("near").alias("n_near")
@@ -376,6 +380,7 @@ def rewritten(docs: DataFrame, tau: int = TAU) -> DataFrame:
     """
     told = told_apart(docs)
     marks = written(deduplicated(told, tau).where("n_removed > 0").select("rid", "removed").dropDuplicates(["rid"]), "removed-lines")
+    release(docs.sparkSession)
     held = sieve(marks, "rid")
     packed = told.select("doc", rid().alias("rid"))
     clean = sifted(packed, "rid", held, inside=False).select("doc")
