@@ -8,7 +8,6 @@ decisions are stored by rid.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -112,12 +111,6 @@ def flushed(rows: Iterator[tuple], width: int, size: int = 5000) -> Iterator[lis
         yield [list(c) for c in zip(*kept, strict=True)]
 
 
-def release(spark: SparkSession) -> None:
-    """Has the driver forget frames that are out of scope: Spark removes their shuffle files only then."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def sieve(df: DataFrame, column: str) -> DataFrame:
     """A bit set of fixed size that holds at least the values of a long column, as (w, v) words.
 
