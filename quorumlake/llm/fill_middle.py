@@ -13,7 +13,7 @@ Defined cases: a null text counts as empty; an empty text and one that holds a
 mark stay plain; a null doc_id draws as the word "null"; repeated ids draw the
 same numbers, each row with its own text; extra columns are kept by
 `transformed`; an empty table gives an empty result. A very long text is
-matched whole, at some 60 bytes a unit while it is being cut.
+matched whole, at some 140 bytes a unit while it is being cut.
 """
 
 from __future__ import annotations

@@ -23,9 +23,9 @@ but may be dealt differently.
 
 Defined cases: a null text counts as empty and gives one piece that holds the
 end id alone; a null doc_id stays null; repeated rows are packed as often as
-they stand; a very long text takes some 12 bytes a token while it is cut, or
-what `tokenizers` needs for a block, which is longer only where no cut is
-found; an empty table gives an empty result.
+they stand; of a very long text all ids are held at once, and what the encoder
+needs for a block, which is longer only where no cut is found; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
