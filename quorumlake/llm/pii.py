@@ -230,6 +230,18 @@ def identifiers(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def overlap(base: list[tuple[int, int, int]]) -> Callable[[int, int, int], bool]:
+    """Whether a span overlaps one of its kind; those of a kind are given in order and stand apart."""
+    starts = [[s for s, k, _ in base if k == kind] for kind in range(len(KINDS))]
+    ends = [[e for _, k, e in base if k == kind] for kind in range(len(KINDS))]
+
+    def overlaps(start: int, kind: int, end: int) -> bool:
+        before = bisect.bisect_left(starts[kind], end)
+        return before > 0 and ends[kind][before - 1] > start
+
+    return overlaps
+
+
 def disguised(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Spans of the source that only the rewritten text shows."""
     layers, current = [], text
@@ -239,11 +251,11 @@ def disguised(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, in
             current = layers[-1].text
     if not layers:
         return []
-    found = []
+    found, overlaps = [], overlap(base)
     for start, kind, end in identifiers(current):
         for layer in reversed(layers):
             start, end = layer.back(start, end)
-        if not any(k == kind and s < end and start < e for s, k, e in base):
+        if not overlaps(start, kind, end):
             found.append((start, kind, end))
     return found
 

@@ -19,10 +19,12 @@ make one find; a null doc_id is carried along.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -133,11 +135,24 @@ def trimmed(text: str, start: int, end: int) -> tuple[int, int]:
     return start, start + len(core)
 
 
+def coverage(base: list[tuple[int, int, int]]) -> Callable[[int, int], bool]:
+    """Whether one of the spans, given in order of start, holds the whole of [start, end)."""
+    starts = [start for start, _, _ in base]
+    reach = list(accumulate((end for _, _, end in base), max))
+
+    def covered(start: int, end: int) -> bool:
+        k = bisect.bisect_right(starts, start)
+        return k > 0 and reach[k - 1] >= end
+
+    return covered
+
+
 def judgements(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, tuple[str, int, int]]]:
     """(start, end, verdict) of the long tokens outside base spans, or of the long parts of those that no encoding holds."""
+    covered = coverage(base)
 
     def fresh(start: int, end: int) -> bool:
-        return end - start >= LEAST and not any(s <= start and end <= e for s, _, e in base)
+        return end - start >= LEAST and not covered(start, end)
 
     for m in TOKEN.finditer(text):
         start, end = trimmed(text, m.start(), m.end())

@@ -184,3 +184,34 @@ def test_fingerprints_follow_the_chain(awkward, nothing, clashing):
         assert row["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
     same = {r["fingerprint"] for r in got if r["doc_id"] in (3, 102, 103, 104)}
     assert len(same) == 1
+
+
+def test_span_checks_equal_a_look_at_every_span():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        base = sorted((int(s), int(k), int(s + n)) for s, k, n in zip(rng.integers(0, 60, 8), rng.integers(0, 3, 8), rng.integers(1, 20, 8)))
+        covered = secret_scan.coverage(base)
+        apart = []
+        for s, k, e in base:
+            if all(e2 <= s for _, k2, e2 in apart if k2 == k):
+                apart.append((s, k, e))
+        overlaps = pii.overlap(apart)
+        for start, n in zip(rng.integers(0, 80, 10).tolist(), rng.integers(1, 20, 10).tolist()):
+            end = start + n
+            assert covered(start, end) == any(s <= start and end <= e for s, _, e in base)
+            for kind in range(3):
+                assert overlaps(start, kind, end) == any(k == kind and s < end and start < e for s, k, e in apart)
+    assert not secret_scan.coverage([])(0, 1) and not pii.overlap([])(0, 0, 1)
+
+
+def test_spans_of_a_very_long_text_take_time_in_proportion():
+    import time
+
+    text = "0123456789abcdef01234567 the_usual_name_of_a_function +49 30 1234567, " * 60_000
+    began = time.perf_counter()
+    base = secret_scan.base_spans(text)
+    assert len(base) == 60_000 and sum(1 for _ in secret_scan.judgements(text, base)) == 60_000
+    shown = text + "jane at example dot com"
+    base = pii.identifiers(shown)
+    assert len(base) == 60_000 and len(pii.disguised(shown, base)) == 1
+    assert time.perf_counter() - began < 60
