@@ -12,13 +12,18 @@ from ..functions import text as tx
 from ..functions.similarity import JACCARD
 from ..operators import match as ma
 from ..operators import meetings as mt
+from ..operators.index import TfidfIndexer
 from ..operators.manifest import transcript_manifest
 from ..operators.select import not_status
-from ..plans.gather import gather
+from ..plans.gather import Speech, gather, gather_and_index
+from ..plans.transcribe import CaptionTranscripts, WordTranscripts
+from ..session import written
 from ..sources.pages import ListingLayout, page_records
 from . import score_sql
+from .records import INDEX_OF
 from .registry import load, load_wide, query
-from .texts import _HOST, _SQL_HOST, _SQL_TITLE, listing_pages, page_title
+from .texts import _HOST, _SQL_HOST, _SQL_TITLE, TERMS, listing_pages, page_title
+from .transcripts import WORD_SENTENCES, WORDS, words
 
 IGNORED = ["Amen.", None]
 
@@ -321,7 +326,7 @@ def match_agenda_jaccard(spark, root):
     return _agenda_match(spark, root, JACCARD)
 
 
-def gathered(spark, root):
+def landed(spark, root):
     """Pages as listing entries, eight a day, and the meetings they show."""
     day = F.date_add(F.lit("2000-01-01").cast("date"), F.floor(F.col("page_id") / 8).cast("int"))
     pages = listing_pages(spark, root, day)
@@ -349,14 +354,22 @@ def gathered(spark, root):
         null.alias("EventAgendaFile"), null.alias("EventMinutesFile"), F.col("url").alias("EventInSiteURL"),
         items.alias("EventItems"),
     )
-    stored = spark.createDataFrame([], "video_uri string")
+    return written(records, "page-records"), meetings
+
+
+def nothing_stored(spark):
+    return spark.createDataFrame([], "video_uri string")
+
+
+def gathered(spark, root):
+    records, meetings = landed(spark, root)
     captioned = records.where("caption_uri is not null").select(
         "caption_uri", F.concat(F.lit("t:"), F.col("caption_uri")).alias("transcript_uri"), F.lit(0.97).alias("confidence")
     ).distinct()
     recognised = records.where("video_uri is not null").select(
         "video_uri", F.concat(F.lit("t:"), F.col("video_uri")).alias("transcript_uri"), F.lit(0.8).alias("confidence")
     ).distinct()
-    return gather(records, meetings, stored, captioned, recognised)
+    return gather(records, meetings, nothing_stored(spark), captioned, recognised)
 
 
 _GATHERED = f"""
@@ -394,3 +407,42 @@ def gather_manifest(spark, root):
     tables = gathered(spark, root)
     manifest = transcript_manifest(tables["event"], tables["transcript"], tables["file"], tables["body"])
     return manifest.select("event_id", "body_id", F.col("uri").isNotNull().alias("has_file"))
+
+
+def speech(spark, root):
+    """Conversations as the caption files of pages of the same number, documents as what a recogniser heard."""
+    clock = F.date_format(F.timestamp_seconds(F.col("turn") * 5), "HH:mm:ss")
+    text = F.trim(F.translate("text", "\n", " "))
+    said = F.when(F.col("role") == "user", F.concat(F.lit("&gt;&gt; "), text)).otherwise(text)
+    cue = F.struct("turn", F.concat(clock, F.lit(".000 --> "), clock, F.lit(".900\n"), said).alias("block"))
+    blocks = F.array_sort(F.collect_list(cue)).block
+    caption_files = load(spark, root, "conversations").groupBy("conv_id").agg(blocks.alias("blocks")).select(
+        F.concat(F.lit("https://cc.example.gov//captions/"), F.col("conv_id").cast("string"), F.lit(".vtt")).alias("caption_uri"),
+        F.concat(F.lit("WEBVTT\n\n"), F.array_join("blocks", "\n\n")).alias("content"),
+    )
+    hosts = load(spark, root, "pages").select(F.col("page_id").alias("doc_id"), F.regexp_extract("url", "//([a-z]+)", 1).alias("host"))
+    video = F.concat(F.lit("https://video.example.gov:8080/media/"), "host", F.col("doc_id").cast("string"), F.lit(".mp4"))
+    heard = words(spark, root).join(hosts, "doc_id").select(video.alias("video_uri"), "word", "text", "start_time", "end_time")
+    return Speech(
+        caption_files, heard, CaptionTranscripts("caption_uri", "cue_idx", 0.97, "&gt;"), WordTranscripts("video_uri", "word", 0.8)
+    )
+
+
+_SPOKEN = f"""
+    SELECT {_key('event', 'video_uri')} AS id, coalesce(c.text, w.text) AS text FROM ({_GATHERED}) AS g
+    LEFT JOIN (SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS text FROM conversations WHERE conv_id % 3 <> 0 GROUP BY conv_id) AS c
+      ON c.conv_id = g.page_id
+    LEFT JOIN (SELECT doc_id, coalesce(closed, heard) AS text
+               FROM (SELECT doc_id, string_agg(text, ' ' ORDER BY word) AS heard FROM ({WORDS}) GROUP BY doc_id)
+               LEFT JOIN (SELECT doc_id, string_agg(text, ' ' ORDER BY first_word) AS closed FROM ({WORD_SENTENCES}) GROUP BY doc_id)
+               USING (doc_id)) AS w ON w.doc_id = g.page_id
+    WHERE page_id % 5 <> 0"""
+
+
+@query("gather_to_index", INDEX_OF.format(terms=TERMS, name="event_id", corpus=_SPOKEN))
+def gather_to_index(spark, root):
+    """Pages to records, meetings, captions or words, transcripts, tables and the event index, in one plan."""
+    records, meetings = landed(spark, root)
+    indexer = TfidfIndexer("event_id", stemmed=False)
+    done = gather_and_index(records, meetings, nothing_stored(spark), speech(spark, root), indexer=indexer)
+    return done.index.withColumn("value", F.round("value", 6))

@@ -289,14 +289,14 @@ def corpus_tables(spark, root):
     return held, spoken, stored, bodies_, texts
 
 
-_INDEX_OF = """WITH counts AS (SELECT id, term, count(*) AS n FROM (SELECT id, unnest({terms}) AS term FROM ({corpus})) GROUP BY ALL),
+INDEX_OF = """WITH counts AS (SELECT id, term, count(*) AS n FROM (SELECT id, unnest({terms}) AS term FROM ({corpus})) GROUP BY ALL),
     frequency AS (SELECT term, count(*) AS df FROM counts GROUP BY term),
     total AS (SELECT count(DISTINCT id) AS n_ids FROM counts)
     SELECT term, id AS {name}, round(n * ln(n_ids / df), 6) AS value
     FROM counts JOIN frequency USING (term) CROSS JOIN total WHERE n * ln(n_ids / df) > 0"""
 
 
-@query("event_index", _INDEX_OF.format(
+@query("event_index", INDEX_OF.format(
     terms=TERMS, name="event_id", corpus="SELECT doc_id AS id, text FROM documents JOIN labels USING (doc_id)"))
 def event_index_query(spark, root):
     held, spoken, stored, bodies_, texts = corpus_tables(spark, root)
@@ -305,7 +305,21 @@ def event_index_query(spark, root):
     return built.withColumn("value", F.round("value", 6))
 
 
-@query("item_index", _INDEX_OF.format(
+@query("event_index_best", INDEX_OF.format(
+    terms=TERMS, name="event_id", corpus="SELECT doc_id // 3 AS id, arg_min(text, (-quality, doc_id)) AS text "
+                                         "FROM documents JOIN labels USING (doc_id) GROUP BY 1"))
+def event_index_best(spark, root):
+    """Three documents are the transcripts of one event, of which the most confident is indexed."""
+    _, spoken, stored, _, texts = corpus_tables(spark, root)
+    event = F.floor(F.col("event_id") / 3).alias("event_id")
+    held = spoken.select(event, F.lit("all").alias("body_id")).distinct()
+    versions = spoken.select("transcript_id", event, "file_id", "confidence", "created")
+    bodies_ = held.select("body_id").distinct()
+    built = event_index(held, versions, stored, bodies_, texts, indexer=TfidfIndexer("event_id", stemmed=False))
+    return built.withColumn("value", F.round("value", 6))
+
+
+@query("item_index", INDEX_OF.format(
     terms=TERMS, name="minutes_item_id",
     corpus="SELECT source AS id, text FROM documents JOIN labels USING (doc_id) WHERE quality = 1 UNION ALL "
            "SELECT source, text FROM documents JOIN labels USING (doc_id) WHERE quality = 0 AND source IN "

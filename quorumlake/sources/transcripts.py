@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.spread import best_per_key
@@ -37,10 +37,33 @@ def raw_text(transcript_format: Column, data: Column) -> Column:
 
 
 def preferred_format(documents: DataFrame, keys: list[str]) -> DataFrame:
-    """Of several transcripts per key, the one in the most detailed format."""
+    """Of several transcripts per key, the one in the most detailed format.
+
+    With a column `part`, a transcript is all rows of its key, format and, if
+    given, `uri`, and is kept with all its parts.
+    """
     rank = F.array_position(F.array(*[F.lit(name) for name in TRANSCRIPT_FORMATS]), F.col("format"))
     ties = [F.col("uri")] if "uri" in documents.columns else []
-    return best_per_key(documents.where(known_format(F.col("format"))), keys, rank, *ties)
+    known = documents.where(known_format(F.col("format")))
+    if "part" not in documents.columns:
+        return best_per_key(known, keys, rank, *ties)
+    place = F.dense_rank().over(Window.partitionBy(*keys).orderBy(rank, *ties))
+    return known.withColumn("_place", place).where("_place = 1").drop("_place")
+
+
+def in_one(documents: DataFrame, keys: list[str]) -> DataFrame:
+    """Documents of several parts as one per key: the portions of all parts in order.
+
+    Every other column is that of the first part. For files whose portions fit
+    a row; indexing needs no such row.
+    """
+    others = [c for c in documents.columns if c not in (*keys, "part", "data")]
+    pieces = F.array_sort(F.collect_list(F.struct("part", "data")))
+    whole = documents.groupBy(*keys).agg(
+        pieces.alias("_pieces"), F.min_by(F.struct(*others), F.col("part")).alias("_first")
+    )
+    data = F.flatten(F.transform("_pieces", lambda p: p.data))
+    return whole.select(*keys, *[F.col(f"_first.{c}") for c in others], data.alias("data"))
 
 
 def write_transcripts(documents: DataFrame, path: str, mode: str = "append") -> None:

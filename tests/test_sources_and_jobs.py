@@ -10,9 +10,11 @@ from quorumlake.operators import store
 from quorumlake.operators.meetings import (
     item_attachments, item_votes, meeting_items, normalize_meetings, star_tables,
 )
-from quorumlake.plans.gather import attach_meetings
+from quorumlake.operators.index import TfidfIndexer
+from quorumlake.plans.gather import Speech, attach_meetings, gather_and_index
 from quorumlake.plans.indexing import event_index, item_index, transcript_texts
 from quorumlake.plans.runs import RunLog
+from quorumlake.plans.transcribe import CaptionTranscripts, WordTranscripts
 from quorumlake.sources import captions, files, pages, tables, transcripts
 from quorumlake.sources.meetings import read_meetings
 from quorumlake.sources.typed_docs import decode
@@ -382,3 +384,52 @@ def test_star_load_twice_adds_nothing(spark, meetings, tmp_path):
         tables.insert_star(spark, root, star_tables(gathered))
         counts.append({n: tables.read_table(spark, root, n).count() for n in star_tables(gathered)})
     assert counts[0] == counts[1] and counts[0]["minutes_item"] == 4
+
+
+def test_gather_to_index(spark):
+    vtt = "WEBVTT\n\n00:00:01.000 --> 00:00:02.000\n&gt;&gt; Budget of\n\n00:00:03.000 --> 00:00:04.000\nbikes.\n\n00:00:05.000 --> 00:00:06.000\n&gt;&gt; Open tail"
+    day = dt.datetime(2024, 1, 2)
+    record = "source_uri string, video_uri string, caption_uri string, body string, event_datetime timestamp, minutes_items array<string>, status string"
+    rows = [
+        ("s1", "v1", "c1", "Council", day, ["a"], "parsed"),
+        ("s2", "v2", "c2", "Parks", day + dt.timedelta(1), ["b"], "parsed"),  # caption file without a cue
+        ("s3", "v3", None, "Arts", day + dt.timedelta(2), ["c"], "parsed"),
+        ("s4", "v4", None, "Mute", day + dt.timedelta(3), ["d"], "parsed"),  # neither captions nor words
+        ("s5", "v5", "c1", "Late", day + dt.timedelta(4), ["e"], "unparseable"),
+        ("s6", "v6", "c1", "Known", day + dt.timedelta(5), ["f"], "parsed"),
+    ]
+    empty = {f: None for f in ("EventAgendaFile", "EventMinutesFile", "EventInSiteURL")}
+    held = [
+        {"EventId": n, "EventBodyName": r[3], "EventDate": r[4].strftime("%Y-%m-%dT00:00:00"), "EventTime": "9:30 AM",
+         "EventAgendaStatusName": "Final", "EventItems": [], **empty}
+        for n, r in enumerate(rows)
+    ]
+    meetings = spark.createDataFrame(held, schemas.MEETING_DDL)
+    files_landed = spark.createDataFrame([("c1", vtt), ("c1", ""), ("c2", "WEBVTT\n"), ("c9", vtt)], "caption_uri string, content string")
+    said = [("v1", 0, "unheard."), ("v2", 0, "Trees"), ("v2", 1, "grow."), ("v2", 2, "cut"), ("v3", 0, "painting"), ("v9", 0, "other.")]
+    heard = spark.createDataFrame([(v, i, t, i + 0.0, i + 0.5) for v, i, t in said], "video_uri string, word long, text string, start_time double, end_time double")
+    speech = Speech(files_landed, heard, CaptionTranscripts("caption_uri", "cue_idx", 0.97, "&gt;"), WordTranscripts("video_uri", "word", 0.8))
+    stored = spark.createDataFrame([("v6",)], "video_uri string")
+    done = gather_and_index(spark.createDataFrame(rows, record), meetings, stored, speech, indexer=TfidfIndexer("event_id", stemmed=False))
+    videos = {r.event_id: r.video_uri for r in done.tables["event"].collect()}
+    assert sorted(videos.values()) == ["v1", "v2", "v3"]
+    assert sorted(r.confidence for r in done.tables["transcript"].collect()) == [0.8, 0.8, 0.97]
+    formats = sorted((r.format, r.part) for r in done.documents.collect())
+    assert formats == [("timestamped-sentences", 0), ("timestamped-speaker-turns", 0), ("timestamped-words", 0)]
+    terms = {(videos[r.event_id], r.term) for r in done.index.collect()}
+    assert terms == {("v1", t) for t in ("budget", "bikes", "open", "tail")} | {("v2", "trees"), ("v2", "grow"), ("v3", "painting")}
+    assert {r.uri for r in done.tables["file"].collect()} == {r.uri for r in done.documents.collect()}
+
+
+def test_transcripts_of_several_parts(spark):
+    """A file of 25,000 sentences keeps them all, in order, in its best format."""
+    lines = spark.range(25_000).select(F.lit("f").alias("file"), F.col("id").alias("line"), F.concat(F.lit("line "), F.col("id").cast("string"), F.lit(".")).alias("text"))
+    pieces = lines.selectExpr("file", "line", "line % 40 = 0 AS starts_turn", "text", "line * 2.0D AS start_time", "line * 2.0D + 1 AS end_time")
+    documents = CaptionTranscripts("file", "line", 0.9).transcripts(pieces)
+    kept = transcripts.preferred_format(documents, ["file"])
+    assert sorted((r.format, r.part) for r in kept.select("format", "part").collect()) == [("timestamped-speaker-turns", n) for n in range(3)]
+    whole = transcripts.in_one(kept, ["file"]).select("file", "confidence", transcripts.raw_text(F.col("format"), F.col("data")).alias("text"), F.col("data")[0].start_time.alias("a"), F.element_at("data", -1).end_time.alias("b")).collect()
+    assert len(whole) == 1 and whole[0].confidence == 0.9 and (whole[0].a, whole[0].b) == (0.0, 49_999.0)
+    assert whole[0].text == " ".join(f"line {n}." for n in range(25_000))
+    again = transcripts.preferred_format(kept.where("part = 7"), ["file"])
+    assert again.count() == 0
