@@ -273,6 +273,17 @@ def content_digest(spark, root):
     return digests(spark, root).select(F.substring_index("path", "/", -1).alias("name"), "length", "sha256")
 
 
+@query("page_file_digests", """
+    SELECT page_id, CAST(octet_length(encode(html || chr(10))) AS BIGINT) AS length, sha256(html || chr(10)) AS sha256 FROM pages""")
+def page_file_digests(spark, root):
+    """Every page stored as a file of its own, then listed and digested."""
+    target = work_path(spark, "page-files")
+    load_wide(spark, root, "pages").select("page_id", "html").write.partitionBy("page_id").text(target)
+    page = F.regexp_extract("path", r"page_id=(\d+)/", 1).cast("long").alias("page_id")
+    stored = digests(spark, f"{target}/page_id=*")
+    return stored.join(inventory(spark, f"{target}/page_id=*").select("path", "length"), ["path", "length"]).select(page, "length", "sha256")
+
+
 # Documents are the transcript texts: each labelled document is a file, its
 # label row the transcript, its source the body of the event it stands for.
 def corpus_tables(spark, root):

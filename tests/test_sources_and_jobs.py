@@ -1,6 +1,8 @@
 import datetime as dt
+import hashlib
 import json
 import time
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -227,6 +229,31 @@ def test_attachments_and_inventory(spark, tmp_path):
     assert files.inventory(spark, str(tmp_path)).select("name", "length").first() == ("x.txt", 3)
 
 
+def test_digest_of_a_file_beyond_a_row(spark, tmp_path):
+    """2.2 GB, most of it a hole; names with blanks and signs; files without bytes are not listed."""
+    large = tmp_path / "a file + 100%.bin"
+    with large.open("wb") as f:
+        f.truncate(2_200_000_000)
+        f.seek(0)
+        f.write(b"start")
+    (tmp_path / "empty").write_bytes(b"")
+    (tmp_path / "packed.gz").write_bytes(b"\x1f\x8b not unpacked")
+    expected = hashlib.sha256(b"start")
+    for _ in range(2_199_999_995 // 5_000_000):
+        expected.update(bytes(5_000_000))
+    expected.update(bytes(2_199_999_995 % 5_000_000))
+    got = {r.path.split("/")[-1]: (r.length, r.sha256) for r in files.digests(spark, str(tmp_path)).collect()}
+    assert sorted(got.values()) == sorted([
+        (2_200_000_000, expected.hexdigest()),
+        (15, hashlib.sha256(b"\x1f\x8b not unpacked").hexdigest()),
+    ])
+    assert files.inventory(spark, str(tmp_path)).count() == 2 and files.block_digest(str(tmp_path / "empty")) == hashlib.sha256().hexdigest()
+    tracemalloc.start()
+    files.block_digest(str(large))
+    assert tracemalloc.get_traced_memory()[1] < 50_000_000
+    tracemalloc.stop()
+
+
 def test_run_log(spark, tmp_path):
     root = str(tmp_path)
     with RunLog(spark, root, "job", "1.0", inputs=("hello", 0, None)) as run:
