@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import index as ix
 from ..session import work_path
 from ..streaming import jobs
+from ..streaming.live_index import keep_index, live_index
 from .indexes import INDEX
 from .registry import load, query
 
@@ -66,3 +67,16 @@ def stream_index(spark, root):
     jobs.count_terms(documents, "doc_id", table, checkpoint, stemmed=False).awaitTermination()
     counts = spark.read.schema("doc_id long, part int, term string, n long, batch long").parquet(table)
     return ix.prune(ix.tfidf(ix.latest_counts(counts, "doc_id", "part"), "doc_id")).withColumn("value", F.round("value", 6))
+
+
+@query("stream_live_index", f"{INDEX} SELECT term, doc_id, round(value, 6) AS value FROM idx WHERE value > 0")
+def stream_live_index(spark, root):
+    """Half of every text first, all of it later: the index follows by the changes of its frequencies."""
+    landing, table, checkpoint = (work_path(spark, name) for name in ("landing", "live-index", "checkpoint"))
+    documents = load(spark, root, "documents").select("doc_id", F.lit(0).alias("part"), "text")
+    half = F.expr("substring(text, 1, length(text) div 2)")
+    for delivery in (documents.withColumn("text", half), documents):
+        delivery.write.mode("append").parquet(landing)
+        stream = jobs.file_stream(spark, landing, "doc_id long, part int, text string")
+        keep_index(stream, "doc_id", table, checkpoint, stemmed=False).awaitTermination()
+    return ix.prune(live_index(spark, table, "doc_id long, part int")).withColumn("value", F.round("value", 6))

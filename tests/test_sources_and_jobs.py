@@ -368,6 +368,36 @@ def test_stream_index_equals_batch(spark, small, tmp_path):
     assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()
 
 
+def test_live_index_follows_deliveries(spark, tmp_path):
+    """After each delivery the index equals one built anew from the latest parts; a part that comes again as it was changes nothing."""
+    from quorumlake.operators import index as ix
+    from quorumlake.streaming.live_index import keep_index, live_index
+
+    ddl, table = "doc_id long, part int, text string", str(tmp_path / "live")
+    deliveries = [
+        [(1, 0, "trees bikes"), (1, 1, "budget"), (2, 0, "trees trees"), (3, 0, "parks"), (None, 0, "lost"), (7, None, "lost")],
+        [(1, 1, "bikes parks"), (3, 0, None), (4, 0, "trees budget parks")],
+        [(2, 0, "of"), (3, 0, "parks again"), (3, 0, "again"), (4, 0, "trees budget parks")],
+        [],
+    ]
+    latest = {}
+    for k, rows in enumerate(deliveries):
+        spark.createDataFrame(rows, ddl).coalesce(1).write.parquet(str(tmp_path / f"in{k}"))
+        stream = jobs.file_stream(spark, str(tmp_path / "in*"), ddl, files_per_batch=1)
+        keep_index(stream, "doc_id", table, str(tmp_path / "cp"), stemmed=False).awaitTermination()
+        for doc, part, text in sorted((r for r in rows if None not in r[:2]), key=lambda r: r[2] or ""):
+            latest[doc, part] = text
+        docs = spark.createDataFrame([(d, t) for (d, _), t in latest.items()], "doc_id long, text string")
+        anew = {(r.term, r.doc_id): round(r.value, 9) for r in ix.tfidf(ix.term_counts(docs, "doc_id", stemmed=False), "doc_id").collect()}
+        live = live_index(spark, table, "doc_id long, part int")
+        assert {(r.term, r.doc_id): round(r.value, 9) for r in live.collect()} == anew
+        some = live_index(spark, table, "doc_id long, part int", ["trees", "absent"])
+        assert {(r.term, r.doc_id) for r in some.collect()} == {key for key in anew if key[0] == "trees"}
+    plan = spark.read.schema("term string, change long, batch long").parquet(f"{table}/changes").where("batch = 1")
+    # delivery 1: document 3 goes and 4 comes, so the number of documents stands; of "parks" one goes and two come
+    assert {r.term: r.change for r in plan.collect()} == {"parks": 1, "trees": 1}
+
+
 @pytest.mark.parametrize("document", ['{"format": "raw"}', '{"format": "raw", "data": [{"start_time": 1.0}]}', '{"format": "other", "data": []}'])
 def test_malformed_transcripts_raise(spark, tmp_path, document):
     from quorumlake.plans.indexing import transcript_texts
