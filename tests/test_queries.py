@@ -50,3 +50,11 @@ def test_spans_move_no_rows(spark, small):
 
     docs = spark.read.parquet(f"{small}/documents.parquet")
     assert "Exchange" not in plan_of(all_spans(docs, "doc_id"))
+
+
+def test_upsert_index_keeps_the_id_of_each_entry(spark, small):
+    from hashlib import sha256
+
+    assert "AS entry_id" in SQL["upsert_index"]
+    row = QUERIES["upsert_index"](spark, small).first()
+    assert row["entry_id"] == sha256(f"indexed_event_term\1{row['term']}\1{row['doc_id']}".encode()).hexdigest()
