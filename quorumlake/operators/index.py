@@ -6,9 +6,10 @@ An index is a long table `(term, <id>, value)`. A corpus is any frame of
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.stem import stem
@@ -17,8 +18,8 @@ from ..session import written
 from .spread import task_count
 
 
-#: A vocabulary of so many terms at most is sent to every executor: some 50 MB.
-BROADCAST_TERMS = 500_000
+#: Fewer terms than this stand in more than one of so many parts of the counts; they are sent to every executor: some 20 MB.
+FREQUENT_TERMS = 200_000
 
 
 class Indexer(Protocol):
@@ -29,25 +30,44 @@ class Indexer(Protocol):
     def weigh(self, counts: DataFrame) -> DataFrame: ...
 
 
-def term_rows(corpus: DataFrame, id_column: str, text: str = "text") -> DataFrame:
+def term_rows(corpus: DataFrame, id_column: str | Sequence[str], text: str = "text") -> DataFrame:
     """One row per term occurrence, cleaned but not stemmed."""
-    tokens = corpus.select(id_column, F.explode(index_tokens(F.col(text))).alias("token"))
-    return tokens.select(id_column, index_term(F.col("token")).alias("term")).where("term != ''")
+    ids = [id_column] if isinstance(id_column, str) else list(id_column)
+    tokens = corpus.select(*ids, F.explode(index_tokens(F.col(text))).alias("token"))
+    return tokens.select(*ids, index_term(F.col("token")).alias("term")).where("term != ''")
 
 
-def term_counts(corpus: DataFrame, id_column: str, text: str = "text", stemmed: bool = True) -> DataFrame:
-    """How often each term occurs for each id: `(id, term, n)`."""
-    counts = term_rows(corpus, id_column, text).groupBy(id_column, "term").agg(F.count("*").alias("n"))
+def term_counts(corpus: DataFrame, id_column: str | Sequence[str], text: str = "text", stemmed: bool = True) -> DataFrame:
+    """How often each term occurs for each id: `(id, term, n)`; an id may be of several columns.
+
+    A corpus that is partitioned by columns of the id is counted where it lies.
+    """
+    ids = [id_column] if isinstance(id_column, str) else list(id_column)
+    counts = term_rows(corpus, ids, text).groupBy(*ids, "term").agg(F.count("*").alias("n"))
     if not stemmed:
         return counts
-    # each distinct term is stemmed once; the counts are read twice, the text once
+    # each distinct term is stemmed once; the counts are read again, the text once
     counts = written(counts, "plain-counts")
-    stems = vocabulary_stems(counts)
-    if stems.count() <= BROADCAST_TERMS:
-        stems = F.broadcast(stems)
-    # stored tables on both sides: beyond the broadcast, adaptive execution splits terms that stand everywhere
-    stemmed_counts = counts.join(stems, "term").select(id_column, F.col("stem").alias("term"), "n")
-    return stemmed_counts.groupBy(id_column, "term").agg(F.sum("n").alias("n"))
+    frequency = written(document_frequency(counts), "plain-frequency")
+    stems = vocabulary_stems(frequency)
+    stemmed_counts = term_join(counts, stems, frequency).select(*ids, F.col("stem").alias("term"), "n")
+    return stemmed_counts.groupBy(*ids, "term").agg(F.sum("n").alias("n"))
+
+
+def term_join(counts: DataFrame, table: DataFrame, frequency: DataFrame) -> DataFrame:
+    """Stored `counts` joined to a stored table of their terms, one row each, by term.
+
+    `frequency` is `(term, df)` of the counts, stored. Terms that stand in more
+    than one of FREQUENT_TERMS parts of the counts are fewer than that many and
+    have most of the rows: these are broadcast, so that their rows stay where
+    they are. Only rows of the other terms are shuffled, none of them by a key
+    that could overfill a task.
+    """
+    least = frequency.agg(F.coalesce(F.sum("df"), F.lit(0)).cast("long")).first()[0] / FREQUENT_TERMS
+    frequent = frequency.where(F.col("df") > least).select("term")
+    often = counts.join(F.broadcast(table.join(F.broadcast(frequent), "term", "left_semi")), "term")
+    seldom = counts.join(F.broadcast(frequent), "term", "left_anti")
+    return often.unionByName(seldom.join(table.join(F.broadcast(frequent), "term", "left_anti"), "term"))
 
 
 def vocabulary_stems(counts: DataFrame) -> DataFrame:
@@ -62,9 +82,17 @@ def merge_counts(counts: DataFrame, id_column: str) -> DataFrame:
 
 
 def latest_counts(counts: DataFrame, id_column: str, part: str) -> DataFrame:
-    """Counts of `(batch, id, part, term, n)` rows, of each part only as its latest batch delivered it."""
-    last = counts.groupBy(id_column, part).agg(F.max("batch").alias("batch"))
-    return merge_counts(counts.join(last, [id_column, part, "batch"], "left_semi"), id_column)
+    """Counts of `(batch, id, part, term, n)` rows, of each part only as its latest batch delivered it.
+
+    What is left out are the deliveries replaced by a later one: where few or
+    none were, their table is small and the counts stay where they are.
+    """
+    named = counts.where(F.col(id_column).isNotNull() & F.col(part).isNotNull() & F.col("batch").isNotNull())
+    delivered = named.select(id_column, part, "batch").distinct()
+    last = F.max("batch").over(Window.partitionBy(id_column, part))
+    replaced = delivered.withColumn("_last", last).where(F.col("batch") < F.col("_last")).drop("_last")
+    kept = named.join(written(replaced, "replaced-parts"), [id_column, part, "batch"], "left_anti")
+    return merge_counts(kept, id_column)
 
 
 def document_frequency(counts: DataFrame) -> DataFrame:
@@ -77,20 +105,21 @@ def corpus_size(counts: DataFrame, id_column: str) -> DataFrame:
     return counts.agg(F.count_distinct(id_column).alias("n_ids"))
 
 
-def tfidf(counts: DataFrame, id_column: str, stored: bool = False) -> DataFrame:
+def tfidf(counts: DataFrame, id_column: str, stored: bool = False, total: DataFrame | None = None) -> DataFrame:
     """`n * ln(ids / df)`, neither smoothed nor normalised.
 
     The counts are needed three times and are much smaller than the text, so
     unless they are `stored` already they are written once and read back, each
-    time only the columns needed. So are the frequencies: a join of two stored
-    tables is one that adaptive execution can broadcast, or split where a term
-    stands in too many ids for a task.
+    time only the columns needed. So are the frequencies, which `term_join`
+    takes to the counts. `total` is the corpus size where the counts are only
+    those of some terms.
     """
     if not stored:
         counts = written(counts, "term-counts")
-    weighted = counts.join(written(document_frequency(counts), "frequency"), "term")
-    total = corpus_size(counts, id_column).scalar()
-    return weighted.select("term", id_column, (F.col("n") * F.log(total / F.col("df"))).alias("value"))
+    frequency = written(document_frequency(counts), "frequency")
+    ids = (corpus_size(counts, id_column) if total is None else total).scalar()
+    weighted = term_join(counts, frequency, frequency)
+    return weighted.select("term", id_column, (F.col("n") * F.log(ids / F.col("df"))).alias("value"))
 
 
 def prune(index: DataFrame, minimum: float = 0.0, observation: Observation | None = None) -> DataFrame:
@@ -100,6 +129,14 @@ def prune(index: DataFrame, minimum: float = 0.0, observation: Observation | Non
     return index.where(F.col("value") > minimum)
 
 
+def term_entries(corpus: DataFrame, id_column: str, terms: Sequence[str], text: str = "text") -> DataFrame:
+    """The entries of some terms, as the index of the whole corpus has them; the counts of other terms are not made."""
+    known = corpus.where(F.exists(index_tokens(F.col(text)), lambda token: index_term(token) != ""))
+    asked = term_rows(corpus, id_column, text).where(F.col("term").isin(*terms))
+    counts = asked.groupBy(id_column, "term").agg(F.count("*").alias("n"))
+    return tfidf(counts, id_column, total=corpus_size(known, id_column))
+
+
 class TfidfIndexer:
     """The default indexer: stemmed TF-IDF without entries at or below `minimum`."""
 
@@ -128,15 +165,20 @@ def postings_blocks(index: DataFrame, id_column: str, block: Column, value: str
     return index.groupBy("term", block.alias("block")).agg(F.map_from_entries(entries).alias("postings"))
 
 
-def upsert(stored: DataFrame, new: DataFrame, keys: list[str], id_column: str) -> DataFrame:
+def upsert(stored: DataFrame, new: DataFrame, keys: list[str], id_column: str, derived: Column | None = None) -> DataFrame:
     """Stored rows with value and time replaced by new ones of the same key.
 
-    Keys are unique on each side. The id of a stored row is kept.
+    Keys are unique on each side. The id of a stored row is kept. Ids that are
+    `derived` from the keys are no columns of either side: they are taken of
+    the joined rows and not sent with them.
     """
-    old = stored.select(*keys, F.struct(id_column, "value", "updated").alias("_old"))
-    fresh = new.select(*keys, F.struct(id_column, "value", "updated").alias("_new"))
-    return old.join(fresh, keys, "full_outer").select(
-        F.coalesce(f"_old.{id_column}", f"_new.{id_column}").alias(id_column),
+    carried = ["value", "updated"] if derived is not None else [id_column, "value", "updated"]
+    old = stored.select(*keys, F.struct(*carried).alias("_old"))
+    fresh = new.select(*keys, F.struct(*carried).alias("_new"))
+    joined = old.join(fresh, keys, "full_outer")
+    kept = F.coalesce(f"_old.{id_column}", f"_new.{id_column}") if derived is None else derived
+    return joined.select(
+        kept.alias(id_column),
         *keys,
         F.coalesce("_new.value", "_old.value").alias("value"),
         F.coalesce("_new.updated", "_old.updated").alias("updated"),

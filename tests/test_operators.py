@@ -426,3 +426,64 @@ def test_numbered_matches_follow_relevance_and_lowest_id(spark):
     found = numbered(spark.createDataFrame(rows, "q int, d int, relevance double"), "q", "d")
     assert sorted((r.position, r.q, r.d) for r in found.collect()) == [(1, 1, 2), (2, 1, 3), (3, 1, 9), (4, 2, 1)]
     assert numbered(found.drop("position").where("q = 7"), "q", "d").isEmpty()
+
+
+def _plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("frequent", [1, 3, 10_000])
+def test_weights_are_the_same_whichever_terms_are_broadcast(spark, monkeypatch, frequent):
+    monkeypatch.setattr(ix, "FREQUENT_TERMS", frequent)
+    held = {(f"d{i}", t): i % 3 + 1 for i in range(12) for t in ["all", *(["third"] if i % 3 == 0 else []), f"own{i}"]}
+    counts = spark.createDataFrame([(d, t, n) for (d, t), n in held.items()], "doc string, term string, n long")
+    got = {(r.doc, r.term): r.value for r in ix.tfidf(counts, "doc").collect()}
+    df = {t: sum(u == t for _, u in held) for _, t in held}
+    assert got == pytest.approx({(d, t): n * math.log(12 / df[t]) for (d, t), n in held.items()})
+
+
+def test_stems_are_the_same_whichever_terms_are_broadcast(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"running runs bikes bike{'s' * (i % 2)} word{i}ing") for i in range(8)], "doc int, text string")
+    whole = rows(ix.term_counts(docs, "doc"))
+    monkeypatch.setattr(ix, "FREQUENT_TERMS", 4)
+    assert rows(ix.term_counts(docs, "doc")) == whole
+
+
+def test_counts_of_a_corpus_dealt_by_id_move_no_rows(spark):
+    docs = spark.createDataFrame([(1, 0, "a bike"), (1, 1, "bike lane"), (2, 0, None)], "id int, part int, text string")
+    counts = ix.term_counts(docs.repartition("id"), ["id", "part"], stemmed=False)
+    assert _plan(counts).count("Exchange") == 1
+    assert rows(counts) == [(1, 0, "bike", 1), (1, 1, "bike", 1), (1, 1, "lane", 1)]
+
+
+def test_search_moves_entries_and_not_matches(spark):
+    index = spark.createDataFrame([(f"t{j}", i, float(j + 1)) for i in range(9) for j in range(4)], "term string, id int, value double")
+    queries = spark.createDataFrame([(q, f"t{q % 4} t{(q + 1) % 4} none") for q in range(20)], "q int, text string")
+    found = se.search(index, queries, "q", "id", stemmed=False)
+    assert "Exchange hashpartitioning(q" not in _plan(found)
+    expected = sorted((q, i, float(q % 4 + (q + 1) % 4 + 2)) for q in range(20) for i in range(9))
+    assert rows(found.select("q", "id", "relevance")) == expected
+
+
+def test_entries_of_some_terms_are_those_of_the_whole_index(spark):
+    docs = spark.createDataFrame(
+        [(1, "ore bike"), (2, "ore ore"), (2, "lane"), (3, "the"), (4, None), (5, "lane")], "id int, text string"
+    )
+    whole = ix.tfidf(ix.term_counts(docs, "id", stemmed=False), "id")
+    assert rows(ix.term_entries(docs, "id", ["ore"])) == rows(whole.where("term = 'ore'"))
+
+
+def test_upsert_with_derived_ids_equals_ids_sent_along(spark):
+    stored = spark.createDataFrame([("a", 1.0, 1), ("b", 2.0, 1)], "k string, value double, updated int")
+    new = spark.createDataFrame([("b", 5.0, 2), ("c", 6.0, 2)], "k string, value double, updated int")
+    entry = st.surrogate_key("t", "k")
+    sent = ix.upsert(stored.withColumn("id", entry), new.withColumn("id", entry), ["k"], "id")
+    assert rows(ix.upsert(stored, new, ["k"], "id", derived=entry)) == rows(sent)
+
+
+def test_latest_counts_leave_out_replaced_parts_only(spark):
+    counts = spark.createDataFrame(
+        [(0, 1, 0, "old", 1), (1, 1, 0, "new", 2), (0, 1, 1, "new", 3), (0, 2, 0, "old", 4), (0, None, 0, "x", 1), (0, 3, None, "x", 1)],
+        "batch long, id int, part int, term string, n long",
+    )
+    assert rows(ix.latest_counts(counts, "id", "part")) == [(1, "new", 5), (2, "old", 4)]
