@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import written
-from .index import term_counts
+from .index import FREQUENT_TERMS, term_counts
 from .spread import spread_join
 
 
@@ -36,9 +36,29 @@ def search(
 
     `frequency` is the entries per term as `(term, df)`; left out they are counted.
     """
-    wanted = query_terms(queries, query_id, text, stemmed)
-    rows = None if frequency is None else frequency.withColumnRenamed("df", "rows")
-    hits = spread_join(index, wanted, "term", [id_column], counts=rows)
+    wanted = written(query_terms(queries, query_id, text, stemmed), "query-terms")
+    return search_terms(index, wanted, query_id, id_column, frequency)
+
+
+def entries_asked(entries: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Entries, or counts, of the terms that some query has."""
+    return entries.join(wanted.select("term").distinct(), "term", "left_semi")
+
+
+def search_terms(
+    index: DataFrame, wanted: DataFrame, query_id: str, id_column: str, frequency: DataFrame | None = None
+) -> DataFrame:
+    """`search` by a stored table of the distinct terms of each query.
+
+    Query terms of a bounded number are broadcast: the entries of an id are
+    brought together once, before each of them meets every query that has its
+    term, so that no match is moved. More query terms are joined by term.
+    """
+    if wanted.count() <= FREQUENT_TERMS:
+        hits = entries_asked(index, wanted).repartition(id_column).join(F.broadcast(wanted), "term")
+    else:
+        rows = None if frequency is None else frequency.withColumnRenamed("df", "rows")
+        hits = spread_join(index, wanted, "term", [id_column], counts=rows)
     return _matches(hits, query_id, id_column)
 
 
