@@ -107,8 +107,7 @@ def count_terms(
 
     def count(batch: DataFrame, batch_id: int) -> None:
         once = best_per_key(batch.select(id_column, part, "text"), [id_column, part], F.desc("text"))
-        keyed = once.select(F.struct(id_column, part).alias("_key"), "text")
-        counts = term_counts(keyed, "_key", stemmed=stemmed).select("_key.*", "term", "n")
+        counts = term_counts(once, [id_column, part], stemmed=stemmed)
         counts.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
 
     writer = documents.writeStream.foreachBatch(count).option("checkpointLocation", checkpoint)
