@@ -16,12 +16,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.index import merge_counts, term_counts
+from ..operators.index import merge_counts, term_counts, term_join
 from ..operators.spread import best_per_key
 from ..operators.store import BUCKET, bucketed, touched_buckets
+from ..session import written
 from .jobs import scheduled
 
 
@@ -30,16 +31,31 @@ def _stored_counts(spark: SparkSession, root: str, key: str) -> DataFrame:
     return spark.read.schema(f"{key}, term string, n long, batch long, {BUCKET} string").parquet(f"{root}/counts")
 
 
-def _as_last_delivered(rows: DataFrame, id_column: str, part: str) -> DataFrame:
-    delivered = rows.where("term IS NULL").groupBy(id_column, part).agg(F.max("batch").alias("batch"))
-    return rows.where("term IS NOT NULL").join(delivered, [id_column, part, "batch"], "left_semi")
+def _dealt(rows: DataFrame, id_column: str) -> DataFrame:
+    """Stored rows brought together by document, the one time that they are moved."""
+    return rows.repartition(id_column)
 
 
-def _present(rows: DataFrame, id_column: str, part: str, sign: int) -> DataFrame:
-    """(term, change) for every term of every document, and one row without term for each document."""
-    terms = _as_last_delivered(rows, id_column, part).select(id_column, "term").distinct()
-    documents = terms.select(id_column).distinct().select(F.lit(None).cast("string").alias("term"))
-    return terms.select("term").unionByName(documents).withColumn("change", F.lit(sign))
+def _last(id_column: str, part: str, batch: Column) -> Column:
+    """The latest `batch` that delivered a row's part, null if none did."""
+    return F.max(F.when(F.col("term").isNull(), batch)).over(Window.partitionBy(id_column, part))
+
+
+def _changes(rows: DataFrame, id_column: str, part: str, batch_id: int) -> DataFrame:
+    """(term, change) of the documents of `rows` by a batch, in a row without term that of their number."""
+    placed = rows.withColumns({
+        "_now": _last(id_column, part, F.col("batch")),
+        "_was": _last(id_column, part, F.when(F.col("batch") < batch_id, F.col("batch"))),
+    })
+    held = placed.where("term IS NOT NULL AND (batch = _now OR batch = _was)")
+    after, before = (F.max((F.col("batch").eqNullSafe(F.col(c))).cast("int")) for c in ("_now", "_was"))
+    terms = held.groupBy(id_column, "term").agg(after.alias("_after"), before.alias("_before"))
+    documents = terms.groupBy(id_column).agg(F.max("_after").alias("_after"), F.max("_before").alias("_before"))
+    both = terms.select("term", "_after", "_before").unionByName(
+        documents.select(F.lit(None).cast("string").alias("term"), "_after", "_before")
+    )
+    changed = both.where("_after <> _before").withColumn("change", F.col("_after") - F.col("_before"))
+    return changed.groupBy("term").agg(F.sum("change").alias("change")).where("change <> 0")
 
 
 def keep_index(
@@ -57,19 +73,19 @@ def keep_index(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         known = batch.where(F.col(id_column).isNotNull() & F.col(part).isNotNull())
-        once = best_per_key(known.select(id_column, part, "text"), [id_column, part], F.desc("text")).persist()
-        keyed = once.select(F.struct(id_column, part).alias("_key"), "text")
-        counts = term_counts(keyed, "_key", stemmed=stemmed).select("_key.*", "term", "n")
-        marks = once.select(id_column, part, F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("n"))
-        # rebalancing splits a bucket too large for a task
-        rows = bucketed(counts.unionByName(marks), [id_column]).hint("rebalance", BUCKET)
+        # dealt by bucket as texts, which are smaller than their counts; those are then written where they lie
+        dealt = bucketed(known.select(id_column, part, "text"), [id_column]).repartition(BUCKET)
+        once = best_per_key(dealt, [BUCKET, id_column, part], F.desc("text")).persist()
+        counts = term_counts(once, [BUCKET, id_column, part], stemmed=stemmed)
+        marks = once.select(BUCKET, id_column, part, F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("n"))
+        rows = counts.unionByName(marks)
+        if stemmed:  # counts by stem were moved once more
+            rows = rows.hint("rebalance", BUCKET)
         rows.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{root}/counts/batch={batch_id}")
         buckets = touched_buckets(once, [id_column])
         stored = _stored_counts(batch.sparkSession, root, key).where(F.col(BUCKET).isin(*buckets) & (F.col("batch") <= batch_id))
-        touched = stored.join(once.select(id_column), id_column, "left_semi")
-        before = _present(touched.where(F.col("batch") < batch_id), id_column, part, -1)
-        both = before.unionByName(_present(touched, id_column, part, 1))
-        changes = both.groupBy("term").agg(F.sum("change").alias("change")).where("change <> 0")
+        touched = stored.drop("n").join(once.select(id_column), id_column, "left_semi")
+        changes = _changes(_dealt(touched, id_column), id_column, part, batch_id)
         changes.write.mode("overwrite").parquet(f"{root}/changes/batch={batch_id}")
         once.unpersist()
 
@@ -92,7 +108,8 @@ def live_index(
     if terms is not None:
         stored = stored.where(F.col("term").isNull() | F.col("term").isin(*terms))
         asked = asked.where(F.col("term").isin(*terms))
-    frequency = asked.groupBy("term").agg(F.sum("change").alias("df"))
-    counts = merge_counts(_as_last_delivered(stored, id_column, part), id_column)
-    weighted = counts.join(frequency, "term")
+    frequency = written(asked.groupBy("term").agg(F.sum("change").alias("df")), "live-frequency")
+    placed = _dealt(stored, id_column).withColumn("_now", _last(id_column, part, F.col("batch")))
+    counts = written(merge_counts(placed.where("term IS NOT NULL AND batch = _now"), id_column), "live-counts")
+    weighted = term_join(counts, frequency, frequency)
     return weighted.select("term", id_column, (F.col("n") * F.log(total.scalar() / F.col("df"))).alias("value"))
