@@ -14,7 +14,7 @@ from ..operators.spread import best_per_key
 from ..plans.indexing import event_index, item_index
 from ..plans.runs import RunLog
 from ..session import work_path
-from ..sources.files import digests, inventory, missing_files
+from ..sources.files import digests, inventory, missing_files, store_files
 from ..sources.tables import clone_tables, read_table, write_table
 from .registry import load, load_wide, query
 from .texts import TERMS
@@ -278,10 +278,10 @@ def content_digest(spark, root):
 def page_file_digests(spark, root):
     """Every page stored as a file of its own, then listed and digested."""
     target = work_path(spark, "page-files")
-    load_wide(spark, root, "pages").select("page_id", "html").write.partitionBy("page_id").text(target)
-    page = F.regexp_extract("path", r"page_id=(\d+)/", 1).cast("long").alias("page_id")
-    stored = digests(spark, f"{target}/page_id=*")
-    return stored.join(inventory(spark, f"{target}/page_id=*").select("path", "length"), ["path", "length"]).select(page, "length", "sha256")
+    pages = load_wide(spark, root, "pages").select(F.concat(F.lit("page_id="), "page_id").alias("name"), "html")
+    store_files(pages, target, "name", "html")
+    page = F.nullif(F.regexp_extract("path", r"page_id=(-?\d+)-\d+-\d+$", 1), F.lit("")).cast("long").alias("page_id")
+    return digests(spark, target).select(page, "length", "sha256")
 
 
 # Documents are the transcript texts: each labelled document is a file, its

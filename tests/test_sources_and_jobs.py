@@ -490,3 +490,12 @@ def test_transcripts_of_several_parts(spark):
     assert whole[0].text == " ".join(f"line {n}." for n in range(25_000))
     again = transcripts.preferred_format(kept.where("part = 7"), ["file"])
     assert again.count() == 0
+
+
+def test_rows_stored_as_files_lie_in_a_bounded_number_of_folders(spark, tmp_path):
+    texts = [(f"page_id={i % 290}", f"text {i}" if i else None) for i in range(300)]
+    rows = spark.createDataFrame(texts, "name string, html string").repartition(3)
+    files.store_files(rows, str(tmp_path / "stored"), "name", "html")
+    assert len(list((tmp_path / "stored").iterdir())) <= files.FOLDERS
+    found = sorted(r.sha256 for r in files.digests(spark, str(tmp_path / "stored")).collect())
+    assert found == sorted(hashlib.sha256(((t or "") + "\n").encode()).hexdigest() for _, t in texts)
