@@ -159,15 +159,24 @@ WORD_SENTENCES = f"""
     GROUP BY doc_id, sentence HAVING max(closes) = 1"""
 
 
-def words(spark, root):
+def word_array():
+    """The words of a text, half a second each."""
     tokens = F.filter(F.split(F.translate("text", "\n", " "), " "), lambda word: word != "")
-    exploded = load_wide(spark, root, "documents").select("doc_id", F.posexplode(tokens).alias("word", "text"))
-    return exploded.select(
-        "doc_id", F.col("word").cast("long").alias("word"), "text",
-        (F.col("word") * 0.5).alias("start_time"), (F.col("word") * 0.5 + 0.25).alias("end_time"),
+    return F.transform(
+        tokens, lambda word, i: F.struct(word.alias("text"), (i * 0.5).alias("start_time"), (i * 0.5 + 0.25).alias("end_time"))
     )
 
 
+def word_files(spark, root):
+    """Documents as files of recognised words."""
+    return load_wide(spark, root, "documents").select("doc_id", word_array().alias("words"))
+
+
+def words(spark, root):
+    exploded = word_files(spark, root).select("doc_id", F.posexplode("words").alias("word", "_w"))
+    return exploded.select("doc_id", F.col("word").cast("long").alias("word"), "_w.*")
+
+
 @query("word_sentences", WORD_SENTENCES)
 def word_sentences(spark, root):
     return sg.word_sentences(words(spark, root), "doc_id", "word")
@@ -179,8 +188,7 @@ def word_sentences(spark, root):
     FROM ({WORD_SENTENCES}) JOIN (SELECT doc_id, CAST(max(end_time) AS DOUBLE) AS last_end FROM ({WORDS}) GROUP BY doc_id) USING (doc_id)
     GROUP BY ALL""")
 def raw_from_words(spark, root):
-    rows = words(spark, root)
-    return sg.raw_from_words(rows, sg.word_sentences(rows, "doc_id", "word"), "doc_id", "word")
+    return sg.raw_from_files(word_files(spark, root), "doc_id")
 
 
 @query("flatten_words", f"""
@@ -261,5 +269,5 @@ def transcripts_from_captions(spark, root):
     SELECT doc_id, word // 10000, 'timestamped-words', string_agg(text, ' ' ORDER BY word) FROM ({WORDS}) GROUP BY ALL""")
 def transcripts_from_words(spark, root):
     """Recognised words to sentences and the three stored formats, each read back as text."""
-    stored = WordTranscripts("doc_id", "word", 0.8).transcripts(words(spark, root))
+    stored = WordTranscripts("doc_id", "word", 0.8).transcripts(word_files(spark, root))
     return stored.select("doc_id", "part", "format", raw_text(F.col("format"), F.col("data")).alias("raw"))

@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.similarity import let
 from ..schemas import TRANSCRIPT_FORMATS
+from ..session import written
 from .spread import first_per_key, running_totals
 
 PART_ROWS = 10_000
@@ -125,12 +127,13 @@ def raw_portions(sentence_rows: DataFrame, key: str) -> DataFrame:
     )
 
 
-def transcript_document(data: Column, transcript_format: str, confidence: Column) -> Column:
+def transcript_document(data: Column, transcript_format: str | Column, confidence: Column) -> Column:
     """The stored wrapper around a transcript's portions."""
-    if transcript_format not in TRANSCRIPT_FORMATS:
+    if isinstance(transcript_format, str) and transcript_format not in TRANSCRIPT_FORMATS:
         raise ValueError(f"unknown transcript format {transcript_format!r}")
+    named = F.lit(transcript_format) if isinstance(transcript_format, str) else transcript_format
     return F.struct(
-        F.lit(transcript_format).alias("format"),
+        named.alias("format"),
         F.array().cast("array<string>").alias("annotations"),
         confidence.cast("double").alias("confidence"),
         data.alias("data"),
@@ -175,6 +178,61 @@ def raw_from_words(words: DataFrame, sentence_rows: DataFrame, key: str, order:
     return parts.join(ends, key).select(key, "part", F.lit(0.0).alias("start_time"), "text", "end_time")
 
 
+def split_files(files: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Files that can stay in their row, and the words of all others as rows.
+
+    `files` is `(key, words)`, words an array of `(text, start_time, end_time)`
+    numbered from 0 by their place. A file stays whose key stands in this row
+    only and whose words make one part; the keys of all rows are counted, no word
+    is moved for it. Rows of the first frame whose file does not stay have no words.
+    """
+    named = F.col(key).isNotNull()
+    repeated = files.select(key).where(named).groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
+    repeated = written(repeated.select(key, F.lit(True).alias("_again")), "repeated-files")
+    marked = files.join(repeated, key, "left")
+
+    def stays(w: Column) -> Column:
+        silent = F.exists(w, lambda x: x.text.isNull())
+        return named & F.col("_again").isNull() & (F.size(w) <= PART_ROWS) & ~silent
+
+    # values and no filters: a filter would move to the scan and build the arrays there once more
+    alone = marked.select(key, let(F.col("words"), lambda w: F.when(stays(w) & (F.size(w) > 0), w)).alias("words"))
+    others = F.posexplode_outer(let(F.col("words"), lambda w: F.when(~stays(w), w))).alias("word", "_w")
+    words = marked.select(key, others).where("word is not null").select(
+        key, F.col("word").cast("long").alias("word"), "_w.text", "_w.start_time", "_w.end_time"
+    )
+    return alone, words
+
+
+def cut_words(words: Column) -> Column:
+    """The closed sentences of one file's array of words, in order, as `word_sentences` makes them of rows."""
+
+    def sentence(words: Column, ends: Column, last: Column, k: Column) -> Column:
+        first = F.coalesce(F.get(ends, k - 1) + 1, F.lit(0))
+        spoken = F.transform(F.slice(words, first + 1, last - first + 1), lambda w: F.rtrim(w.text))
+        return F.struct(
+            first.cast("long").alias("first_word"), F.get(words, first).start_time.alias("start_time"),
+            F.get(words, last).end_time.alias("end_time"), F.array_join(spoken, " ").alias("text"),
+        )
+
+    def cut(words: Column) -> Column:
+        closers = F.transform(words, lambda w, i: F.when(F.endswith(w.text, F.lit(".")), i))
+        closers = F.filter(closers, lambda i: i.isNotNull())
+        return let(closers, lambda ends: F.transform(ends, lambda last, k: sentence(words, ends, last, k)))
+
+    return let(words, cut)
+
+
+def raw_from_files(files: DataFrame, key: str) -> DataFrame:
+    """`raw_from_words` of files `(key, words)`."""
+    alone, words = split_files(files, key)
+    text = let(cut_words(F.col("words")), lambda cut: F.when(F.size(cut) > 0, F.array_join(cut.text, " ")))
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("part"), F.lit(0.0).alias("start_time"), text.alias("text"), F.element_at("words", -1).end_time.alias("end_time")))
+    here = alone.select(key, F.explode(whole).alias("_p")).where("_p.text is not null").select(key, "_p.*")
+    words = written(words, "words")
+    return here.unionByName(raw_from_words(words, word_sentences(words, key, "word"), key, "word"))
+
+
 def mean_confidence(segments: DataFrame, key: str, confidence: str, n_words: str) -> DataFrame:
     """Mean confidence of the segments that have words; 0 where none has."""
     spoken = F.when(F.col(n_words) > 0, F.col(confidence))

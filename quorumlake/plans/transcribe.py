@@ -27,7 +27,7 @@ class TranscriptSource(Protocol):
     def transcripts(self, pieces: DataFrame) -> DataFrame: ...
 
 
-def _document(portions: DataFrame, key: str, transcript_format: str, confidence: Column) -> DataFrame:
+def _document(portions: DataFrame, key: str, transcript_format: str | Column, confidence: Column) -> DataFrame:
     """Documents from `(key, part, data)` rows of portions without speakers."""
     plain = F.transform(
         "data",
@@ -82,9 +82,10 @@ class CaptionTranscripts:
 
 @dataclass(frozen=True)
 class WordTranscripts:
-    """Words `(key, order, text, start_time, end_time)` of a speech recogniser.
+    """Words `(key, order, text, start_time, end_time)` of a speech recogniser, or files `(key, words)` with arrays of them.
 
-    Each file is wrapped by word, by sentence and as a whole.
+    Each file is wrapped by word, by sentence and as a whole. Files given as
+    arrays stay in their row as far as `split_files` lets them.
     """
 
     key: str
@@ -92,7 +93,13 @@ class WordTranscripts:
     confidence: float
 
     def transcripts(self, pieces: DataFrame) -> DataFrame:
-        words = written(pieces.select(self.key, F.col(self.order).alias("word"), "text", "start_time", "end_time"), "words")
+        if "words" not in pieces.columns:
+            return self._from_rows(pieces.select(self.key, F.col(self.order).alias("word"), "text", "start_time", "end_time"))
+        alone, words = sg.split_files(pieces.select(self.key, "words"), self.key)
+        return self._in_row(alone).unionByName(self._from_rows(words))
+
+    def _from_rows(self, words: DataFrame) -> DataFrame:
+        words = written(words, "words")
         spoken = sg.word_sentences(words, self.key, "word")
         spoken = written(spoken.withColumn("text", fix_symbol_spacing(F.col("text"))), "sentences")
         confidence = F.lit(self.confidence)
@@ -100,3 +107,20 @@ class WordTranscripts:
         placed = spoken.withColumnRenamed("first_word", "first_cue")
         by_word = _document(sg.sentence_documents(words.withColumnRenamed("word", "first_cue"), self.key), self.key, "timestamped-words", confidence)
         return reduce(DataFrame.unionByName, [by_word, *_sentences_and_raw(placed, raw, self.key, confidence)])
+
+    def _in_row(self, files: DataFrame) -> DataFrame:
+        """The documents of files of one part, whose rows are read once for all formats."""
+        cut = files.select(self.key, "words", sg.cut_words(F.col("words")).alias("_cut"))
+        end = F.element_at("words", -1).end_time
+
+        def portion(start: Column, text: Column, end: Column) -> Column:
+            return F.struct(start.alias("start_time"), text.alias("text"), end.alias("end_time"))
+
+        by_sentence = F.transform("_cut", lambda s: portion(s.start_time, fix_symbol_spacing(s.text), s.end_time))
+        rows = cut.select(self.key, F.transform("words", lambda w: portion(w.start_time, w.text, w.end_time)).alias("words"), by_sentence.alias("_cut"), end.alias("_end"))
+        whole = F.array(portion(F.lit(0.0), F.array_join("_cut.text", " "), F.col("_end")))
+        formats = {"timestamped-words": F.col("words"), "timestamped-sentences": F.col("_cut"), "raw": F.when(F.size("_cut") > 0, whole)}
+        made = F.explode(F.array(*[F.struct(F.lit(name).alias("format"), data.alias("data")) for name, data in formats.items()]))
+        each = rows.select(self.key, F.lit(0).cast("long").alias("part"), made.alias("_f")).where(F.size("_f.data") > 0)
+        each = each.select(self.key, "part", F.col("_f.format").alias("_format"), F.col("_f.data").alias("data"))
+        return _document(each, self.key, F.col("_format"), F.lit(self.confidence))

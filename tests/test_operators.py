@@ -16,6 +16,7 @@ from quorumlake.operators import spread as sd
 from quorumlake.operators import store as st
 from quorumlake.operators.manifest import best_transcripts
 from quorumlake.operators.truecase import apply_casing, fit_casing, placed_tokens
+from quorumlake.plans.transcribe import WordTranscripts
 
 
 def rows(frame):
@@ -487,3 +488,22 @@ def test_latest_counts_leave_out_replaced_parts_only(spark):
         "batch long, id int, part int, term string, n long",
     )
     assert rows(ix.latest_counts(counts, "id", "part")) == [(1, "new", 5), (2, "old", 4)]
+
+
+def test_files_of_words_stay_in_their_row(spark):
+    """Files as arrays give what their words give as rows, and only those that must are moved."""
+    texts = [(1, "a b. c. d"), (2, "no end"), (3, " ".join(f"w{i}{'.' * (i % 3000 == 2999)}" for i in range(12_000))), (4, "x y."), (4, "z. q."), (None, "n."), (5, None), (6, "a $ 5.")]
+    rows = [(k, None if t is None else [(w, i * 0.5, i * 0.5 + 0.25) for i, w in enumerate(t.split(" "))]) for k, t in texts]
+    files = spark.createDataFrame(rows, "file long, words array<struct<text: string, start_time: double, end_time: double>>")
+    words = files.select("file", F.posexplode("words").alias("word", "w")).select("file", F.col("word").cast("long").alias("word"), "w.*")
+    alone, moved = sg.split_files(files, "file")
+    assert sorted(r.file for r in alone.where("words is not null").collect()) == [1, 2, 6]
+    assert {r.file for r in moved.select("file").distinct().collect()} == {None, 3, 4}
+
+    def held(df):
+        return sorted(map(repr, df.collect()))
+
+    expected = sg.raw_from_words(words, sg.word_sentences(words, "file", "word"), "file", "word")
+    assert held(sg.raw_from_files(files, "file")) == held(expected)
+    transcribed = WordTranscripts("file", "word", 0.8)
+    assert held(transcribed.transcripts(files)) == held(transcribed.transcripts(words))
