@@ -178,9 +178,17 @@ def star_tables(gathered: DataFrame) -> dict[str, DataFrame]:
         votes.select("person_id", "full_name", "email", "phone", "website", "legistar_person_id"),
         ["full_name", "email"], "legistar_person_id", "phone", "website",
     )
-    vote = _unique(
-        votes.select("person_id", "event_minutes_item_id", "decision", "legistar_event_item_vote_id"),
-        ["person_id", "event_minutes_item_id"], "legistar_event_item_vote_id", "decision",
+    # an item's votes move in one row, by the natural keys that the ids are made of after it
+    ballots = F.transform(
+        "votes",
+        lambda v: F.struct(v.person.full_name.alias("full_name"), v.person.email.alias("email"), v.decision.alias("decision"),
+                           v.legistar_event_item_vote_id.alias("legistar_event_item_vote_id")),
+    )
+    dealt = items.select("event_minutes_item_id", ballots.alias("votes")).repartition("event_minutes_item_id")
+    cast = dealt.select("event_minutes_item_id", F.explode("votes").alias("v")).select("event_minutes_item_id", "v.*")
+    cast = _unique(cast, ["event_minutes_item_id", "full_name", "email"], "legistar_event_item_vote_id", "decision")
+    vote = cast.select(
+        surrogate_key("person", "full_name", "email").alias("person_id"), "event_minutes_item_id", "decision", "legistar_event_item_vote_id"
     ).withColumn("vote_id", surrogate_key("vote", "person_id", "event_minutes_item_id"))
     return {
         "body": body, "event": event, "minutes_item": minutes_item,
