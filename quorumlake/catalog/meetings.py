@@ -23,7 +23,7 @@ from . import score_sql
 from .records import INDEX_OF
 from .registry import load, load_wide, query
 from .texts import _HOST, _SQL_HOST, _SQL_TITLE, TERMS, listing_pages, page_title
-from .transcripts import WORD_SENTENCES, WORDS, words
+from .transcripts import WORD_SENTENCES, WORDS, word_array
 
 IGNORED = ["Amen.", None]
 
@@ -422,7 +422,7 @@ def speech(spark, root):
     )
     hosts = load(spark, root, "pages").select(F.col("page_id").alias("doc_id"), F.regexp_extract("url", "//([a-z]+)", 1).alias("host"))
     video = F.concat(F.lit("https://video.example.gov:8080/media/"), "host", F.col("doc_id").cast("string"), F.lit(".mp4"))
-    heard = words(spark, root).join(hosts, "doc_id").select(video.alias("video_uri"), "word", "text", "start_time", "end_time")
+    heard = load_wide(spark, root, "documents").select("doc_id", "text").join(hosts, "doc_id").select(video.alias("video_uri"), word_array().alias("words"))
     return Speech(
         caption_files, heard, CaptionTranscripts("caption_uri", "cue_idx", 0.97, "&gt;"), WordTranscripts("video_uri", "word", 0.8)
     )

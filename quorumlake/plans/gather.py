@@ -154,7 +154,7 @@ def transcribe(events: DataFrame, speech: Speech) -> tuple[DataFrame, DataFrame]
     landed = best_per_key(landed, ["caption_uri"], F.desc("content"))
     captioned = _main_transcripts(speech.captions.transcripts(cues(landed, "caption_uri")), "caption_uri")
     silent = events.join(captioned.select("caption_uri"), "caption_uri", "left_anti")
-    heard = speech.words.join(silent.select("video_uri"), "video_uri", "left_semi")
+    heard = written(speech.words.join(silent.select("video_uri"), "video_uri", "left_semi"), "heard")
     return captioned, _main_transcripts(speech.recogniser.transcripts(heard), "video_uri")
 
 
