@@ -106,8 +106,10 @@ def common_with(table: Column, text: Column) -> Column:
 
 
 def common_length(a: Column, b: Column) -> Column:
-    """Length of the longest common subsequence."""
-    return let(places(a), lambda table: common_with(table, b))
+    """Length of the longest common subsequence; the shorter text, whose table costs less, is the one tabled."""
+    swapped = F.length(a) > F.length(b)
+    ordered = F.struct(F.when(swapped, b).otherwise(a).alias("short"), F.when(swapped, a).otherwise(b).alias("long"))
+    return let(ordered, lambda p: let(places(p["short"]), lambda table: common_with(table, p["long"])))
 
 
 def shared_letters(a: Column, b: Column) -> Column:
@@ -162,10 +164,14 @@ def _token_set_of(parts: Column, common: Common) -> Column:
     total = 2 * (shared + gap) + size_a + size_b
     # what both share against all the words of one of them
     against = lambda size: _percent(gap + size, 2 * shared + gap + size)
-    apart = let(common(parts["a"], parts["b"]), lambda n: _percent(size_a + size_b - 2 * n, total))
+    ratio = lambda n: _percent(size_a + size_b - 2 * n, total)
+    apart = let(common(parts["a"], parts["b"]), ratio)
+    shares = F.greatest(against(size_a), against(size_b))
+    # no more can be common than the shorter side, which often decides it
     return (
         F.when(some & ((size_a == 0) | (size_b == 0)), 100.0)
-        .when(some, F.greatest(apart, against(size_a), against(size_b)))
+        .when(some & (ratio(F.least(size_a, size_b)) <= shares), shares)
+        .when(some, F.greatest(apart, shares))
         .otherwise(apart)
     )
 

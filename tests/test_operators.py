@@ -507,3 +507,26 @@ def test_files_of_words_stay_in_their_row(spark):
     assert held(sg.raw_from_files(files, "file")) == held(expected)
     transcribed = WordTranscripts("file", "word", 0.8)
     assert held(transcribed.transcripts(files)) == held(transcribed.transcripts(words))
+
+
+def test_lopsided_token_sets_need_no_common_subsequence(spark):
+    """Where the shorter side cannot win, the score is that of the shared words; it is the plain score either way."""
+    pairs = [("a b c d e f x", "a b c d e f " + "long words " * 20), ("the budget vote", "budget and the vote of a much longer agenda text")]
+    rows = spark.createDataFrame(pairs, "a string, b string")
+    got = rows.select("a", "b", similarity.token_set_score(F.col("a"), F.col("b")).alias("ab"), similarity.token_set_score(F.col("b"), F.col("a")).alias("ba")).collect()
+    for r in got:
+        assert r.ab == pytest.approx(token_set_score(r.a, r.b)) and r.ba == pytest.approx(r.ab)
+    both = F.struct(similarity.prepared(F.col("a")).alias("a"), similarity.prepared(F.col("b")).alias("b"))
+    never = lambda a, b: F.raise_error(F.concat(F.lit("compared "), a)).cast("int")
+    alone = similarity.let(both, lambda p: similarity._token_set(p["a"], p["b"], never))
+    assert rows.limit(1).select(alone.alias("s")).first().s == pytest.approx(token_set_score(*pairs[0]))
+
+
+def test_the_shorter_text_is_tabled(spark, monkeypatch):
+    tabled = []
+    places = similarity.places
+    monkeypatch.setattr(similarity, "places", lambda text: tabled.append(text) or places(text))
+    a, b = "the council", "the clerk of the council will call the roll of members present and absent"
+    rows = spark.createDataFrame([(a, b), (b, a), ("", a)], "a string, b string")
+    assert [r.n for r in rows.select(similarity.common_length(F.col("a"), F.col("b")).alias("n")).collect()] == [11, 11, 0]
+    assert "short" in str(tabled[0])
