@@ -5,6 +5,7 @@ import pytest
 from plain_similarity import name_score, token_jaccard, token_set_score
 from pyspark.sql import functions as F
 
+from quorumlake.catalog import meetings
 from quorumlake.functions import similarity
 from quorumlake.operators import index as ix
 from quorumlake.operators import match as ma
@@ -530,3 +531,15 @@ def test_the_shorter_text_is_tabled(spark, monkeypatch):
     rows = spark.createDataFrame([(a, b), (b, a), ("", a)], "a string, b string")
     assert [r.n for r in rows.select(similarity.common_length(F.col("a"), F.col("b")).alias("n")).collect()] == [11, 11, 0]
     assert "short" in str(tabled[0])
+
+
+def test_votes_move_with_their_item(spark, tmp_path):
+    """The rows of an item's votes are dealt by item alone; of the votes of a person on an item the first counts."""
+    docs = [(1, "ann bob ann\nx", "s", 13), (2, "ann bob ann\nx", "s", 13)]
+    spark.createDataFrame(docs, "doc_id long, text string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    votes = meetings.star(spark, str(tmp_path))["vote"]
+    plan = votes._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(event_minutes_item_id" in plan and "hashpartitioning(person_id" not in plan
+    got = sorted((r.legistar_event_item_vote_id, r.decision) for r in votes.collect())
+    assert got == [(10_000_000_000, "In Favor"), (10_000_000_001, "Opposed"), (10_000_000_002, "Opposed")]
+    assert votes.select("vote_id").distinct().count() == 3
