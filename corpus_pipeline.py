@@ -8,13 +8,14 @@ return the columns of documents.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quorumlake.llm import jaccard, langid, lines, mixing, packing
 from quorumlake.llm.common import documents
-from quorumlake.session import scratch, work_path
+from quorumlake.session import written_alone
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -63,9 +64,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The result of the last stage over `documents`; what a stage wrote on its way goes once its result is stored."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
-        path = work_path(spark, name)
-        with scratch(spark):
-            made = stage(spark, docs, sf_dir)
-            made.write.parquet(path)
-        docs = spark.read.schema(made.schema).parquet(path)
+        docs = written_alone(spark, partial(stage, spark, docs, sf_dir), name)
     return docs

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import written
+from ..session import written, written_alone
 from .common import components, pieces, record_batch, rid, schema_of, sieve, sifted, told_apart
 from .shingles import set_key, shingle_set, signature
 
@@ -303,7 +303,7 @@ def thinned(docs: DataFrame) -> DataFrame:
     text are copies, of which one stays.
     """
     told = told_apart(docs)
-    named = written(classes_of(told), "near-classes")
+    named = written_alone(docs.sparkSession, lambda: classes_of(told), "near-classes")
     gone = named.where("rid <> class_id").select("rid").distinct()
     packed = told.select("doc", rid().alias("rid"))
     held = sieve(gone, "rid")

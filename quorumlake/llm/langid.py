@@ -159,14 +159,18 @@ def sample(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray, list[tup
                         letter_times.append(counts[at].astype(np.int32))
                 yield record_batch([ids, langs, buckets, times, letter_buckets, letter_times], target)
 
-    got = sorted(rows.mapInArrow(apply, schema).collect(), key=lambda r: (r["doc_id"], r["lang"]))
-    got = got[: PER_LANGUAGE * len(languages) * 2]
-    counts = np.zeros((len(got), BUCKETS), np.float32)
-    for k, r in enumerate(got):
-        counts[k, r["bucket"]] = r["times"]
+    # Arrow keeps the counts as they are; rows would make a Python object of each
+    got = rows.mapInArrow(apply, schema).toArrow()
+    ids, langs = got["doc_id"].to_pylist(), got["lang"].to_pylist()
+    order = sorted(range(len(ids)), key=lambda k: (ids[k], langs[k]))[: PER_LANGUAGE * len(languages) * 2]
+    counts = np.zeros((len(order), BUCKETS), np.float32)
+    letters = []
+    for k, r in enumerate(order):
+        bucket, times, letter_bucket, letter_times = (got[c][r].values.to_numpy() for c in ("bucket", "times", "letter_bucket", "letter_times"))
+        counts[k, bucket] = times
+        letters.append((letter_bucket.astype(np.int64), letter_times.astype(np.float64)))
     index = {lang: k for k, lang in enumerate(languages)}
-    letters = [(np.array(r["letter_bucket"], np.int64), np.array(r["letter_times"], np.float64)) for r in got]
-    return languages, counts, np.array([index[r["lang"]] for r in got], np.int64), letters
+    return languages, counts, np.array([index[langs[r]] for r in order], np.int64), letters
 
 
 def train(

@@ -21,6 +21,7 @@ order go to the smaller id; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import written
+from ..session import written, written_alone
 from .common import pieces, record_batch, rid, schema_of, sieve, sifted, told_apart
 from .hashing import code_points, mix, prefix, spans
 from .jaccard import bucket_of, in_cells, with_crowds
@@ -38,6 +39,8 @@ TAU = 2
 FRAGMENT = 0.2
 LEAST = 20
 BLOCK = 512
+#: a power of two
+PASSES = 2
 LINE_BREAK = 10
 #: the white space of \s in Spark's patterns
 BLANKS = np.array([9, 10, 11, 12, 13, 32], np.uint32)
@@ -298,12 +301,19 @@ MET = "meet long, key long, indexed boolean"
 
 
 def met_lines(docs: DataFrame, tau: int = TAU) -> DataFrame:
-    """(meet, key, indexed): lines under each key at which an indexed line meets another."""
+    """(meet, key, indexed): lines under each key at which an indexed line meets another.
 
-    def columns(lines: Lines) -> list:
-        return list(keys(lines, lines.firsts(lines.eligible), tau))
+    The keys are the largest thing that is moved, so they move in PASSES parts, one after the other.
+    """
+
+    def dealt(part: int):
+        def columns(lines: Lines) -> list:
+            meet, tagged = keys(lines, lines.firsts(lines.eligible), tau)
+            mine = (meet & (PASSES - 1)) == part
+            return [meet[mine], tagged[mine]]
+
+        return columns
 
-    rows = _per_piece(docs, "meet long, tagged long", columns).repartition("meet").sortWithinPartitions("meet", "tagged")
     target = schema_of(docs.sparkSession, MET)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,7 +322,11 @@ def met_lines(docs: DataFrame, tau: int = TAU) -> DataFrame:
             if len(found[0]):
                 yield record_batch([pa.array(x) for x in found], target)
 
-    return written(rows.mapInArrow(apply, MET), "met-lines")
+    found = []
+    for part in range(PASSES):
+        rows = _per_piece(docs, "meet long, tagged long", dealt(part)).repartition("meet").sortWithinPartitions("meet", "tagged")
+        found.append(written(rows.mapInArrow(apply, MET), "met-lines"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def near_ids(met: DataFrame, texts: DataFrame, tau: int = TAU) -> DataFrame:
@@ -375,7 +389,11 @@ def rewritten(docs: DataFrame, tau: int = TAU) -> DataFrame:
     stays whole, so that the search for near copies sees it as it is.
     """
     told = told_apart(docs)
-    marks = written(deduplicated(told, tau).where("n_removed > 0").select("rid", "removed").dropDuplicates(["rid"]), "removed-lines")
+
+    def losses() -> DataFrame:
+        return deduplicated(told, tau).where("n_removed > 0").select("rid", "removed").dropDuplicates(["rid"])
+
+    marks = written_alone(docs.sparkSession, losses, "removed-lines")
     held = sieve(marks, "rid")
     packed = told.select("doc", rid().alias("rid"))
     clean = sifted(packed, "rid", held, inside=False).select("doc")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -18,6 +18,7 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _LOCAL_DIRS: dict[str, str] = {}
 
@@ -81,15 +82,35 @@ def work_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """The frame written to a path and read back; the shuffle files of the write go when it ends, not when the driver collects its garbage."""
+    conf = df.sparkSession.conf
+    before = conf.get(FREE_SHUFFLES, None)
+    conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            conf.unset(FREE_SHUFFLES)
+        else:
+            conf.set(FREE_SHUFFLES, before)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The frame as a table written to the shared folder and read back.
 
     For results needed more than once. Unlike cached or locally checkpointed
     blocks, the files survive the loss of any executor.
     """
-    path = work_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored(df, work_path(df.sparkSession, label))
+
+
+def written_alone(spark: SparkSession, make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """`written` of the frame that `make` returns; the tables that `make` wrote on its way are removed."""
+    path = work_path(spark, label)
+    with scratch(spark):
+        return stored(make(), path)
 
 
 def widen(df: DataFrame) -> DataFrame:

@@ -2,11 +2,14 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 from quorumlake.llm import exact, jaccard, lines, suffix
+from quorumlake.session import FREE_SHUFFLES, written
 
 from .conftest import prose
 
@@ -218,3 +221,42 @@ def test_lines_of_texts_that_share_an_id(spark):
 
     assert left([(1, f"{shared}\nshort"), (5, f"{a}\n{shared}"), (5, f"{b}\nshort")]) == sorted([(1, f"{shared}\nshort"), (5, a), (5, f"{b}\nshort")])
     assert left([(1, shared), (5, f"{a}\n{shared}"), (5, f"{shared}\n{b}")]) == sorted([(1, shared), (5, a), (5, b)])
+
+
+def tables(spark):
+    return {p.name for p in Path(spark.conf.get("spark.checkpoint.dir")).iterdir()}
+
+
+def test_met_lines_are_the_same_in_any_number_of_passes(spark, awkward, monkeypatch):
+    found = []
+    for passes in (1, 2, 4):
+        monkeypatch.setattr(lines, "PASSES", passes)
+        before = tables(spark)
+        found.append(sorted(tuple(r) for r in lines.met_lines(awkward).collect()))
+        assert len(tables(spark) - before) == passes
+    assert found[0] and found[0] == found[1] == found[2]
+
+
+@pytest.mark.parametrize(("thin", "result"), [(lines.rewritten, "removed-lines"), (jaccard.thinned, "near-classes")])
+def test_only_tables_that_the_result_reads_stay(spark, awkward, thin, result):
+    before = tables(spark)
+    assert thin(awkward).count()
+    left = {name[:-33] for name in tables(spark) - before}
+    assert result in left
+    assert left <= {"shared-ids", "sieve", result}
+
+
+def test_written_leaves_no_shuffle_files(spark):
+    folders = list(spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString())
+
+    def files():
+        return {p for d in folders for p in Path(d).rglob("shuffle_*.data")}
+
+    before = files()
+    table = written(spark.range(5000).repartition(3, "id"), "dealt")
+    until = time.time() + 5
+    while files() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not files() - before
+    assert table.count() == 5000
+    assert spark.conf.get(FREE_SHUFFLES) == "false"
