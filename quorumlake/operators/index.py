@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.stem import stem
-from ..functions.text import index_term, index_tokens
+from ..functions.text import STOP_WORDS, index_term, index_tokens
 from ..session import written
 from .spread import task_count
 
@@ -37,6 +37,36 @@ def term_rows(corpus: DataFrame, id_column: str | Sequence[str], text: str = "te
     return tokens.select(*ids, index_term(F.col("token")).alias("term")).where("term != ''")
 
 
+def row_counts(corpus: DataFrame, id_column: str | Sequence[str], text: str = "text") -> DataFrame:
+    """The unstemmed counts of every text inside its row: `(id, terms, ns)`, terms in order, none of them twice.
+
+    Rows that share an id are not added up, and a row without terms has empty lists.
+    """
+    ids = [id_column] if isinstance(id_column, str) else list(id_column)
+    # each step is a projection of its own, or the lambdas would build the lists anew for every element
+    tokens = corpus.select(*ids, index_tokens(F.col(text)).alias("_tokens"), F.col(text).rlike("[^ -~\n\t]").alias("_odd"))
+    # without other characters than these a token is a plain word, which only the set of stop words is asked for
+    plain = F.filter("_tokens", lambda token: (token != "") & ~token.isin(STOP_WORDS))
+    mixed = F.filter(F.transform("_tokens", index_term), lambda term: term != "")
+    found = F.coalesce(F.when(F.col("_odd"), mixed).otherwise(plain), F.array().cast("array<string>"))
+    ordered = tokens.select(*ids, F.sort_array(found).alias("_all"))
+    begins = F.transform("_all", lambda term, i: F.when(~term.eqNullSafe(F.get("_all", i - 1)), i))
+    runs = ordered.withColumn("_begins", F.array_compact(begins))
+    return runs.select(
+        *ids,
+        F.transform("_begins", lambda begin: F.get("_all", begin)).alias("terms"),
+        F.transform(
+            "_begins", lambda begin, k: (F.coalesce(F.get("_begins", k + 1), F.size("_all")) - begin).cast("long")
+        ).alias("ns"),
+    )
+
+
+def row_entries(counted: DataFrame, *columns: str) -> DataFrame:
+    """`(columns, term, n)` of rows with `terms` and `ns`, one row for each term."""
+    exploded = counted.select(*columns, F.explode_outer(F.arrays_zip("terms", "ns")).alias("_entry"))
+    return exploded.where("_entry IS NOT NULL").select(*columns, F.col("_entry.terms").alias("term"), F.col("_entry.ns").alias("n"))
+
+
 def term_counts(corpus: DataFrame, id_column: str | Sequence[str], text: str = "text", stemmed: bool = True) -> DataFrame:
     """How often each term occurs for each id: `(id, term, n)`; an id may be of several columns.
 

@@ -543,3 +543,12 @@ def test_votes_move_with_their_item(spark, tmp_path):
     got = sorted((r.legistar_event_item_vote_id, r.decision) for r in votes.collect())
     assert got == [(10_000_000_000, "In Favor"), (10_000_000_001, "Opposed"), (10_000_000_002, "Opposed")]
     assert votes.select("vote_id").distinct().count() == 3
+
+
+def test_counts_inside_rows_add_up_to_term_counts(spark):
+    texts = ["the Bike bike, bike", "", None, "of the", "caf\u00e9 the\u00a0ore ore\u2019s\tore\nlane", "a\x07the b\rthe x_y"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    counted = ix.row_counts(docs, "id")
+    assert [r.id for r in counted.where("terms = array()").orderBy("id").collect()] == [1, 2, 3]
+    assert counted.where("terms <> array_sort(array_distinct(terms)) OR size(terms) <> size(ns)").isEmpty()
+    assert rows(ix.row_entries(counted, "id")) == rows(ix.term_counts(docs, "id", stemmed=False))

@@ -398,6 +398,25 @@ def test_live_index_follows_deliveries(spark, tmp_path):
     assert {r.term: r.change for r in plan.collect()} == {"parks": 1, "trees": 1}
 
 
+def test_live_index_keeps_one_row_for_each_delivered_part(spark, tmp_path):
+    """Parts are stored and moved as rows of their own, not as rows of terms; stems are kept the same way."""
+    from quorumlake.operators import index as ix
+    from quorumlake.streaming.live_index import keep_index, live_index
+
+    ddl = "doc_id long, part int, text string"
+    rows = [(1, 0, "running bikes run"), (1, 1, "bike"), (2, 0, "budget budgets"), (3, 0, None)]
+    spark.createDataFrame(rows, ddl).coalesce(1).write.parquet(str(tmp_path / "in"))
+    docs = spark.createDataFrame([(d, t) for d, _, t in rows], "doc_id long, text string")
+    for stemmed in (False, True):
+        table = str(tmp_path / f"live-{stemmed}")
+        stream = jobs.file_stream(spark, str(tmp_path / "in"), ddl)
+        keep_index(stream, "doc_id", table, str(tmp_path / f"cp-{stemmed}"), stemmed=stemmed).awaitTermination()
+        assert spark.read.parquet(f"{table}/counts").count() == len(rows)
+        got = live_index(spark, table, "doc_id long, part int").select("doc_id", "term", F.round("value", 9)).collect()
+        anew = ix.tfidf(ix.term_counts(docs, "doc_id", stemmed=stemmed), "doc_id").select("doc_id", "term", F.round("value", 9))
+        assert sorted(map(tuple, got)) == sorted(map(tuple, anew.collect()))
+
+
 @pytest.mark.parametrize("document", ['{"format": "raw"}', '{"format": "raw", "data": [{"start_time": 1.0}]}', '{"format": "other", "data": []}'])
 def test_malformed_transcripts_raise(spark, tmp_path, document):
     from quorumlake.plans.indexing import transcript_texts
