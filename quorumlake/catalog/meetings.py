@@ -27,6 +27,9 @@ from .transcripts import WORD_SENTENCES, WORDS, word_array
 
 IGNORED = ["Amen.", None]
 
+#: Tasks of votes for each split of the documents: a file of one task holds few enough items for a dictionary of their ids.
+VOTE_TASKS = 20
+
 
 def meeting_documents(spark, root):
     """Documents as nested meetings, built row by row."""
@@ -147,7 +150,8 @@ def star(spark, root):
             "confidence": F.lit(0.97),
         }
     )
-    return mt.star_tables(mt.normalize_meetings(documents, IGNORED, keep))
+    splits = load(spark, root, "documents").rdd.getNumPartitions()
+    return mt.star_tables(mt.normalize_meetings(documents, IGNORED, keep), VOTE_TASKS * splits)
 
 
 def _key(table, *columns):

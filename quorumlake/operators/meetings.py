@@ -120,12 +120,13 @@ def _unique(rows: DataFrame, keys: list[str], *order: str) -> DataFrame:
     return best_per_key(rows, keys, *[F.col(c) for c in order])
 
 
-def star_tables(gathered: DataFrame) -> dict[str, DataFrame]:
+def star_tables(gathered: DataFrame, vote_tasks: int | None = None) -> dict[str, DataFrame]:
     """The nine tables of normalised meetings with sources attached.
 
     `gathered` is `normalize_meetings` output with `source_uri`, `video_uri`,
     `transcript_uri` and `confidence`. Ids are hashes of natural keys, so links
     need no lookups. Of rows sharing a key, the first meeting and item wins.
+    Votes are dealt to `vote_tasks` tasks, or to as many as Spark takes.
     """
     events = gathered.withColumns(
         {
@@ -178,15 +179,15 @@ def star_tables(gathered: DataFrame) -> dict[str, DataFrame]:
         votes.select("person_id", "full_name", "email", "phone", "website", "legistar_person_id"),
         ["full_name", "email"], "legistar_person_id", "phone", "website",
     )
-    # an item's votes move in one row, by the natural keys that the ids are made of after it
-    ballots = F.transform(
-        "votes",
-        lambda v: F.struct(v.person.full_name.alias("full_name"), v.person.email.alias("email"), v.decision.alias("decision"),
-                           v.legistar_event_item_vote_id.alias("legistar_event_item_vote_id")),
-    )
-    dealt = items.select("event_minutes_item_id", ballots.alias("votes")).repartition("event_minutes_item_id")
-    cast = dealt.select("event_minutes_item_id", F.explode("votes").alias("v")).select("event_minutes_item_id", "v.*")
-    cast = _unique(cast, ["event_minutes_item_id", "full_name", "email"], "legistar_event_item_vote_id", "decision")
+    # an item's votes move in one row, as lists of the natural keys that the ids are made of after it
+    lists = {"full_name": "votes.person.full_name", "email": "votes.person.email", "decision": "votes.decision",
+             "legistar_event_item_vote_id": "votes.legistar_event_item_vote_id"}
+    ballots = items.where(F.size("votes") > 0).select("event_minutes_item_id", *[F.col(path).alias(name) for name, path in lists.items()])
+    dealt = ballots.repartition(*([vote_tasks] if vote_tasks else []), "event_minutes_item_id")
+    cast = dealt.select("event_minutes_item_id", F.explode_outer(F.arrays_zip(*lists)).alias("v"))
+    cast = cast.where("v IS NOT NULL").select("event_minutes_item_id", "v.*")
+    # by person first, which leaves the rows of a person together: equal ids take little room in a file
+    cast = _unique(cast, ["full_name", "email", "event_minutes_item_id"], "legistar_event_item_vote_id", "decision")
     vote = cast.select(
         surrogate_key("person", "full_name", "email").alias("person_id"), "event_minutes_item_id", "decision", "legistar_event_item_vote_id"
     ).withColumn("vote_id", surrogate_key("vote", "person_id", "event_minutes_item_id"))

@@ -552,3 +552,16 @@ def test_counts_inside_rows_add_up_to_term_counts(spark):
     assert [r.id for r in counted.where("terms = array()").orderBy("id").collect()] == [1, 2, 3]
     assert counted.where("terms <> array_sort(array_distinct(terms)) OR size(terms) <> size(ns)").isEmpty()
     assert rows(ix.row_entries(counted, "id")) == rows(ix.term_counts(docs, "id", stemmed=False))
+
+
+def test_votes_move_as_lists_and_lie_by_person(spark, tmp_path):
+    """No struct for each vote is moved; a task's rows of a person lie together, and votes without a name stay."""
+    docs = [(k, "ann bob cy\nx\ny\nbob ann" if k % 2 else "ann  bob\nz", f"s{k}", k) for k in range(20)]
+    spark.createDataFrame(docs, "doc_id long, text string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    votes = meetings.star(spark, str(tmp_path))["vote"]
+    moved = [line for line in votes._jdf.queryExecution().optimizedPlan().toString().split("\n") if "RepartitionByExpression" in line]
+    assert moved and "VoteValueName" not in moved[0]
+    tasks = votes.select("person_id", F.spark_partition_id().alias("task")).collect()
+    runs = [r for k, r in enumerate(tasks) if k == 0 or r != tasks[k - 1]]
+    assert len(runs) == len(set(runs)) < len(tasks)
+    assert votes.count() == 10 * (3 + 2) + 10 * 3
