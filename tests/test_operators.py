@@ -565,3 +565,13 @@ def test_votes_move_as_lists_and_lie_by_person(spark, tmp_path):
     runs = [r for k, r in enumerate(tasks) if k == 0 or r != tasks[k - 1]]
     assert len(runs) == len(set(runs)) < len(tasks)
     assert votes.count() == 10 * (3 + 2) + 10 * 3
+
+
+def test_derived_upsert_joins_as_a_join_does(spark):
+    """Null keys match nothing, and keys that repeat on a side stand for each pair."""
+    ddl = "k string, d int, value double, updated int"
+    stored = spark.createDataFrame([("a", 1, 1.0, 1), ("a", 1, 2.0, 1), ("b", 1, 3.0, 1), (None, 1, 4.0, 1), ("c", None, 5.0, 1)], ddl)
+    new = spark.createDataFrame([("a", 1, 6.0, 2), ("a", 1, 7.0, 2), ("z", 9, 8.0, 2), (None, 1, 9.0, 2), ("c", None, 5.5, 2)], ddl)
+    entry = st.surrogate_key("t", "k", "d")
+    sent = ix.upsert(stored.withColumn("id", entry), new.withColumn("id", entry), ["k", "d"], "id")
+    assert rows(ix.upsert(stored, new, ["k", "d"], "id", derived=entry)) == rows(sent)

@@ -60,6 +60,20 @@ def test_upsert_index_keeps_the_id_of_each_entry(spark, small):
     assert row["entry_id"] == sha256(f"indexed_event_term\1{row['term']}\1{row['doc_id']}".encode()).hexdigest()
 
 
+def test_upsert_index_moves_texts_and_no_counts(spark, tmp_path):
+    docs = [(1, "ore bike"), (1, "ore"), (2, "ore ore"), (3, "bike"), (None, "lost ore"), (4, None)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    labels = [(1, 1), (2, 0), (2, 1), (3, 2), (None, 1), (9, 0)]
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    frame = QUERIES["upsert_index"](spark, str(tmp_path))
+    moved = [line for line in plan_of(frame).split("\n") if "Exchange hashpartitioning" in line]
+    assert moved and not any("term" in line for line in moved)
+    got = sorted((r.term, r.doc_id or 0, r.value, r.updated.month) for r in frame.collect())
+    assert got == [
+        ("bike", 1, 2.5, 2), ("bike", 3, 1.0, 1), ("lost", 0, 1.0, 1), ("ore", 0, 1.0, 1), ("ore", 1, 5.0, 2), ("ore", 2, 5.0, 2), ("ore2", 2, 2.0, 2),
+    ]
+
+
 def test_postings_map_moves_texts_and_nothing_else(spark, tmp_path):
     docs = [(1, "ore bike"), (999, "ore"), (1000, "ore ore")]
     spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
